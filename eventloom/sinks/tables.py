@@ -140,7 +140,8 @@ def load_tsv(spark: SparkSession, path: str, schema: TableSchema) -> DataFrame:
         seen[c.outbound] = seen.get(c.outbound, 0) + 1
         name = c.outbound if seen[c.outbound] == 1 else f"{c.outbound}_{seen[c.outbound]}"
         text = unquote_field(F.get(fields, F.lit(i)))
-    XX
+        repaired = F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("?"))
+        text = F.when(F.is_valid_utf8(text), text).otherwise(repaired)
         text = F.nullif(F.rtrim(text), F.lit(""))
         width = column_width(c.options)
         if c.sql_type == "string":
