@@ -8,10 +8,11 @@ result is the wall clock as written, independent of the session time zone.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from eventloom.functions.variants import let
+
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August",
           "September", "October", "November", "December"]
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -90,14 +91,6 @@ def compile_layout(layout: str) -> tuple[str, dict[str, int]]:
     return "^" + pattern + re.escape(layout[at:]) + "$", groups
 
 
-def _index_of(name: Column, names: list[str]) -> Column:
-    return reduce(
-        lambda acc, item: acc.when(name == item[1], F.lit(item[0])),
-        list(enumerate(names, 1))[1:],
-        F.when(name == names[0], F.lit(1)),
-    )
-
-
 def _parse_numeric(value: Column, pattern: str, groups: dict[str, int]) -> Column:
     """All-numeric layouts: reorder the parts to ISO form in one replace, then cast."""
     at = lambda name, default: f"${groups[name]}" if name in groups else default
@@ -115,40 +108,41 @@ def parse(value: Column, layout: str) -> Column:
     if "year" in groups and set(groups) <= NUMERIC_PARTS:
         return _parse_numeric(value, pattern, groups)
 
-    def part(name: str, default: int) -> Column:
-        if name not in groups:
-            return F.lit(default)
-        return F.trim(F.regexp_extract(value, pattern, groups[name])).try_cast("int")
+    names = list(groups)
+    cut = F.split(F.regexp_replace(value, pattern, "\x01".join(f"${groups[n]}" for n in names)), "\x01")
+    return F.when(value.rlike(pattern), let(cut, lambda parts: _assemble(parts, names)))
 
+
+def _assemble(parts: Column, names: list[str]) -> Column:
+    """Timestamp from the cut-out date parts, for layouts with names, halves or short years."""
     def word(name: str) -> Column:
-        return F.regexp_extract(value, pattern, groups[name])
+        return F.get(parts, F.lit(names.index(name)))
+
+    def part(name: str, default: int) -> Column:
+        return F.trim(word(name)).try_cast("int") if name in names else F.lit(default)
+
+    def position(known: list[str], name: str) -> Column:
+        return F.array_position(F.array(*[F.lit(k) for k in known]), word(name)).cast("int")
 
     year = part("year", 0)
-    if "short_year" in groups:
+    if "short_year" in names:
         yy = part("short_year", 0)
         year = F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
     month = part("month", 1)
-    if "month_name" in groups:
-        month = _index_of(word("month_name"), MONTHS)
-    elif "month_abbr" in groups:
-        month = _index_of(word("month_abbr"), [m[:3] for m in MONTHS])
+    if "month_name" in names:
+        month = position(MONTHS, "month_name")
+    elif "month_abbr" in names:
+        month = position([m[:3] for m in MONTHS], "month_abbr")
     hour = part("hour", 0)
-    if "hour12" in groups:
+    if "hour12" in names:
         twelve = part("hour12", 0)
         hour = F.when(twelve <= 12, twelve)
-        if "half" in groups:
-            half = F.upper(word("half"))
-            hour = F.when(twelve == 12, F.when(half == "AM", F.lit(0)).otherwise(F.lit(12))).when(
-                twelve < 12, F.when(half == "PM", twelve + 12).otherwise(twelve)
-            )
-    second = part("second", 0).cast("decimal(8,6)")
-    if "fraction" in groups:
-        digits = F.substring(F.regexp_extract(value, pattern, groups["fraction"]), 2, 3)
-        millis = F.rpad(digits, 3, "0").try_cast("int")
-        second = F.when(second < 60, second + millis * F.lit(0.001).cast("decimal(8,6)"))
-    else:
-        second = F.when(second < 60, second)
-    built = F.try_make_timestamp_ntz(
-        year, month, part("day", 1), hour, part("minute", 0), second.cast("decimal(16,6)")
-    )
-    return F.when(value.rlike(pattern), built)
+        if "half" in names:
+            afternoon = F.upper(word("half")) == "PM"
+            hour = F.when(twelve <= 12, twelve % 12 + F.when(afternoon, F.lit(12)).otherwise(F.lit(0)))
+    second = part("second", 0)
+    second = F.when(second < 60, second).cast("decimal(16,6)")
+    if "fraction" in names:
+        millis = F.rpad(F.substring(word("fraction"), 2, 3), 3, "0").try_cast("int")
+        second = (second + millis * F.lit(0.001).cast("decimal(8,6)")).cast("decimal(16,6)")
+    return F.try_make_timestamp_ntz(year, month, part("day", 1), hour, part("minute", 0), second)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventloom.functions.variants import is_object, is_string, prop
+from eventloom.functions.variants import is_object, is_string, pinned, prop
 
 
 def payload_text(data: Column) -> Column:
@@ -43,6 +43,6 @@ def with_payload_items(df: DataFrame, payload: str, items: str) -> DataFrame:
                 F.when(F.col(payload).startswith("[{"), many).otherwise(F.col("_outer")),
             ),
         )
-        .withColumn(items, F.when(F.forall("_found", _is_event), F.col("_found")))
+        .withColumn(items, pinned(F.when(F.forall("_found", _is_event), F.col("_found"))))
         .drop("_outer", "_found")
     )

@@ -16,6 +16,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def pinned(value: Column) -> Column:
+    """``value`` as a column the optimizer computes where it stands, once.
+
+    A filter on a computed column is normally pushed below its projection by copying the
+    whole expression, which for parsed payloads and projected cells means doing the work
+    again for every filter.  A (trivially true) partition-dependent test forbids the copy.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def json_path(key: str) -> str | None:
     """Variant path of one object key, or None when path syntax cannot hold it."""
     if "'" not in key and "?" not in key and key:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions import text
-from eventloom.functions.variants import is_object
+from eventloom.functions.variants import is_object, let, pinned
 from eventloom.operators.project import attach_lookups, with_cells
 from eventloom.operators.schemas import TableSchema
 
@@ -80,14 +80,14 @@ def collate(
         .when(F.is_variant_null(props), F.lit(PANICKED))
         .when(~F.coalesce(is_object(props), F.lit(False)), F.lit(EMPTY_REQUEST))
     )
-    rows = rows.withColumn("_early", early)
+    rows = rows.withColumn("_early", pinned(early))
     rows = attach_lookups(rows, schemas, geo=geo, asn=asn, logins=logins, **options)
     rows = with_cells(rows, schemas, compiled_limit)
     status = F.coalesce(
         F.col("_early"),
         F.when(F.exists("cells", lambda c: c.isNull()), F.lit(SKIPPED_COLUMN)).otherwise(F.lit(SUCCESS)),
     )
-    rows = rows.withColumn("status", status)
+    rows = rows.withColumn("status", pinned(status))
     done = F.col("_early").isNull()
     unnamed = F.col("status").isin(EMPTY_REQUEST, PANICKED)
     panicked = F.col("status") == PANICKED
@@ -124,25 +124,24 @@ def to_tsv_line(cells: Column) -> Column:
 
 def to_record(names: Column, cells: Column) -> Column:
     """``MAP<name, text>`` without empty values; of a repeated name the last value stays."""
-    filled = F.filter(
-        F.arrays_zip(names.alias("name"), cells.alias("cell")), lambda e: e["cell"] != ""
-    )
-    unique = F.filter(
-        filled,
-        lambda e, i: ~F.exists(
-            F.slice(filled, i + 2, F.greatest(F.size(filled) - i - 1, F.lit(0))),
-            lambda later: later["name"] == e["name"],
-        ),
-    )
-    repeated = F.size(F.array_distinct(names)) < F.size(names)
-    as_map = lambda entries: F.map_from_entries(
-        F.transform(entries, lambda e: F.struct(e["name"], e["cell"]))
-    )
-    return F.when(repeated, as_map(unique)).otherwise(as_map(filled))
+    pairs = F.arrays_zip(names.alias("name"), cells.alias("cell"))
+
+    def build(filled: Column) -> Column:
+        last = F.filter(
+            filled,
+            lambda e, i: ~F.exists(
+                F.slice(filled, i + 2, F.greatest(F.size(filled) - i - 1, F.lit(0))),
+                lambda later: later["name"] == e["name"],
+            ),
+        )
+        repeated = F.size(F.array_distinct(names)) < F.size(names)
+        return F.map_from_entries(F.when(repeated, last).otherwise(filled))
+
+    return let(F.filter(pairs, lambda e: e["cell"] != ""), build)
 
 
 def with_record(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("record", to_record(F.col("names"), F.col("cells")))
+    return rows.withColumn("record", pinned(to_record(F.col("names"), F.col("cells"))))
 
 
 def with_line(rows: DataFrame) -> DataFrame:

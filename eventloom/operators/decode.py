@@ -10,7 +10,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 from pyspark.sql.types import StringType
 
 from eventloom.functions.payload import payload_text, with_payload_items
-from eventloom.functions.variants import prop, string_only
+from eventloom.functions.variants import pinned, prop, string_only
 
 GLOB_VERSION = 1
 UNKNOWN_EVENT = "Unknown"
@@ -59,7 +59,7 @@ def inflate_globs(globs: DataFrame, value: str = "value") -> DataFrame:
         F.from_json("_body", f"array<struct<{RECORD_SCHEMA}>>"),
     )
     return (
-        body.withColumn("records", records)
+        body.withColumn("records", pinned(records))
         .withColumn("glob_key", F.coalesce(F.try_element_at("records", F.lit(1))["uuid"], F.lit("")))
         .drop("_body")
     )
@@ -78,7 +78,7 @@ def parse_envelope(lines: DataFrame, value: str = "value") -> DataFrame:
     ok = F.col("_parsed").isNotNull() & F.col("_parsed._corrupt_record").isNull() & F.ltrim(
         F.col(value)
     ).startswith("{")
-    return read.select(F.when(ok, F.struct(*fields)).alias("record"))
+    return read.select(pinned(F.when(ok, F.struct(*fields))).alias("record"))
 
 
 def valid_record(record: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions import text
 from eventloom.functions.casts import bigint_value
-from eventloom.functions.variants import as_string, is_object, prop, string_only, to_variant, type_of
+from eventloom.functions.variants import as_string, is_object, pinned, prop, string_only, to_variant, type_of
 from eventloom.operators.lookups import left_lookup, range_lookup
 from eventloom.operators.schemas import ADDRESS_LOOKUPS, TableColumn, TableSchema, conversion_of
 
@@ -220,7 +220,7 @@ def with_cells_compiled(rows: DataFrame, schemas: dict[str, TableSchema]) -> Dat
         ],
         "array<string>",
     )
-    return rows.withColumn("cells", cells).withColumn("lookups", details).drop("_raw", "_kind")
+    return rows.withColumn("cells", pinned(cells)).withColumn("lookups", pinned(details)).drop("_raw", "_kind")
 
 
 def with_cells(rows: DataFrame, schemas: dict[str, TableSchema], limit: int | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions.text import sorted_json
+from eventloom.functions.variants import pinned
 from eventloom.operators.classify import WRITTEN
 
 RECORD_VERSION = 1
@@ -153,7 +154,7 @@ def project_stream(
     fields = F.lit(None).cast("map<string,string>")
     for name, spec in config.events.items():
         fields = F.when(F.col("event") == name, _selected(config, name, spec, F.col("record"))).otherwise(fields)
-    return kept.select("event", fields.alias("fields")).where(F.size("fields") > 0)
+    return kept.select("event", pinned(fields).alias("fields")).where(F.size("fields") > 0)
 
 
 def compressed_entry(event: Column, fields: Column) -> Column:

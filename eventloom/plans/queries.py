@@ -19,7 +19,7 @@ from eventloom.operators.streams import (
 )
 from eventloom.plans import derived as d
 from eventloom.plans.replay import replace_window
-from eventloom.session import configure
+from eventloom.session import configure, spread
 from eventloom.sinks.tables import file_event, file_version
 from eventloom.sources.edge_logs import fragment_filter
 from eventloom.sources.lookup_tables import build_login_dim
@@ -47,7 +47,7 @@ def schema(columns: list[tuple], events: list[str] = EVENT_TYPES, version: int =
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.table(spark, sf_dir, "events")
+    return spread(d.table(spark, sf_dir, "events"))
 
 
 def collated(spark, sf_dir, properties: str, columns, tracked=EVENT_TYPES, lookups=None, **fields) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
     # Last of a repeated JSON key wins, also inside nested objects.
@@ -37,6 +37,16 @@ def local_session(cores: int = 8, memory: str = "8g", partitions: int = 8) -> Sp
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Input over all cores when it arrives in fewer partitions than there are cores.
+
+    Only small or unsplittable inputs (one row group, one gzip file) are moved; an input
+    that already fills the cluster stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor sees, named by ``spark.checkpoint.dir``.
 
