@@ -8,7 +8,8 @@ from eventloom.functions.variants import let
 
 # Characters that need an escape inside a quoted field: the quote, the backslash and
 # everything not printable (controls, format characters, separators but the plain blank).
-NEEDS_ESCAPE = r'["\\]|[\p{C}\p{Z}&&[^ ]]'
+NOT_PRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
+NEEDS_ESCAPE = r'["\\]|' + NOT_PRINTABLE
 
 # Short escapes of a quoted field.
 SHORT_ESCAPES = {
@@ -75,26 +76,33 @@ def float_text(value: Column) -> Column:
     return let(value.cast("string"), shortest)
 
 
-def _escape_char(ch: Column) -> Column:
+def _escape_rare(ch: Column) -> Column:
     code = F.ascii(ch)
-    short = F.lit(None).cast("string")
-    for raw, escaped in SHORT_ESCAPES.items():
-        short = F.coalesce(F.when(ch == F.lit(raw), F.lit(escaped)), short)
     hexed = F.lower(F.hex(code))
     numeric = (
         F.when(code < 128, F.concat(F.lit("\\x"), F.lpad(hexed, 2, "0")))
         .when(code < 65536, F.concat(F.lit("\\u"), F.lpad(hexed, 4, "0")))
         .otherwise(F.concat(F.lit("\\U"), F.lpad(hexed, 8, "0")))
     )
-    return F.when(~ch.rlike(NEEDS_ESCAPE), ch).otherwise(F.coalesce(short, numeric))
+    return F.when(ch.rlike(NOT_PRINTABLE), numeric).otherwise(ch)
 
 
 def quote_field(value: Column) -> Column:
-    """Double-quoted field with escapes; most values take the no-escape branch."""
-    value = F.coalesce(value, F.lit(""))
-    escaped = F.array_join(F.transform(F.split(value, ""), _escape_char), "")
-    body = F.when(value.rlike(NEEDS_ESCAPE), escaped).otherwise(value)
-    return F.concat(F.lit('"'), body, F.lit('"'))
+    """Double-quoted field with escapes.
+
+    Most values need none; the common escapes are plain replaces, and only text with
+    other unprintable characters is taken apart character by character.
+    """
+    def body(v: Column) -> Column:
+        common = v
+        for raw, escaped in SHORT_ESCAPES.items():
+            common = F.replace(common, F.lit(raw), F.lit(escaped))
+        every = let(common, lambda c: F.when(
+            c.rlike(NOT_PRINTABLE), F.array_join(F.transform(F.split(c, ""), _escape_rare), "")
+        ).otherwise(c))
+        return F.when(v.rlike(NEEDS_ESCAPE), every).otherwise(v)
+
+    return F.concat(F.lit('"'), let(F.coalesce(value, F.lit("")), body), F.lit('"'))
 
 
 def unquote_field(field: Column) -> Column:
@@ -102,14 +110,16 @@ def unquote_field(field: Column) -> Column:
     body = F.regexp_replace(field, r'^"|"$', "")
 
     def unescape(part: Column) -> Column:
-        # Rewrite the escapes JSON does not know, then let the JSON reader do the rest.
-        part = F.regexp_replace(part, r"\\x([0-9a-f]{2})", r"\\u00$1")
-        part = F.replace(part, F.lit("\\a"), F.lit("\\u0007"))
-        part = F.replace(part, F.lit("\\v"), F.lit("\\u000b"))
-        part = F.regexp_replace(part, r"\\([^\"/bfnrtu])", "$1")
-        return F.coalesce(
-            F.get_json_object(F.concat(F.lit('{"v":"'), part, F.lit('"}')), "$.v"), part
-        )
+        plain = part
+        for raw, escaped in SHORT_ESCAPES.items():
+            if raw != "\\":
+                plain = F.replace(plain, F.lit(escaped), F.lit(raw))
+        # Numbered escapes are rewritten to JSON's, and the JSON reader does the rest.
+        numbered = F.regexp_replace(part, r"\\x([0-9a-f]{2})", r"\\u00$1")
+        numbered = F.replace(numbered, F.lit("\\a"), F.lit("\\u0007"))
+        numbered = F.replace(numbered, F.lit("\\v"), F.lit("\\u000b"))
+        numbered = F.get_json_object(F.concat(F.lit('{"v":"'), numbered, F.lit('"}')), "$.v")
+        return F.when(part.rlike(r"\\[xuU]"), F.coalesce(numbered, plain)).otherwise(plain)
 
     # An escaped backslash is cut out first, so no escape is read across it.
     parts = F.transform(F.split(body, r"\\\\"), unescape)

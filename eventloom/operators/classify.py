@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions import text
 from eventloom.functions.variants import is_object, let, pinned
-from eventloom.operators.project import attach_lookups, with_cells
+from eventloom.operators.project import (
+    MAX_COMPILED_COLUMNS, PLAN_SCHEMA, CellPlan, attach_lookups, with_cells,
+)
 from eventloom.operators.schemas import TableSchema
 
 # Status codes and their texts.
@@ -35,20 +37,14 @@ def status_text(status: Column) -> Column:
     return out
 
 
-def schema_table(spark, schemas: dict[str, TableSchema]) -> DataFrame:
-    """Schemas as a small table ``event, version, names``, the build side of the event join."""
-    rows = [(s.event, s.version, s.names) for s in schemas.values()]
-    return spark.createDataFrame(rows, "event string, version int, names array<string>")
-
-
-def join_schema(events: DataFrame, schemas: dict[str, TableSchema]) -> DataFrame:
+def join_schema(events: DataFrame, plan: CellPlan) -> DataFrame:
     """Broadcast left join to the schemas; ``tracked`` says whether the event has one.
 
     The build side was compiled on the driver, so its size is bounded by ``MAX_TABLES``.
     """
-    table = schema_table(events.sparkSession, schemas).withColumn("tracked", F.lit(True))
+    table = events.sparkSession.createDataFrame(plan.rows(), PLAN_SCHEMA)
     return (
-        events.join(F.broadcast(table), "event", "left")
+        events.join(F.broadcast(table.withColumn("tracked", F.lit(True))), "event", "left")
         .withColumn("version", F.coalesce("version", F.lit(0)))
         .withColumn("tracked", F.coalesce("tracked", F.lit(False)))
     )
@@ -69,8 +65,9 @@ def collate(
     ``cells`` (see ``project``), ``names`` and ``lookups``; ``dump`` is the JSON text of an
     untracked event.  The plan is narrow except for lookup tables too big to broadcast.
     """
-    compiled_limit = options.pop("max_compiled_columns", None)
-    rows = join_schema(events, schemas)
+    compiled_limit = options.pop("max_compiled_columns", MAX_COMPILED_COLUMNS)
+    plan = CellPlan(schemas)
+    rows = join_schema(events, plan)
     props = F.col("properties")
     # Settled before any property is read; NULL goes on to the projection.
     early = (
@@ -82,7 +79,7 @@ def collate(
     )
     rows = rows.withColumn("_early", pinned(early))
     rows = attach_lookups(rows, schemas, geo=geo, asn=asn, logins=logins, **options)
-    rows = with_cells(rows, schemas, compiled_limit)
+    rows = with_cells(rows, plan, compiled_limit)
     status = F.coalesce(
         F.col("_early"),
         F.when(F.exists("cells", lambda c: c.isNull()), F.lit(SKIPPED_COLUMN)).otherwise(F.lit(SUCCESS)),

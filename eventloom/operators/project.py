@@ -7,11 +7,13 @@ TSV line all follow from the cells.  Typed tables are built straight from the va
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions import text
 from eventloom.functions.casts import bigint_value
-from eventloom.functions.variants import as_string, is_object, pinned, prop, string_only, to_variant, type_of
+from eventloom.functions.variants import is_object, let, pinned, prop, string_only, to_variant, type_of
 from eventloom.operators.lookups import left_lookup, range_lookup
 from eventloom.operators.schemas import ADDRESS_LOOKUPS, TableColumn, TableSchema, conversion_of
 
@@ -21,8 +23,8 @@ Value = tuple[Column, Column]
 ASN_NUMBER = r"^AS([+-]?[0-9]+)( |$)"
 ADDRESS_VALUES = {"geo": ["city", "region", "country"], "asn": ["asn"]}
 
-# Above this many schema columns the per-table expressions are replaced by one generic
-# expression over a joined column list, so the plan stops growing with the configuration.
+# Above this many schema columns properties are looked up by name in a map, so that the
+# plan stops growing with the configuration.
 MAX_COMPILED_COLUMNS = 600
 
 
@@ -105,19 +107,28 @@ def attach_lookups(
             for name in keys:
                 rows = rows.withColumn(name, F.lit(None).cast(f"struct<{fields}>"))
     slots = _slot_keys(schemas, mapping_names)
-    keys = {
-        f"_login{i}": F.nullif(text.trim_blanks(_slot_key(slot)), F.lit(""))
-        for i, slot in enumerate(slots)
-    }
-    if keys and logins is not None:
+    names = [f"_login{i}" for i in range(len(slots))]
+    for name, slot in zip(names, slots):
+        # NULL = not a text, '' = blank; neither is looked up.
+        rows = rows.withColumn(name + "_key", pinned(text.trim_blanks(_slot_key(slot))))
+    if names and logins is not None:
         unique = logins.groupBy("login").agg(F.max("user_id").alias("user_id"))
+        keys = {name: F.nullif(F.col(name + "_key"), F.lit("")) for name in names}
         rows = left_lookup(rows, unique, keys, "login", ["user_id"], spread, **limits)
     else:
-        for name in keys:
+        for name in names:
             rows = rows.withColumn(name, F.lit(None).cast("struct<user_id:bigint,found:boolean>"))
     return rows
 
 
+@dataclass(frozen=True)
+class Slot:
+    """One lookup of a row: the struct it found, and for logins the trimmed text."""
+
+    found: Column
+    login: Column | None = None
+
+
 # ---------------------------------------------------------------- one column
 
 
@@ -129,46 +140,45 @@ def _address_value(kind: Column, found: Column, transformer: str) -> Column:
     return F.when(kind == "STRING", known)
 
 
-def _mapping_value(raw: Value, login: Value, found: Column) -> Column:
-    return F.coalesce(bigint_value(*raw), F.when(login[1] == "STRING", found["user_id"]))
+def _mapping_value(raw: Value, slot: Slot) -> Column:
+    return F.coalesce(bigint_value(*raw), slot.found["user_id"])
 
 
-def mapping_outcome(raw: Value, login: Value, found: Column) -> Column:
+def mapping_outcome(raw: Value, slot: Slot) -> Column:
     """How the id came about: kept, resolved, or why it could not be resolved."""
     return (
         F.when(bigint_value(*raw).isNotNull(), F.lit("id_set"))
-        .when(F.coalesce(login[1] != "STRING", F.lit(True)), F.lit("bad_lookup_value"))
-        .when(F.coalesce(found["found"], F.lit(False)), F.lit("hit"))
-        .when(text.trim_blanks(as_string(login[0])) == "", F.lit("empty_lookup_value"))
+        .when(slot.login.isNull(), F.lit("bad_lookup_value"))
+        .when(slot.login == "", F.lit("empty_lookup_value"))
+        .when(F.coalesce(slot.found["found"], F.lit(False)), F.lit("hit"))
         .otherwise(F.lit("fetch_failure"))
     )
 
 
-def _mapping_cell(raw: Value, login: Value, found: Column) -> Column:
-    kept = bigint_value(*raw)
-    resolved = (login[1] == "STRING") & found["found"]
-    return F.coalesce(
-        kept.cast("string"),
-        F.when(resolved, F.coalesce(found["user_id"].cast("string"), F.lit(""))),
-    )
+def _mapping_cell(raw: Value, slot: Slot) -> Column:
+    resolved = F.when(slot.found["found"], F.coalesce(slot.found["user_id"].cast("string"), F.lit("")))
+    return F.coalesce(bigint_value(*raw).cast("string"), resolved)
 
 
-def _slot_of(schema: TableSchema, column: TableColumn) -> Column:
+def _slot_name(schema: TableSchema, column: TableColumn) -> str:
     if column.is_mapping:
-        return F.col(f"_login{mapping_names(schema).index(column.supporting[0])}")
+        return f"_login{mapping_names(schema).index(column.supporting[0])}"
     table = ADDRESS_LOOKUPS[column.transformer][0]
-    return F.col(f"_{table}{address_names(schema, table).index(column.inbound)}")
+    return f"_{table}{address_names(schema, table).index(column.inbound)}"
 
 
-def _column(schema: TableSchema, column: TableColumn, get, typed: bool) -> Column:
-    raw = get(column.inbound)
+def _slot_of(schema: TableSchema, column: TableColumn) -> Slot:
+    name = _slot_name(schema, column)
+    return Slot(F.col(name), F.col(name + "_key") if column.is_mapping else None)
+
+
+def _column(schema: TableSchema, column: TableColumn, raw: Value, typed: bool) -> Column:
     if column.is_mapping:
         if len(column.supporting) != 1:
             return F.lit(None).cast("bigint" if typed else "string")
-        build = _mapping_value if typed else _mapping_cell
-        return build(raw, get(column.supporting[0]), _slot_of(schema, column))
+        return (_mapping_value if typed else _mapping_cell)(raw, _slot_of(schema, column))
     if column.transformer in ADDRESS_LOOKUPS:
-        value = _address_value(raw[1], _slot_of(schema, column), column.transformer)
+        value = _address_value(raw[1], _slot_of(schema, column).found, column.transformer)
         return value if typed else value.cast("string")
     conversion = conversion_of(column.transformer)
     if column.inbound == "time" and conversion.from_seconds:
@@ -180,51 +190,107 @@ def _column(schema: TableSchema, column: TableColumn, get, typed: bool) -> Colum
 # ---------------------------------------------------------------- all tables, one pass
 
 
-def _by_event(schemas: dict[str, TableSchema], build, empty_type: str) -> Column:
-    out = None
-    for schema in schemas.values():
-        items = build(schema)
-        value = F.array(*items) if items else F.array().cast(empty_type)
-        test = F.col("event") == schema.event
-        out = F.when(test, value) if out is None else out.when(test, value)
-    return out if out is not None else F.lit(None).cast(empty_type)
+class CellPlan:
+    """Schemas as data: every way of reading a column gets a number.
 
+    A row carries the numbers of its table's columns (``codes``), and one expression reads
+    all columns of all tables by number.  The plan grows with the kinds of columns in use,
+    not with the number of tables.
+    """
 
-def _inbound_names(schema: TableSchema) -> list[str]:
-    return _distinct([n for c in schema.columns for n in (c.inbound, *c.supporting)])
+    def __init__(self, schemas: dict[str, TableSchema]):
+        self.schemas = schemas
+        self._codes: dict[tuple, int] = {}
+        self._examples: list[tuple[TableSchema, TableColumn]] = []
+        self.codes = {e: [self._code(s, c) for c in s.columns] for e, s in schemas.items()}
+
+    def _code(self, schema: TableSchema, column: TableColumn) -> int:
+        server_time = column.inbound == "time"
+        if column.is_mapping:
+            slot = _slot_name(schema, column) if len(column.supporting) == 1 else ""
+            key = (column.transformer, slot)
+        elif column.transformer in ADDRESS_LOOKUPS:
+            key = (column.transformer, _slot_name(schema, column))
+        else:
+            key = (column.transformer, server_time)
+        if key not in self._codes:
+            self._codes[key] = len(self._codes)
+            self._examples.append((schema, column))
+        return self._codes[key]
+
+    def _case(self, code: Column, build, only=lambda column: True) -> Column:
+        out = F.lit(None).cast("string")
+        for number, (schema, column) in reversed(list(enumerate(self._examples))):
+            if only(column):
+                out = F.when(code == number, build(schema, column)).otherwise(out)
+        return out
+
+    def cell(self, value: Value, code: Column) -> Column:
+        return self._case(code, lambda s, c: _column(s, c, value, False))
+
+    def outcome(self, value: Value, code: Column) -> Column:
+        """Lookup detail of a mapping column, NULL for other columns."""
+        resolvable = lambda c: c.is_mapping and len(c.supporting) == 1
+        return self._case(code, lambda s, c: mapping_outcome(value, _slot_of(s, c)), resolvable)
+
+    def has_mappings(self) -> bool:
+        return any(mapping_names(s) for s in self.schemas.values())
+
+    def rows(self) -> list[tuple]:
+        """``event, version, names, inbounds, codes`` of every table."""
+        return [
+            (s.event, s.version, s.names, [c.inbound for c in s.columns], self.codes[e])
+            for e, s in self.schemas.items()
+        ]
+
+
+PLAN_SCHEMA = "event string, version int, names array<string>, inbounds array<string>, codes array<int>"
+
+
+def _raw_compiled(schemas: dict[str, TableSchema]) -> Column:
+    """Properties of the row's columns: one branch per table, literal paths."""
+    out = F.lit(None).cast("array<variant>")
+    for schema in reversed(list(schemas.values())):
+        names = [inbound(c.inbound) for c in schema.columns]
+        value = F.array(*names) if names else F.array().cast("array<variant>")
+        out = F.when(F.col("event") == schema.event, value).otherwise(out)
+    return out
 
 
-def with_cells_compiled(rows: DataFrame, schemas: dict[str, TableSchema]) -> DataFrame:
-    """Cells by one branch per table.
+def _raw_generic() -> Column:
+    """The same by looking each inbound name up in the properties as a map."""
+    def over(props: Column) -> Column:
+        def one(name: Column) -> Column:
+            out = F.try_element_at(props, name)
+            for special in ("time", "client_time", "ip", "user_agent"):
+                out = F.when(name == special, inbound(special)).otherwise(out)
+            return out
 
-    Properties and their types are read once, into ``_raw`` and ``_kind``; the branches
-    only index these, so the generated code stays small.
-    """
-    def getter(schema: TableSchema):
-        names = _inbound_names(schema)
-        return lambda name: (F.col("_raw")[names.index(name)], F.col("_kind")[names.index(name)])
-
-    rows = rows.withColumn(
-        "_raw",
-        _by_event(schemas, lambda s: [inbound(n) for n in _inbound_names(s)], "array<variant>"),
-    ).withColumn("_kind", F.transform("_raw", type_of))
-    cells = _by_event(
-        schemas, lambda s: [_column(s, c, getter(s), False) for c in s.columns], "array<string>"
-    )
-    details = _by_event(
-        {e: s for e, s in schemas.items() if mapping_names(s)},
-        lambda s: [
-            mapping_outcome(getter(s)(c.inbound), getter(s)(c.supporting[0]), _slot_of(s, c))
-            for c in s.columns
-            if c.is_mapping and len(c.supporting) == 1
-        ],
-        "array<string>",
-    )
-    return rows.withColumn("cells", pinned(cells)).withColumn("lookups", pinned(details)).drop("_raw", "_kind")
+        return F.transform("inbounds", one)
+
+    return let(F.try_variant_get("properties", "$", "map<string,variant>"), over)
 
 
-def with_cells(rows: DataFrame, schemas: dict[str, TableSchema], limit: int | None = None) -> DataFrame:
-    return with_cells_compiled(rows, schemas)
+def with_cells(rows: DataFrame, plan: CellPlan, max_compiled_columns: int = MAX_COMPILED_COLUMNS) -> DataFrame:
+    """Adds ``cells`` and ``lookups`` to rows that carry ``inbounds`` and ``codes``."""
+    columns = sum(len(s.columns) for s in plan.schemas.values())
+    raw = _raw_compiled(plan.schemas) if columns <= max_compiled_columns else _raw_generic()
+    rows = rows.withColumn("_raw", pinned(F.when(F.col("codes").isNotNull(), raw)))
+    rows = rows.withColumn("_kind", F.transform("_raw", type_of))
+    zipped = F.arrays_zip(
+        F.col("_raw").alias("raw"), F.col("_kind").alias("kind"), F.col("codes").alias("code")
+    )
+    rows = rows.withColumn("_zip", zipped)
+    value = lambda x: (x["raw"], x["kind"])
+    cells = F.transform("_zip", lambda x: plan.cell(value(x), x["code"]))
+    details = F.lit(None).cast("array<string>")
+    if plan.has_mappings():
+        told = F.transform("_zip", lambda x: plan.outcome(value(x), x["code"]))
+        told = F.filter(told, lambda o: o.isNotNull())
+        details = F.when(F.size(told) > 0, told)
+    return rows.withColumn("cells", pinned(cells)).withColumn("lookups", pinned(details)).drop(
+        "_raw", "_kind", "_zip", "inbounds", "codes"
+    )
 
 
 # ---------------------------------------------------------------- one typed table
@@ -233,12 +299,11 @@ def with_cells(rows: DataFrame, schemas: dict[str, TableSchema], limit: int | No
 def typed_columns(schema: TableSchema) -> list[Column]:
     """Typed projection of one table; a repeated outbound name gets a numeric suffix."""
     seen: dict[str, int] = {}
-    get = lambda name: (inbound(name), type_of(inbound(name)))
     out = []
     for c in schema.columns:
         seen[c.outbound] = seen.get(c.outbound, 0) + 1
         name = c.outbound if seen[c.outbound] == 1 else f"{c.outbound}_{seen[c.outbound]}"
-        out.append(_column(schema, c, get, True).alias(name))
+        out.append(_column(schema, c, (inbound(c.inbound), type_of(inbound(c.inbound))), True).alias(name))
     return out
 
 

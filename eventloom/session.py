@@ -30,6 +30,8 @@ def local_session(cores: int = 8, memory: str = "8g", partitions: int = 8) -> Sp
         SparkSession.builder.master(f"local[{cores}]")
         .appName("eventloom")
         .config("spark.ui.enabled", "false")
+        # Call sites of Column operations are not recorded: large plans build faster.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
