@@ -133,15 +133,15 @@ def load_tsv(spark: SparkSession, path: str, schema: TableSchema) -> DataFrame:
     NULL, invalid UTF-8 becomes ``?``, trailing blanks go, text is cut to the column width,
     and a number that does not fit its column is NULL.
     """
-    fields = F.split(F.col("value"), "\t")
+    line = F.col("value")
+    repaired = F.replace(F.make_valid_utf8(line), F.lit("\ufffd"), F.lit("?"))
+    fields = F.split(F.when(F.is_valid_utf8(line), line).otherwise(repaired), "\t")
     seen: dict[str, int] = {}
     out = []
     for i, c in enumerate(schema.columns):
         seen[c.outbound] = seen.get(c.outbound, 0) + 1
         name = c.outbound if seen[c.outbound] == 1 else f"{c.outbound}_{seen[c.outbound]}"
         text = unquote_field(F.get(fields, F.lit(i)))
-        repaired = F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("?"))
-        text = F.when(F.is_valid_utf8(text), text).otherwise(repaired)
         text = F.nullif(F.rtrim(text), F.lit(""))
         width = column_width(c.options)
         if c.sql_type == "string":
@@ -151,7 +151,7 @@ def load_tsv(spark: SparkSession, path: str, schema: TableSchema) -> DataFrame:
         else:
             value = text.try_cast(c.sql_type)
         out.append(value.alias(name))
-    return spark.read.text(path).select(*out)
+    return spark.read.text(path).select("value").select(*out)
 
 
 def table_folder(path: str, schema: TableSchema) -> str:
