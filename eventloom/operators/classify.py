@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions import text
 from eventloom.functions.variants import is_object, let, pinned
+from eventloom.operators.lookups import BROADCAST_LIMIT
 from eventloom.operators.project import (
     MAX_COMPILED_COLUMNS, PLAN_SCHEMA, CellPlan, attach_lookups, with_cells,
 )
@@ -38,13 +39,14 @@ def status_text(status: Column) -> Column:
 
 
 def join_schema(events: DataFrame, plan: CellPlan) -> DataFrame:
-    """Broadcast left join to the schemas; ``tracked`` says whether the event has one.
+    """Left join to the schemas; ``tracked`` says whether the event has one.
 
-    The build side was compiled on the driver, so its size is bounded by ``MAX_TABLES``.
+    The schemas were compiled on the driver, so their size is known: they are broadcast
+    within the limit, beyond it the join is left to the optimizer.
     """
-    table = events.sparkSession.createDataFrame(plan.rows(), PLAN_SCHEMA)
+    table = events.sparkSession.createDataFrame(plan.rows(), PLAN_SCHEMA).withColumn("tracked", F.lit(True))
     return (
-        events.join(F.broadcast(table.withColumn("tracked", F.lit(True))), "event", "left")
+        events.join(F.broadcast(table) if plan.size() <= BROADCAST_LIMIT else table, "event", "left")
         .withColumn("version", F.coalesce("version", F.lit(0)))
         .withColumn("tracked", F.coalesce("tracked", F.lit(False)))
     )

@@ -3,6 +3,7 @@ shuffle join otherwise.  Every left row comes out exactly once."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,52 +36,56 @@ def _filler(spread: Column) -> Column:
     return F.concat(F.lit("\x00"), spread.cast("string"))
 
 
-def left_lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: dict[str, Column],
-    table_key: str,
-    values: list[str],
-    spread: Column,
-    *,
-    broadcast_limit: int = BROADCAST_LIMIT,
-    salt_buckets: int = SALT_BUCKETS,
-) -> DataFrame:
-    """Adds one struct column per entry of ``keys`` with ``values`` (NULL when unmatched).
-
-    ``table_key`` must be unique in ``table``.  Beyond ``broadcast_limit`` the join
-    shuffles on (key, salt): a hot key is spread over ``salt_buckets`` partitions, at the
-    price of that many copies of the (much smaller) lookup rows.
+@dataclass(frozen=True)
+class KeyTable:
+    """Dimension table made ready for lookups: measured once, used by many batches."""
+
+    payload: DataFrame
+    values: tuple[str, ...]
+    small: bool
+    salt_buckets: int
+
+
+def prepare_keys(
+    table: DataFrame, key: str, values: list[str], *,
+    broadcast_limit: int = BROADCAST_LIMIT, salt_buckets: int = SALT_BUCKETS,
+) -> KeyTable:
+    """Lookup rows of a dimension table whose ``key`` is unique.
+
+    A table within ``broadcast_limit`` (measured) is broadcast; a bigger one is repeated
+    per salt, so that the shuffle join can spread a hot key over ``salt_buckets`` tasks.
     """
-    payload = table.where(F.col(table_key).isNotNull()).select(
-        F.col(table_key).cast("string").alias("_tk"),
-        F.struct(*values, F.lit(True).alias("found")).alias("_tv"),
+    payload = table.where(F.col(key).isNotNull()).select(
+        F.col(key).cast("string").alias("_tk"), F.struct(*values, F.lit(True).alias("found")).alias("_tv")
     )
-    small = fits_broadcast(table.select(table_key, *values), broadcast_limit)
+    small = fits_broadcast(table.select(key, *values), broadcast_limit)
     if not small:
-        payload = payload.withColumn(
-            "_ts", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-        )
+        payload = payload.withColumn("_ts", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return KeyTable(payload, tuple(values), small, salt_buckets)
+
+
+def left_lookup(rows: DataFrame, table: KeyTable, keys: dict[str, Column], spread: Column) -> DataFrame:
+    """Adds one struct column per entry of ``keys``, NULL when unmatched.
+
+    Every row comes out once.  Beyond the broadcast limit the join shuffles on (key, salt),
+    at the price of one copy of the much smaller lookup row per salt.
+    """
     for name, key in keys.items():
-        if small:
-            rows = (
-                rows.withColumn("_k", key)
-                .join(F.broadcast(payload), F.col("_k") == F.col("_tk"), "left")
-                .withColumn(name, F.col("_tv"))
-                .drop("_k", "_tk", "_tv")
+        if table.small:
+            joined = rows.withColumn("_k", key).join(
+                F.broadcast(table.payload), F.col("_k") == F.col("_tk"), "left"
             )
         else:
-            rows = (
+            joined = (
                 rows.withColumn("_k", F.coalesce(key, _filler(spread)))
-                .withColumn("_s", F.pmod(spread, F.lit(salt_buckets)).cast("int"))
+                .withColumn("_s", F.pmod(spread, F.lit(table.salt_buckets)).cast("int"))
                 .join(
-                    payload.hint("merge"),
+                    table.payload.hint("merge"),
                     (F.col("_k") == F.col("_tk")) & (F.col("_s") == F.col("_ts")),
                     "left",
                 )
-                .withColumn(name, F.col("_tv"))
-                .drop("_k", "_s", "_tk", "_ts", "_tv")
             )
+        rows = joined.withColumn(name, F.col("_tv")).drop("_k", "_s", "_tk", "_ts", "_tv")
     return rows
 
 
@@ -114,21 +119,23 @@ def bucket_shift(blocks: DataFrame) -> int:
     return min(fitting, default=BUCKET_SHIFTS[0])
 
 
-def range_lookup(
-    rows: DataFrame,
-    blocks: DataFrame,
-    addresses: dict[str, Column],
-    values: list[str],
-    spread: Column,
-    *,
-    broadcast_limit: int = BROADCAST_LIMIT,
-    salt_buckets: int = SALT_BUCKETS,
-) -> DataFrame:
-    """Adds one struct column per address with ``values`` of the covering block.
-
-    ``blocks`` has disjoint ``[start_ip, end_ip]`` rows.  Each block is cut into buckets of
-    equal width, which gives the join an equality key; the range test stays inside the
-    join condition, so uncovered rows survive.  An open range join would be a nested loop.
+@dataclass(frozen=True)
+class RangeTable:
+    """Range table cut into buckets and made ready for lookups."""
+
+    cut: DataFrame
+    shift: int
+    small: bool
+    salt_buckets: int
+
+
+def prepare_ranges(
+    blocks: DataFrame, values: list[str], *,
+    broadcast_limit: int = BROADCAST_LIMIT, salt_buckets: int = SALT_BUCKETS,
+) -> RangeTable:
+    """Buckets of disjoint ``[start_ip, end_ip]`` blocks, measured once.
+
+    Each block is cut into buckets of equal width, which gives the join an equality key.
     """
     shift = bucket_shift(blocks)
     cut = blocks.select(
@@ -140,27 +147,36 @@ def range_lookup(
     small = fits_broadcast(cut.select("_tb", "_lo", "_hi", "_tv.*"), broadcast_limit)
     if not small:
         cut = cut.withColumn("_ts", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return RangeTable(cut, shift, small, salt_buckets)
+
+
+def range_lookup(rows: DataFrame, table: RangeTable, addresses: dict[str, Column], spread: Column) -> DataFrame:
+    """Adds one struct column per address with the values of the covering block.
+
+    The range test stays inside the join condition, so uncovered rows survive.  An open
+    range join would be a nested loop.
+    """
     for name, address in addresses.items():
         rows = rows.withColumn("_ip", ip_number(address))
         inside = F.col("_ip").between(F.col("_lo"), F.col("_hi"))
-        bucket = F.shiftright("_ip", shift)
-        if small:
-            rows = rows.withColumn("_b", bucket).join(
-                F.broadcast(cut), (F.col("_b") == F.col("_tb")) & inside, "left"
+        bucket = F.shiftright("_ip", table.shift)
+        if table.small:
+            joined = rows.withColumn("_b", bucket).join(
+                F.broadcast(table.cut), (F.col("_b") == F.col("_tb")) & inside, "left"
             )
         else:
             # Rows without an address take scattered negative buckets, which match nothing.
             scattered = -1 - F.pmod(spread, F.lit(1 << 20))
-            rows = (
+            joined = (
                 rows.withColumn("_b", F.coalesce(bucket, scattered))
-                .withColumn("_s", F.pmod(spread, F.lit(salt_buckets)).cast("int"))
+                .withColumn("_s", F.pmod(spread, F.lit(table.salt_buckets)).cast("int"))
                 .join(
-                    cut.hint("merge"),
+                    table.cut.hint("merge"),
                     (F.col("_b") == F.col("_tb")) & (F.col("_s") == F.col("_ts")) & inside,
                     "left",
                 )
             )
-        rows = rows.withColumn(name, F.col("_tv")).drop(
+        rows = joined.withColumn(name, F.col("_tv")).drop(
             "_ip", "_b", "_s", "_tb", "_ts", "_lo", "_hi", "_tv"
         )
     return rows

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventloom.functions import text
 from eventloom.functions.casts import bigint_value
 from eventloom.functions.variants import is_object, let, pinned, prop, string_only, to_variant, type_of
-from eventloom.operators.lookups import left_lookup, range_lookup
+from eventloom.operators.lookups import (
+    KeyTable, RangeTable, left_lookup, prepare_keys, prepare_ranges, range_lookup,
+)
 from eventloom.operators.schemas import ADDRESS_LOOKUPS, TableColumn, TableSchema, conversion_of
 
 # A VARIANT and its type name.
@@ -83,25 +85,39 @@ def _slot_key(slot: dict[str, list[str]]) -> Column:
     return key
 
 
+def prepare_logins(logins: DataFrame, **limits) -> KeyTable:
+    unique = logins.groupBy("login").agg(F.max("user_id").alias("user_id"))
+    return prepare_keys(unique, "login", ["user_id"], **limits)
+
+
+def prepare_blocks(blocks: DataFrame, table: str, **limits) -> RangeTable:
+    """Address blocks for ``geo`` or ``asn`` lookups."""
+    return prepare_ranges(blocks, ADDRESS_VALUES[table], **limits)
+
+
 def attach_lookups(
     rows: DataFrame,
     schemas: dict[str, TableSchema],
     *,
-    geo: DataFrame | None = None,
-    asn: DataFrame | None = None,
-    logins: DataFrame | None = None,
+    geo: DataFrame | RangeTable | None = None,
+    asn: DataFrame | RangeTable | None = None,
+    logins: DataFrame | KeyTable | None = None,
     **limits,
 ) -> DataFrame:
     """Adds ``_geo<i>``, ``_asn<i>`` and ``_login<i>`` for the tables that use them.
 
-    Without a table the columns are NULL: no block covers the address, no login resolves.
+    Tables are DataFrames, or prepared once with ``prepare_blocks`` / ``prepare_logins``
+    where many batches use them.  Without a table the columns are NULL: no block covers
+    the address, no login resolves.
     """
     spread = F.xxhash64("uuid", "event_time")
     for table, blocks in (("geo", geo), ("asn", asn)):
         slots = _slot_keys(schemas, lambda s: address_names(s, table))
         keys = {f"_{table}{i}": _slot_key(slot) for i, slot in enumerate(slots)}
         if keys and blocks is not None:
-            rows = range_lookup(rows, blocks, keys, ADDRESS_VALUES[table], spread, **limits)
+            if isinstance(blocks, DataFrame):
+                blocks = prepare_blocks(blocks, table, **limits)
+            rows = range_lookup(rows, blocks, keys, spread)
         else:
             fields = ", ".join(f"{f} string" for f in ADDRESS_VALUES[table])
             for name in keys:
@@ -112,9 +128,10 @@ def attach_lookups(
         # NULL = not a text, '' = blank; neither is looked up.
         rows = rows.withColumn(name + "_key", pinned(text.trim_blanks(_slot_key(slot))))
     if names and logins is not None:
-        unique = logins.groupBy("login").agg(F.max("user_id").alias("user_id"))
+        if isinstance(logins, DataFrame):
+            logins = prepare_logins(logins, **limits)
         keys = {name: F.nullif(F.col(name + "_key"), F.lit("")) for name in names}
-        rows = left_lookup(rows, unique, keys, "login", ["user_id"], spread, **limits)
+        rows = left_lookup(rows, logins, keys, spread)
     else:
         for name in names:
             rows = rows.withColumn(name, F.lit(None).cast("struct<user_id:bigint,found:boolean>"))
@@ -233,6 +250,13 @@ class CellPlan:
         resolvable = lambda c: c.is_mapping and len(c.supporting) == 1
         return self._case(code, lambda s, c: mapping_outcome(value, _slot_of(s, c)), resolvable)
 
+    def size(self) -> int:
+        """Bytes of the table's texts plus a fixed overhead per column."""
+        return sum(
+            len(s.event.encode()) + sum(len(c.outbound.encode()) + len(c.inbound.encode()) + 32 for c in s.columns)
+            for s in self.schemas.values()
+        )
+
     def has_mappings(self) -> bool:
         return any(mapping_names(s) for s in self.schemas.values())
 

@@ -273,3 +273,19 @@ SELECT coalesce(o.k, n.k) AS s_suppkey, o.v AS old_version, n.v AS new_version,
        CASE WHEN o.k IS NULL THEN 'ADD' WHEN n.k IS NULL THEN 'DROP' WHEN o.v = n.v THEN 'KEEP'
             WHEN o.v > n.v THEN 'REJECT' ELSE 'REPLACE' END AS action
 FROM o FULL JOIN n ON o.k = n.k"""
+
+ORACLES["dedupe_sessions"] = ORACLES["dedupe_by_user"]
+
+ORACLES["table_files_roundtrip"] = f"""
+SELECT {TIME_TEXT} AS time_utc, user_id, value, event_type AS kind, event_id % 2 = 0 AS even,
+       CASE WHEN event_id % 7 <> 0 THEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) END AS k, '10.0.0.1' AS ip
+FROM events WHERE event_type = 'click'"""
+
+ORACLES["manifest_rows"] = """
+SELECT event_type AS table_name, 3 AS table_version, count(*) AS n_rows FROM events GROUP BY event_type"""
+
+ORACLES["routed_rows"] = MIXED + """
+SELECT CASE WHEN status IN (0, 6) THEN 'tables' WHEN status = 2 THEN 'untracked' ELSE 'failed' END AS route,
+       concat(category, '.v', CASE WHEN status IN (0, 6) OR (status = 5 AND event <> '') THEN 3 ELSE 0 END) AS filed_as,
+       count(*) AS n
+FROM filed GROUP BY 1, 2"""

@@ -10,6 +10,8 @@ from eventloom.operators.classify import UNTRACKED, WRITTEN, collate, with_recor
 from eventloom.operators.decode import decode_edge_log, expand_globs, explode_events, inflate_globs
 from eventloom.operators.dedupe import DEFAULT_TTL_SECONDS, dedupe_globs
 from eventloom.operators.pack import batch_records, pack_globs
+from eventloom.operators.lookups import KeyTable, RangeTable
+from eventloom.operators.project import prepare_blocks, prepare_logins
 from eventloom.operators.schemas import TableSchema
 from eventloom.operators.streams import (
     RecordFilter, StreamConfig, project_stream, stream_entries, wrap_records, written,
@@ -19,11 +21,20 @@ from eventloom.sinks.tables import write_tables, write_untracked
 
 @dataclass
 class Lookups:
-    """Optional lookup tables of the projection."""
-
-    geo: DataFrame | None = None
-    asn: DataFrame | None = None
-    logins: DataFrame | None = None
+    """Optional lookup tables of the projection, as DataFrames or already prepared."""
+
+    geo: DataFrame | RangeTable | None = None
+    asn: DataFrame | RangeTable | None = None
+    logins: DataFrame | KeyTable | None = None
+
+    def prepared(self, **limits) -> Lookups:
+        """The same tables measured and cut once, for use by many batches."""
+        is_frame = lambda t: isinstance(t, DataFrame)
+        return Lookups(
+            prepare_blocks(self.geo, "geo", **limits) if is_frame(self.geo) else self.geo,
+            prepare_blocks(self.asn, "asn", **limits) if is_frame(self.asn) else self.asn,
+            prepare_logins(self.logins, **limits) if is_frame(self.logins) else self.logins,
+        )
 
     def as_options(self) -> dict:
         return {"geo": self.geo, "asn": self.asn, "logins": self.logins}

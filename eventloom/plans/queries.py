@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.functions import text
 from eventloom.operators import classify, decode, reports
-from eventloom.operators.dedupe import dedupe_globs
+from eventloom.operators.dedupe import dedupe_globs, session_dedupe
 from eventloom.operators.pack import batch_by_count, deflate_text, pack_globs
 from eventloom.operators.project import cast_to_schema
 from eventloom.operators.schemas import TableSchema, compile_schemas
@@ -18,9 +19,12 @@ from eventloom.operators.streams import (
     RecordFilter, StreamConfig, StreamEvent, compressed_entry, plain_entry, project_stream, wrap_records, written,
 )
 from eventloom.plans import derived as d
+from eventloom.plans.pipeline import route
 from eventloom.plans.replay import replace_window
-from eventloom.session import configure, spread
-from eventloom.sinks.tables import file_event, file_version
+from eventloom.session import configure, shared_folder, spread
+from eventloom.sinks.tables import (
+    build_manifest, file_event, file_version, load_tsv, table_folder, write_tables,
+)
 from eventloom.sources.edge_logs import fragment_filter
 from eventloom.sources.lookup_tables import build_login_dim
 
@@ -314,6 +318,34 @@ def file_names(spark, sf_dir):
     )
 
 
+def _written_tables(spark, sf_dir) -> str:
+    """Whole events written as table files, under a folder of this run."""
+    folder = f"{shared_folder(spark)}/tables-{uuid4().hex}"
+    return write_tables(collated(spark, sf_dir, TABLE_PROPS, TABLE_COLUMNS), folder)
+
+
+@query
+def table_files_roundtrip(spark, sf_dir):
+    """Write gzip TSV tables and load one back with its types."""
+    table = schema(TABLE_COLUMNS)["click"]
+    out = load_tsv(spark, table_folder(_written_tables(spark, sf_dir), table), table)
+    return out.withColumn("time_utc", F.col("time_utc").cast("string"))
+
+
+@query
+def manifest_rows(spark, sf_dir):
+    """Rows the manifest reports for each written table."""
+    files = build_manifest(spark, _written_tables(spark, sf_dir))
+    return files.groupBy("table_name", "table_version").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query
+def routed_rows(spark, sf_dir):
+    rows = route(_mixed(spark, sf_dir))
+    filed = classify.category(F.col("category"), F.col("version"))
+    return rows.groupBy("route", filed.alias("filed_as")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- lookups
 
 
@@ -473,6 +505,13 @@ def dedupe_by_user(spark, sf_dir):
     return dedupe_globs(rows, "key", "ts", 6 * 3600).select("event_id", "user_id")
 
 
+@query
+def dedupe_sessions(spark, sf_dir):
+    """The rule as one session-window aggregation, the form a stream runs."""
+    rows = events(spark, sf_dir).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    return session_dedupe(rows, "user_id", "ts", 6 * 3600).select("event_id", "user_id")
+
+
 @query
 def glob_totals(spark, sf_dir):
     """One glob per event: some unreadable, the id repeated within the time to live."""

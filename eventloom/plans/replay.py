@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -120,6 +121,7 @@ def replay(
     skip_transform: bool = False,
     skip_load: bool = False,
     on_missing: str = "keep",
+    pool_size: int = 4,
 ) -> list[Replaced]:
     """Transform the logs of ``[start, end]`` and replace that window in each table.
 
@@ -145,21 +147,22 @@ def replay(
         return []
 
     wall = lambda t: t.replace(tzinfo=None)
-    results = []
-    for name in tables if tables is not None else list(schemas):
+
+    def load(name: str) -> Replaced:
         try:
             schema = schemas[name]
             folder = table_folder(f"{output_path}/run_tag={run_tag}", schema)
             replayed = load_tsv(spark, folder, schema) if _path_exists(spark, folder) else None
             if replayed is None:
                 log.error("no replayed files in %s", folder)
-            results.append(
-                replace_window_table(
-                    spark, f"{target_path}/{name}", replayed, wall(start), wall(end),
-                    run_tag=run_tag, table=name, on_missing=on_missing,
-                )
+            return replace_window_table(
+                spark, f"{target_path}/{name}", replayed, wall(start), wall(end),
+                run_tag=run_tag, table=name, on_missing=on_missing,
             )
         except Exception as problem:  # the other tables go on
             log.exception("replacing the window of %s failed", name)
-            results.append(Replaced(name, error=str(problem)))
-    return results
+            return Replaced(name, error=str(problem))
+
+    # Each load is a Spark job of its own; a few at a time keep the cluster busy.
+    with ThreadPoolExecutor(pool_size) as pool:
+        return list(pool.map(load, tables if tables is not None else list(schemas)))

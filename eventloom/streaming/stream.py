@@ -84,16 +84,23 @@ class CollateStream:
         if self.lines:
             return decode_edge_log(batch)
         if self.dedupe is not None:
-            keyed = inflate_globs(batch.select("value", "arrival")).select("value", "arrival", "glob_key")
-            batch = self.dedupe.apply(keyed, batch_id)
+            batch = self.dedupe.apply(batch, batch_id)
         return explode_events(expand_globs(inflate_globs(batch.select("value"))))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         schemas: dict[str, TableSchema] = self.schemas.get()
         sinks: Sinks = self.sinks.get()
-        rows = collate(self._events(batch, batch_id), schemas, **self.lookups().as_options())
+        keyed = None
+        if self.dedupe is not None and not self.lines:
+            # Read by the dedupe and again for its memory.
+            keyed = inflate_globs(batch.select("value", "arrival")).select("value", "arrival", "glob_key").persist()
+        rows = collate(
+            self._events(keyed if keyed is not None else batch, batch_id), schemas, **self.lookups().as_options()
+        )
         # Folders named by batch id make a repeated batch overwrite its own output.
         stored = store_collated(rows, f"{self.store_path}/batch_id={batch_id}")
+        if keyed is not None:
+            keyed.unpersist()
         per_batch = Sinks(
             tables=sinks.tables and f"{sinks.tables}/batch_id={batch_id}",
             untracked=sinks.untracked and f"{sinks.untracked}/batch_id={batch_id}",

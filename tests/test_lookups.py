@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators.lookups import bucket_shift, ip_number, left_lookup, measured_bytes, range_lookup
+from eventloom.operators.lookups import (
+    bucket_shift, ip_number, left_lookup, measured_bytes, prepare_keys, prepare_ranges, range_lookup,
+)
 from eventloom.sources.lookup_tables import build_login_dim, overlapping_blocks
 
 
@@ -32,7 +34,7 @@ def addresses(blocks):
 def test_range_lookup(spark, blocks, addresses, limit):
     table = spark.createDataFrame(blocks, "start_ip long, end_ip long, city string")
     rows = spark.createDataFrame(list(enumerate(addresses)), "id long, ip string")
-    out = range_lookup(rows, table, {"geo": F.col("ip")}, ["city"], F.xxhash64("id"), broadcast_limit=limit)
+    out = range_lookup(rows, prepare_ranges(table, ["city"], broadcast_limit=limit), {"geo": F.col("ip")}, F.xxhash64("id"))
     starts = [b[0] for b in blocks]
 
     def want(ip):
@@ -62,7 +64,7 @@ def test_left_lookup_keeps_every_row(spark, limit):
     rows = spark.range(3000).select("id", F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('k', id) END AS k"))
     table = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("v")).union(
         spark.createDataFrame([("hot", -1)], "key string, v long"))
-    out = left_lookup(rows, table, {"a": F.col("k")}, "key", ["v"], F.xxhash64("id"), broadcast_limit=limit)
+    out = left_lookup(rows, prepare_keys(table, "key", ["v"], broadcast_limit=limit), {"a": F.col("k")}, F.xxhash64("id"))
     got = {r.id: r.a and r.a.v for r in out.collect()}
     assert got == {i: -1 if i % 3 == 0 else i if i % 3 == 1 and i < 2000 else None for i in range(3000)}
     assert out.count() == 3000
