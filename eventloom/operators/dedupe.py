@@ -2,31 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DEFAULT_TTL_SECONDS = 300
 
 
-def _sightings(rows: DataFrame, key: str, arrival: str, ttl_seconds: int, tie: Column) -> DataFrame:
-    """Per key and slice of one TTL: first row, first and last arrival.
+def _micros(arrival: str) -> Column:
+    return F.unix_micros(F.col(arrival).cast("timestamp"))
+
+
+def _survivors(
+    rows: DataFrame, key: str, arrival: str, ttl_seconds: int, tie: Column, memory: DataFrame | None = None
+) -> DataFrame:
+    """First row of each (key, slice of one TTL) not within a TTL of an earlier sighting.
 
     Two sightings inside one slice are less than a TTL apart, so only the first of a slice
-    can survive; the rest is dropped by a partial aggregation before the shuffle.  However
-    often one key occurs, a task sees it once per slice and upstream partition.
+    can survive, and only the slice before it can suppress it.  Each row therefore goes
+    into its own slice and leaves a note of its arrival in the next one; one aggregation
+    settles both.  It combines before the shuffle, and a hot key is spread over its slices.
     """
-    micros = F.unix_micros(F.col(arrival).cast("timestamp"))
+    ttl = ttl_seconds * 1_000_000
     everything = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    return (
-        rows.withColumn("_at", micros)
-        .withColumn("_slice", F.floor(F.col("_at") / F.lit(ttl_seconds * 1_000_000)))
-        .groupBy(F.col(key).alias("_key"), "_slice")
-        .agg(
-            F.min_by(everything, F.struct("_at", tie)).alias("_row"),
-            F.min("_at").alias("_first"),
-            F.max("_at").alias("_last"),
-            F.count(F.lit(1)).alias("_n"),
+    empty = F.when(F.lit(False), everything)
+    no_time = F.lit(None).cast("bigint")
+    at = F.col("_at")
+    entry = lambda shift, row, seen, note: F.struct(
+        (F.expr(f"_at div {ttl}") + shift).alias("_slice"), row.alias("_row"), seen.alias("_seen"), note.alias("_note")
+    )
+    both = (
+        rows.withColumn("_at", _micros(arrival))
+        .withColumn("_tie", tie)
+        .select(
+            F.col(key).alias("_key"), "_tie",
+            F.explode(F.array(entry(0, everything, at, no_time), entry(1, empty, no_time, at))).alias("_e"),
+        )
+        .select("_key", "_tie", "_e.*")
+    )
+    if memory is not None:
+        # What earlier steps saw suppresses in its own slice and in the next.
+        row_type = both.schema["_row"].dataType
+        past = memory.select(
+            F.col("key").alias("_key"), F.lit(0).cast("bigint").alias("_tie"),
+            F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift"), F.col("last_seen").alias("_note"),
+        ).select(
+            "_key", "_tie", F.expr(f"_note div {ttl} + _shift").alias("_slice"),
+            F.lit(None).cast(row_type).alias("_row"), no_time.alias("_seen"), "_note",
         )
+        both = both.unionByName(past)
+    settled = both.groupBy("_key", "_slice").agg(
+        F.min_by("_row", F.when(F.col("_seen").isNotNull(), F.struct("_seen", "_tie"))).alias("_row"),
+        F.min("_seen").alias("_first"),
+        F.max("_note").alias("_before"),
     )
+    fresh = F.col("_before").isNull() | (F.col("_first") - F.col("_before") > ttl)
+    return settled.where(F.col("_first").isNotNull() & fresh).select("_row.*")
+
+
+def _own_key(key: str) -> Column:
+    """Key of a row without one: matches nothing and spreads over all tasks."""
+    own = F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string"))
+    return F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), own)
 
 
 def _row_hash(rows: DataFrame) -> Column:
@@ -52,20 +87,9 @@ def dedupe_globs(
     """
     columns = rows.columns
     tie = tie if tie is not None else _row_hash(rows)
-    if not dedupe_empty_key:
-        # A key of its own keeps such a row, and spreads them over all tasks.
-        own = F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string"))
-        rows = rows.withColumn("_dedupe_key", F.coalesce(F.nullif(F.col(key), F.lit("")), own))
-    else:
-        rows = rows.withColumn("_dedupe_key", F.coalesce(F.col(key), F.lit("")))
-    slices = _sightings(rows, "_dedupe_key", arrival, ttl_seconds, tie)
-    before = F.lag("_last").over(Window.partitionBy("_key").orderBy("_slice"))
-    return (
-        slices.withColumn("_before", before)
-        .where(F.col("_before").isNull() | (F.col("_first") - F.col("_before") > ttl_seconds * 1_000_000))
-        .select("_row.*")
-        .select(*columns)
-    )
+    keyed = F.coalesce(F.col(key).cast("string"), F.lit("")) if dedupe_empty_key else _own_key(key)
+    rows = rows.withColumn("_dedupe_key", keyed)
+    return _survivors(rows, "_dedupe_key", arrival, ttl_seconds, tie).select(*columns)
 
 
 def dedupe_with_memory(
@@ -81,32 +105,15 @@ def dedupe_with_memory(
     keys still inside the TTL of the latest arrival.
     """
     columns = rows.columns
-    slices = _sightings(rows, key, arrival, ttl_seconds, _row_hash(rows))
     if memory is None:
         memory = rows.sparkSession.createDataFrame([], "key string, last_seen bigint")
-    past = memory.select(
-        F.col("key").alias("_key"),
-        F.lit(None).cast("bigint").alias("_slice"),
-        F.lit(None).cast(slices.schema["_row"].dataType).alias("_row"),
-        F.col("last_seen").alias("_first"),
-        F.col("last_seen").alias("_last"),
-    )
-    both = slices.select("_key", "_slice", "_row", "_first", "_last").unionByName(past)
-    order = Window.partitionBy("_key").orderBy(F.col("_slice").asc_nulls_first())
-    gap = F.col("_first") - F.max("_last").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    kept = (
-        both.withColumn("_gap", gap)
-        .where(F.col("_row").isNotNull())
-        .where(F.col("_gap").isNull() | (F.col("_gap") > ttl_seconds * 1_000_000) | (F.col("_key") == ""))
-        .select("_row.*")
-        .select(*columns)
-    )
-    seen = both.where(F.col("_key") != "").groupBy(F.col("_key").alias("key")).agg(
-        F.max("_last").alias("last_seen")
-    )
+    keyed = rows.withColumn("_dedupe_key", _own_key(key))
+    kept = _survivors(keyed, "_dedupe_key", arrival, ttl_seconds, _row_hash(rows), memory).select(*columns)
+    now_seen = rows.where(F.col(key) != "").select(F.col(key).alias("key"), _micros(arrival).alias("last_seen"))
+    seen = now_seen.unionByName(memory).groupBy("key").agg(F.max("last_seen").alias("last_seen"))
     # The latest arrival is one number, so it is read to the driver and used as a literal.
-    now = seen.agg(F.max("last_seen").alias("now")).first()["now"]
-    alive = seen.where(F.lit(now) - F.col("last_seen") <= ttl_seconds * 1_000_000)
+    latest = seen.agg(F.max("last_seen").alias("latest")).first()["latest"]
+    alive = seen.where(F.lit(latest) - F.col("last_seen") <= ttl_seconds * 1_000_000)
     return kept, alive.select("key", "last_seen")
 
 
