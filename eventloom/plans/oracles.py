@@ -126,6 +126,8 @@ SELECT CASE WHEN status = 8 THEN 'error' ELSE {UUID} END AS uuid, event, categor
        CASE WHEN status IN (0, 6) OR (status = 5 AND event <> '') THEN 3 ELSE 0 END AS version, status
 FROM filed"""
 
+ORACLES["stream_classify_status"] = ORACLES["classify_status"]
+
 ORACLES["status_counts"] = MIXED + """
 SELECT CASE status WHEN 0 THEN 'Success' WHEN 1 THEN 'Malformed Data' WHEN 2 THEN 'Untracked Event'
                    WHEN 5 THEN 'Empty Request' WHEN 6 THEN 'Missing One or More Columns'

@@ -19,7 +19,7 @@ from eventloom.operators.streams import (
     RecordFilter, StreamConfig, StreamEvent, compressed_entry, plain_entry, project_stream, wrap_records, written,
 )
 from eventloom.plans import derived as d
-from eventloom.plans.pipeline import route
+from eventloom.plans.pipeline import Sinks, route
 from eventloom.plans.replay import replace_window
 from eventloom.session import configure, shared_folder, spread
 from eventloom.sinks.tables import (
@@ -27,6 +27,7 @@ from eventloom.sinks.tables import (
 )
 from eventloom.sources.edge_logs import fragment_filter
 from eventloom.sources.lookup_tables import build_login_dim
+from eventloom.streaming.stream import CollateStream, Refreshable
 
 EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
 TRACKED = ["view", "click", "purchase"]
@@ -206,8 +207,11 @@ def typed_table(spark, sf_dir):
     return rows.withColumn("time_utc", F.col("time_utc").cast("string"))
 
 
-def _mixed(spark, sf_dir) -> DataFrame:
-    """Events of every status: bad payloads, empty names, odd properties, untracked types."""
+MIXED_COLUMNS = [("time", "time", "f@timestamp@unix-utc"), ("k", "k", "int")]
+
+
+def _mixed_lines(rows: DataFrame) -> DataFrame:
+    """Records of every status: bad payloads, empty names, odd properties, untracked types."""
     body = F.expr(
         "CASE event_id % 9 WHEN 0 THEN 'junk' WHEN 1 THEN '{\"event\":\"\",\"properties\":{}}' "
         "WHEN 2 THEN concat('{\"event\":\"', event_type, '\",\"properties\":null}') "
@@ -215,13 +219,13 @@ def _mixed(spark, sf_dir) -> DataFrame:
         "WHEN 4 THEN concat('{\"event\":\"', event_type, '\",\"properties\":{}}') "
         "ELSE concat('{\"event\":\"', event_type, '\",\"properties\":', props, '}') END"
     )
-    lines = events(spark, sf_dir).select(
-        d.edge_line(body, edge_type=F.expr(
-            "CASE WHEN event_id % 10 < 8 THEN 'internal' WHEN event_id % 10 = 8 THEN 'external' ELSE 'odd' END"
-        )).alias("value")
-    )
-    columns = [("time", "time", "f@timestamp@unix-utc"), ("k", "k", "int")]
-    return classify.collate(decode.decode_edge_log(lines), schema(columns, TRACKED))
+    edge = F.expr("CASE WHEN event_id % 10 < 8 THEN 'internal' WHEN event_id % 10 = 8 THEN 'external' ELSE 'odd' END")
+    return rows.select(d.edge_line(body, edge_type=edge).alias("value"))
+
+
+def _mixed(spark, sf_dir) -> DataFrame:
+    lines = _mixed_lines(events(spark, sf_dir))
+    return classify.collate(decode.decode_edge_log(lines), schema(MIXED_COLUMNS, TRACKED))
 
 
 @query
@@ -229,6 +233,19 @@ def classify_status(spark, sf_dir):
     return _mixed(spark, sf_dir).select("uuid", "event", "category", "version", "status")
 
 
+@query
+def stream_classify_status(spark, sf_dir):
+    """The same rows through Structured Streaming: file stream, foreachBatch, stored output."""
+    folder = f"{shared_folder(spark)}/stream-{uuid4().hex}"
+    shape = d.table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(shape).parquet(f"{sf_dir}/events*.parquet")
+    job = CollateStream(
+        Refreshable(lambda: schema(MIXED_COLUMNS, TRACKED)), f"{folder}/store", Refreshable(Sinks), lines=True
+    )
+    job.start(_mixed_lines(stream), f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/store").select("uuid", "event", "category", "version", "status")
+
+
 @query
 def status_counts(spark, sf_dir):
     return reports.status_counts(_mixed(spark, sf_dir))

@@ -14,6 +14,8 @@ REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Packed bytes per batch sent to the inflate function; they grow several times in it.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
     # Sessions of a hot key are merged before the shuffle.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
