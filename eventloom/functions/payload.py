@@ -13,10 +13,11 @@ def payload_text(data: Column) -> Column:
     Unescaping turns ``+`` into a blank, so a blank stands for ``+`` here; ``-`` and ``_``
     are the URL-safe alphabet.  Bytes that are not UTF-8 become the replacement character.
     """
-    text = F.when(data.contains("%") | data.contains("+"), F.try_url_decode(data)).otherwise(data)
-    other = text.contains(" ") | text.contains("-") | text.contains("_")
-    standard = F.when(other, F.translate(text, "-_ ", "+/+")).otherwise(text)
-    return F.make_valid_utf8(F.try_to_binary(standard, F.lit("base64")).cast("string"))
+    # Most payloads are plain base64, which the escapes and other alphabets never parse as.
+    plain = F.when(~data.contains(" "), F.try_to_binary(data, F.lit("base64")))
+    standard = F.translate(F.try_url_decode(data), "-_ ", "+/+")
+    decoded = F.coalesce(plain, F.try_to_binary(standard, F.lit("base64")))
+    return F.make_valid_utf8(decoded.cast("string"))
 
 
 def _is_event(item: Column) -> Column:

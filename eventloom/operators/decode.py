@@ -81,12 +81,12 @@ def parse_envelope(lines: DataFrame, value: str = "value") -> DataFrame:
     return read.select(pinned(F.when(ok, F.struct(*fields))).alias("record"))
 
 
-def valid_record(record: Column) -> Column:
+def valid_record(record: Column, received_at: Column) -> Column:
     """A record whose receive time and address, where present, are well formed."""
     at, ip = record["receivedAt"], record["clientIp"]
     return (
         record.isNotNull()
-        & (at.isNull() | (at.rlike(RFC3339) & F.try_to_timestamp(at).isNotNull()))
+        & (at.isNull() | (received_at.isNotNull() & at.rlike(RFC3339)))
         & (ip.isNull() | (ip == "") | ip.rlike(ADDRESS))
     )
 
@@ -104,9 +104,12 @@ def explode_events(records: DataFrame) -> DataFrame:
     than one event.  A narrow plan: no shuffle, no Python.
     """
     r, ok = F.col("record"), F.col("_ok")
-    staged = records.select("record", valid_record(r).alias("_ok")).select(
+    checked = records.withColumn("_at", F.try_to_timestamp(r["receivedAt"])).withColumn(
+        "_ok", valid_record(r, F.col("_at"))
+    )
+    staged = checked.select(
         F.when(ok, r["uuid"]).alias("_uuid"),
-        F.when(ok, F.try_to_timestamp(r["receivedAt"])).alias("received_at"),
+        F.when(ok, F.col("_at")).alias("received_at"),
         F.when(ok, F.coalesce(F.nullif(r["clientIp"], F.lit("")), F.lit(NO_ADDRESS))).alias("client_ip"),
         F.when(ok, F.coalesce(r["userAgent"], F.lit(""))).alias("user_agent"),
         F.coalesce(r["edgeType"], F.lit("")).alias("edge_type"),
@@ -143,7 +146,7 @@ def decode_edge_log(lines: DataFrame, on_bad_line: str = "quarantine") -> DataFr
     """Replay lines to events; malformed lines become quarantine rows or are dropped."""
     records = parse_envelope(lines)
     if on_bad_line == "drop":
-        records = records.where(valid_record(F.col("record")))
+        records = records.where(valid_record(F.col("record"), F.try_to_timestamp("record.receivedAt")))
     elif on_bad_line != "quarantine":
         raise ValueError("on_bad_line is 'quarantine' or 'drop'")
     return explode_events(records)

@@ -316,7 +316,7 @@ def record_fields(spark, sf_dir):
 @query
 def tsv_text_roundtrip(spark, sf_dir):
     """Whole document texts through the quoted field form and back."""
-    docs = d.table(spark, sf_dir, "documents")
+    docs = spread(d.table(spark, sf_dir, "documents"))
     field = text.quote_field(F.col("text"))
     return docs.select("doc_id", field.alias("field")).select(
         "doc_id", F.md5(text.unquote_field(F.col("field"))).alias("text_md5"),

@@ -143,3 +143,19 @@ def test_projection_is_not_repeated_by_filters(lines, logins):
     rows = with_record(collate(decode_edge_log(lines(record("x"))), LOGIN, logins=logins))
     plan = rows.where("status = 0").where(F.col("record")["name"] == "a")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson(") == 1
+
+
+def test_plan_does_not_grow_with_tables(lines, spark):
+    def run(tables):
+        schemas = compile_schemas([
+            {"EventName": f"e{i}", "Version": i, "Columns": columns(*[(f"p{j}", f"c{i}_{j}", t) for j, t in enumerate(
+                ["int", "bigint", "float", "varchar", "bool"] * 4)])} for i in range(tables)])
+        bodies = [json.dumps({"event": f"e{i}", "properties": {"p0": i, "p3": "x", "p4": True}}) for i in range(0, tables, 7)]
+        return collate(decode_edge_log(lines(*[record(encode(b)) for b in bodies])), schemas)
+
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    few, many = run(40), run(400)
+    assert size(many) < 1.5 * size(few)
+    got = with_record(many).collect()
+    assert len(got) == 58 and all(r.version == int(r.event[1:]) for r in got)
+    assert all(r.record == {f"c{r.version}_0": str(r.version), f"c{r.version}_3": "x", f"c{r.version}_4": "true"} for r in got)
