@@ -73,27 +73,26 @@ def file_version(path: Column) -> Column:
     return F.regexp_extract(path, r"^.*[.]v([^.]*)", 1).try_cast("int")
 
 
-def partition_value(path: Column, name: str) -> Column:
-    return F.url_decode(F.regexp_extract(path, f"/{name}=([^/]*)/", 1))
-
-
 def build_manifest(spark: SparkSession, path: str, *, untracked: bool = False) -> DataFrame:
     """One row per written file: ``key_name, table_name, table_version, n_rows, n_bytes``.
 
-    Untracked files carry their key only.
+    Table and version come from the partition folders, or from the file name where files
+    lie flat.  Untracked files carry their key only.
     """
     read = spark.read.text(path)
-    key = F.col("_metadata.file_path").alias("key_name")
-    per_file = read.select(key, F.col("_metadata.file_size").alias("_size")).groupBy("key_name").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max("_size").alias("n_bytes")
-    )
+    key = F.col("_metadata.file_path")
     if untracked:
         name, version = F.lit(None).cast("string"), F.lit(None).cast("int")
+    elif "event" in read.columns:
+        name, version = F.col("event").cast("string"), F.col("version").cast("int")
     else:
-        name = partition_value(F.col("key_name"), "event")
-        version = partition_value(F.col("key_name"), "version").try_cast("int")
-    return per_file.select(
-        "key_name", name.alias("table_name"), version.alias("table_version"), "n_rows", "n_bytes"
+        name, version = file_event(key), file_version(key)
+    files = read.select(
+        key.alias("key_name"), name.alias("table_name"), version.alias("table_version"),
+        F.col("_metadata.file_size").alias("_size"),
+    )
+    return files.groupBy("key_name", "table_name", "table_version").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("_size").alias("n_bytes")
     )
 
 
@@ -154,5 +153,11 @@ def load_tsv(spark: SparkSession, path: str, schema: TableSchema) -> DataFrame:
     return spark.read.text(path).select("value").select(*out)
 
 
+# Characters Spark writes as %XX in the folder name of a partition.
+ESCAPED_IN_FOLDERS = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
+
+
 def table_folder(path: str, schema: TableSchema) -> str:
-    return f"{path}/event={schema.event}/version={schema.version}"
+    """Folder ``write_tables`` gives one table."""
+    name = "".join(f"%{ord(c):02X}" if c in ESCAPED_IN_FOLDERS else c for c in schema.event)
+    return f"{path}/event={name}/version={schema.version}"

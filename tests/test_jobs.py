@@ -91,6 +91,17 @@ def test_batch_job(spark, lookups, tmp_path):
     assert loaded.broadcaster_software == "xbox" and loaded.ip == "192.168.1.100" and loaded["hyphenated-col"] == 6
 
 
+def test_awkward_table_names(spark, lines, tmp_path):
+    names = ["a b", "c/d:e", "f+g", "h=100%", "ü?"]
+    schemas = compile_schemas([{"EventName": n, "Version": 1, "Columns": columns(("v", "v", "int"))} for n in names])
+    bodies = [json.dumps({"event": n, "properties": {"v": i}}) for i, n in enumerate(names)]
+    rows = pipeline.collate_lines(lines(*[edge(b) for b in bodies]), schemas)
+    out = tables.write_tables(rows, f"{tmp_path}/t")
+    assert sorted(r.table_name for r in tables.build_manifest(spark, out).collect()) == sorted(names)
+    for i, n in enumerate(names):
+        assert tables.load_tsv(spark, tables.table_folder(out, schemas[n]), schemas[n]).collect() == [(i,)]
+
+
 def test_load_rules(spark, tmp_path):
     schema = compile_schemas([{"EventName": "t", "Version": 1, "Columns": columns(
         ("a", "a", "varchar", "", "(4)"), ("b", "b", "int"), ("c", "c", "varchar"), ("d", "d", "bool"))}])["t"]
