@@ -213,8 +213,9 @@ def test_stream_equals_batch(spark, lookups, tmp_path):
 
     config = Refreshable(schemas)
     seen = []
+    prepared = lookups.prepared()
     job = CollateStream(
-        config, f"{tmp_path}/store", Refreshable(lambda: all_sinks(tmp_path)), lambda: lookups,
+        config, f"{tmp_path}/store", Refreshable(lambda: all_sinks(tmp_path)), lambda: prepared,
         DedupeMemory(f"{tmp_path}/memory"), on_batch=[lambda rows, i: seen.append((i, rows.count()))])
 
     def drain():
