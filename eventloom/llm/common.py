@@ -57,7 +57,8 @@ def word_codes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndar
     ``codes[offsets[i]:offsets[i + 1]]``. Null is an empty text. The distinct words may hold the
     empty word, which blanks at the ends of a text leave; it never counts as a word.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    # A copy from offset 0: ascii_lower misreads slices.
+    texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     words = lists.flatten()
     offsets = lists.offsets.to_numpy().astype(np.int64)
