@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from eventloom.llm.decontamination import op3_decontamination
 from eventloom.llm.html_text import op4_html_text
+from eventloom.llm.lm_scoring import op10_lm_scoring
 from eventloom.llm.packing import op1_packing
 from eventloom.llm.simhash import op8_simhash
 from eventloom.llm.token_files import op2_token_files
+from eventloom.llm.toxicity import op7_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op2_token_files, op3_decontamination, op4_html_text, op8_simhash,
+    op1_packing, op2_token_files, op3_decontamination, op4_html_text, op7_toxicity,
+    op8_simhash, op10_lm_scoring,
 )}
 
 #: Where SQL can't express a query there is none; tests/llm compares it with brute force.
