@@ -72,7 +72,7 @@ def word_codes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndar
     return offsets - offsets[0], codes, distinct
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = 8 << 20):
+def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = 2 << 20):
     """The batch in slices of about ``most`` bytes of text, at least one row each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at = 0

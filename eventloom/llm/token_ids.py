@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from eventloom.llm.common import word_codes
 
 END_ID = 1
-#: Words kept per Python worker, about 200 MB; a full memory is emptied and fills again.
-MEMORY_WORDS = 1_000_000
+#: Words kept per Python worker, about 80 MB; a full memory keeps the half that was met most often.
+MEMORY_WORDS = 400_000
 
 #: Runs that the pre-tokenizer cuts as they are: letters in NFC and lower case, and punctuation
 #: without the apostrophe, which may start a contraction.
@@ -31,6 +31,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges of the given lengths, one after the other."""
+    place = np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+    place += np.arange(len(place))
+    return place
+
+
 class WordEncoder:
     """Ids of texts; ``encode`` gives one flat array and where each text begins in it."""
 
@@ -47,13 +54,20 @@ class WordEncoder:
         names = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
         self.closes = np.zeros(names[-1][1] + 1, bool)
         self.closes[[i for name, i in names if name.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.slots: dict[str, int] = {}
         self.ids = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
+        self.met = np.empty(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Drop the words met least often; ids of the others move together."""
+        kept = np.sort(np.argsort(-self.met, kind="stable")[: MEMORY_WORDS // 2])
+        words = list(self.slots)
+        self.slots = {words[k]: i for i, k in enumerate(kept.tolist())}
+        self.ids = self.ids[_ranges(self.starts[kept], self.lengths[kept])]
+        self.lengths, self.met = self.lengths[kept], self.met[kept] // 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): equal to encoding each whole text by the library. Null is empty."""
@@ -67,14 +81,14 @@ class WordEncoder:
         offsets, codes, distinct = word_codes(texts)
         words = distinct.to_pylist()
         if len(self.slots) > MEMORY_WORDS:
-            self._forget()
+            self._shrink()
         self._learn([w for w in words if w not in self.slots])
-        slots = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))[codes]
+        slots = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+        self.met[slots] += 1
+        slots = slots[codes]
         lengths = self.lengths[slots]
-        ends = np.cumsum(lengths)
-        place = np.repeat(self.starts[slots] - ends + lengths, lengths)
-        place += np.arange(len(place))
-        offsets, ids = np.concatenate([[0], ends])[offsets], self.ids[place]
+        offsets = np.append(0, np.cumsum(lengths))[offsets]
+        ids = self.ids[_ranges(self.starts[slots], lengths)]
         if len(special):
             parts = [whole.get(k, ids[a:b]) for k, (a, b) in enumerate(zip(offsets, offsets[1:]))]
             offsets = np.cumsum([0, *map(len, parts)])
@@ -107,6 +121,7 @@ class WordEncoder:
         self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(flat), np.uint32)])
 
     def _encode_runs(self, runs: list[str]) -> dict:
