@@ -90,8 +90,8 @@ class Words:
         return offsets + np.arange(len(offsets)), places, inputs, np.insert(codes, spot, -1), words
 
     def sequences(self, texts: pa.Array) -> tuple:
-        """(offsets, inputs, targets, places, codes, words): input t is token t - 1, 0 before the first
-        (the start stands for the end of a document before)."""
+        """(offsets, inputs, targets, places, codes, words): token t is the target of the state before
+        it and the input of the state after it; target -1 is a word outside the vocabulary."""
         offsets, places, inputs, codes, words = self.tokens(texts)
         targets = np.where(places < self.n_outputs, places, -1)
         return offsets, inputs, targets, places, codes, words
@@ -173,7 +173,7 @@ def score(docs: DataFrame) -> DataFrame:
     rows = _rows(docs)
     counts = written(word_counts(rows), "word-counts")
     n_train, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = counts.where(F.col("n") * HEAD_WORDS >= n_train).toPandas()
+    head = counts.where((F.col("n") * HEAD_WORDS >= n_train) | (F.col("word") == END)).toPandas()
     words = Words(head["word"].tolist(), head["n"].to_numpy())
     n_rare = n_train - words.counts[: words.n_outputs].sum()
     rare_total = float(np.log10(n_rare + SMOOTHING * (n_words - words.n_outputs + 1)))

@@ -108,7 +108,14 @@ class WordEncoder:
             parts.append(runs if sum(map(len, runs)) == len(low) else None)
             if parts[-1] is None:
                 rest.append(word)
-        found = self._encode_runs(sorted({r for runs in parts if runs for r in runs}))
+        found, fresh = {}, []
+        for r in {r for runs in parts if runs for r in runs}:
+            slot = self.slots.get(r)
+            if slot is None:
+                fresh.append(r)
+            else:
+                found[r] = self.ids[self.starts[slot] : self.starts[slot] + self.lengths[slot]].tobytes()
+        found |= self._encode_runs(fresh)
         for k in range(0, len(rest), 1000):
             batch = rest[k : k + 1000]
             for w, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)):
