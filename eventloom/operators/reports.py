@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventloom.operators.classify import EDGE_TYPES, WRITTEN, outcomes, status_text
+from eventloom.operators.classify import EDGE_TYPES, PANICKED, WRITTEN, outcomes, status_text
 
 
 def status_counts(rows: DataFrame) -> DataFrame:
@@ -46,8 +46,9 @@ def column_outcomes(rows: DataFrame) -> DataFrame:
 
 
 def _parsed(rows: DataFrame) -> DataFrame:
-    """Rows whose properties were read, the ones edge types are counted for."""
-    return rows.where(F.col("cells").isNotNull())
+    """Rows of tracked tables: edge types are counted before the properties are read, so null
+    properties (a crash row) count too."""
+    return rows.where(F.col("cells").isNotNull() | (F.col("status") == PANICKED))
 
 
 def edge_type_counts(rows: DataFrame) -> DataFrame:

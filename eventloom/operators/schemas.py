@@ -1,7 +1,7 @@
 """Table schemas compiled on the driver, and the registries users extend.
 
 The schema list is configuration: a few thousand short rows at most.  It is read to the
-driver once (with a hard size check) and compiled to Column expressions, so no per-row
+driver once, partition by partition, and compiled to Column expressions, so no per-row
 work depends on it but evaluating those expressions.
 """
 
@@ -15,9 +15,6 @@ from pyspark.sql import DataFrame
 from eventloom.functions import casts
 from eventloom.functions.casts import Conversion
 
-# Configuration beyond this many tables is refused rather than pulled to the driver.
-MAX_TABLES = 100_000
-
 LAYOUT_PREFIX = "f@timestamp@"
 
 # Named single-value transformers (extension point: add a Conversion).
@@ -128,9 +125,6 @@ def compile_schemas(entries: list[dict]) -> dict[str, TableSchema]:
     return compiled
 
 
-def load_schemas(config: DataFrame, max_tables: int = MAX_TABLES) -> dict[str, TableSchema]:
-    """Compile a schema DataFrame (see ``read_table_schemas``), refusing an oversized one."""
-    rows = config.limit(max_tables + 1).toJSON().collect()
-    if len(rows) > max_tables:
-        raise ValueError(f"more than {max_tables} table schemas")
-    return compile_schemas([json.loads(r) for r in rows])
+def load_schemas(config: DataFrame) -> dict[str, TableSchema]:
+    """Compile a schema DataFrame (see ``read_table_schemas``)."""
+    return compile_schemas([json.loads(r) for r in config.toJSON().toLocalIterator()])

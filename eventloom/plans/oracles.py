@@ -146,11 +146,11 @@ GROUP BY event, outcome"""
 
 ORACLES["edge_type_counts"] = MIXED + """
 SELECT event, edge_type, count(*) AS n FROM filed
-WHERE status IN (0, 6) AND edge_type IN ('internal', 'external') GROUP BY event, edge_type"""
+WHERE status IN (0, 6, 8) AND edge_type IN ('internal', 'external') GROUP BY event, edge_type"""
 
 ORACLES["edge_type_mismatch"] = MIXED + """
 SELECT event, edge_type, 'internal' AS expected, count(*) AS n FROM filed
-WHERE status IN (0, 6) AND edge_type <> 'internal' AND event <> 'purchase' GROUP BY event, edge_type"""
+WHERE status IN (0, 6, 8) AND edge_type <> 'internal' AND event <> 'purchase' GROUP BY event, edge_type"""
 
 ORACLES["untracked_events"] = MIXED + f"""
 SELECT {UUID} AS uuid, concat('{{"event":"', event_type, '","properties":',

@@ -16,7 +16,7 @@ from eventloom.operators.schemas import TableSchema
 from eventloom.operators.streams import (
     RecordFilter, StreamConfig, project_stream, stream_entries, wrap_records, written,
 )
-from eventloom.sinks.tables import write_tables, write_untracked
+from eventloom.sinks.tables import of_route, write_tables, write_untracked
 
 
 @dataclass
@@ -97,7 +97,9 @@ def store_collated(rows: DataFrame, path: str, mode: str = "overwrite") -> DataF
 
 def stream_records(rows: DataFrame, config: StreamConfig, sinks: Sinks) -> DataFrame:
     """Enveloped records of one stream: filter, project, pack or batch, wrap."""
-    projected = project_stream(with_record(written(rows)), config, sinks.filters, sinks.default_filter)
+    # The events a stream lists are picked before records are built.
+    rows = of_route(written(rows), "tables").where(F.col("event").isin(list(config.events)))
+    projected = project_stream(with_record(rows), config, sinks.filters, sinks.default_filter)
     kind = "stream" if config.stream_type == "stream" else "delivery"
     if config.compress:
         globs = pack_globs(stream_entries(projected, config), "stream", "entry", config.glob_size)

@@ -9,8 +9,10 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from eventloom.operators.classify import collate
+from eventloom.operators.decode import decode_edge_log
 from eventloom.operators.schemas import TableSchema
-from eventloom.plans.pipeline import Lookups, collate_lines
+from eventloom.plans.pipeline import Lookups
 from eventloom.session import shared_folder
 from eventloom.sinks.tables import load_tsv, table_folder, write_tables
 from eventloom.sources.edge_logs import read_edge_log, window_bounds
@@ -139,9 +141,11 @@ def replay(
 
     if not skip_transform:
         lines = read_edge_log(spark, log_path, start=aware_start, end=aware_end, events=tables)
-        rows = collate_lines(lines, schemas, lookups, on_bad_line="drop")
-        if tables is not None:
-            rows = rows.where(F.col("event").isin(list(tables)))
+        events, wanted = decode_edge_log(lines, "drop"), schemas
+        if tables is not None:  # before the casts, and only the plans of these tables
+            events = events.where(F.col("event").isin(list(tables)))
+            wanted = {name: schemas[name] for name in tables if name in schemas}
+        rows = collate(events, wanted, **lookups.as_options())
         write_tables(rows, output_path, run_tag=run_tag, mode="overwrite")
     if skip_load:
         return []

@@ -13,18 +13,18 @@ from eventloom.operators.schemas import TableSchema
 ROWS_PER_FILE = 2_000_000
 
 
+def of_route(rows: DataFrame, route: str) -> DataFrame:
+    """Rows of one route of a stored table, by its partition folders; other rows as they are."""
+    return rows.where(F.col("route") == route) if "route" in rows.columns else rows
+
+
 def table_rows(rows: DataFrame) -> DataFrame:
     """Rows of tracked events, a skipped column included."""
-    return rows.where(F.col("status").isin(*WRITTEN))
+    return of_route(rows, "tables").where(F.col("status").isin(*WRITTEN))
 
 
 def untracked_rows(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("status") == UNTRACKED)
-
-
-def failed_rows(rows: DataFrame) -> DataFrame:
-    """Rows that are only reported."""
-    return rows.where(~F.col("status").isin(*WRITTEN, UNTRACKED))
+    return of_route(rows, "untracked").where(F.col("status") == UNTRACKED)
 
 
 def write_tables(
@@ -73,6 +73,13 @@ def file_version(path: Column) -> Column:
     return F.regexp_extract(path, r"^.*[.]v([^.]*)", 1).try_cast("int")
 
 
+def folder_value(path: Column, key: str) -> Column:
+    """Value of a ``key=…`` folder as it was written, never as a number Spark takes it for."""
+    raw = F.regexp_extract(path, f"/{key}=([^/]*)/", 1)
+    once = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))  # the path is a URI
+    return F.url_decode(F.replace(once, F.lit("+"), F.lit("%2B")))  # the folder's own escapes
+
+
 def build_manifest(spark: SparkSession, path: str, *, untracked: bool = False) -> DataFrame:
     """One row per written file: ``key_name, table_name, table_version, n_rows, n_bytes``.
 
@@ -84,7 +91,7 @@ def build_manifest(spark: SparkSession, path: str, *, untracked: bool = False) -
     if untracked:
         name, version = F.lit(None).cast("string"), F.lit(None).cast("int")
     elif "event" in read.columns:
-        name, version = F.col("event").cast("string"), F.col("version").cast("int")
+        name, version = folder_value(key, "event"), folder_value(key, "version").try_cast("int")
     else:
         name, version = file_event(key), file_version(key)
     files = read.select(

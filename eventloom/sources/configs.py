@@ -24,7 +24,6 @@ STREAM_SETTINGS = (
     "Globber struct<MaxSize:int,MaxAge:string,BufferLength:int>, "
     "Batcher struct<MaxSize:int,MaxEntries:int,MaxAge:string,BufferLength:int>"
 )
-MAX_SINKS = 10_000
 
 
 def read_table_schemas(spark: SparkSession, path: str) -> DataFrame:
@@ -87,6 +86,11 @@ def read_sink_configs(
 SINK_KEYS = ["account", "stream_type", "stream_name"]
 
 
+def _given(section: dict, key: str, default: int) -> int:
+    """A setting as given, a zero too (the config refuses it); only a missing one has a default."""
+    return default if section.get(key) is None else section[key]
+
+
 def stream_config(settings: dict) -> StreamConfig:
     """One sink's settings as a validated :class:`StreamConfig`."""
     events = {
@@ -103,16 +107,14 @@ def stream_config(settings: dict) -> StreamConfig:
         compress=bool(settings.get("Compress")), warehouse=bool(settings.get("FirehoseRedshiftStream")),
         event_field=settings.get("EventNameTargetField") or "",
         exclude_empty=bool(settings.get("ExcludeEmptyFields")), events=events,
-        glob_size=globber.get("MaxSize") or 990_000, batch_size=batcher.get("MaxSize") or 990_000,
-        batch_entries=batcher.get("MaxEntries") or 500,
+        glob_size=_given(globber, "MaxSize", 990_000), batch_size=_given(batcher, "MaxSize", 990_000),
+        batch_entries=_given(batcher, "MaxEntries", 500),
     )
 
 
-def load_sink_configs(sinks: DataFrame, max_sinks: int = MAX_SINKS) -> list[StreamConfig]:
-    """Sinks as driver-side configs; refuses more than ``max_sinks`` of them."""
-    rows = sinks.select(F.to_json("settings").alias("s")).limit(max_sinks + 1).collect()
-    if len(rows) > max_sinks:
-        raise ValueError(f"more than {max_sinks} stream sinks")
+def load_sink_configs(sinks: DataFrame) -> list[StreamConfig]:
+    """Sinks as driver-side configs, taken partition by partition: each is a job of its own to run."""
+    rows = sinks.select(F.to_json("settings").alias("s")).toLocalIterator()
     return [stream_config(json.loads(r["s"])) for r in rows]
 
 

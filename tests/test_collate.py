@@ -20,16 +20,16 @@ def columns(*rows):
 LOGIN = compile_schemas([{"EventName": "login", "Version": 42, "Columns": columns(
     ("times", "times", "bigint"), ("fraction", "fraction", "float"), ("name", "name", "varchar"),
     ("user_agent", "user_agent", "varchar"), ("now", "now", "f@timestamp@unix"), ("id", "id", "userIDWithMapping", "name"))}])
-GOOD = {"times": 42, "fraction": 0.1234, "name": "kai.hayashi", "now": 1382033155, "id": 42}
+GOOD = {"times": 42, "fraction": 0.25, "name": "mira.lund", "now": 1614834367, "id": 42}
 
 
 @pytest.fixture(scope="module")
 def logins(spark):
     return spark.createDataFrame(
-        [("kai.hayashi", 42), ("bestchannel", 25), ("nobody", None)], "login string, user_id bigint")
+        [("mira.lund", 42), ("tidepool", 25), ("nobody", None)], "login string, user_id bigint")
 
 
-def one(lines, logins, properties, event="login", agent="Test Browser", schemas=LOGIN, **options):
+def one(lines, logins, properties, event="login", agent="Probe 3", schemas=LOGIN, **options):
     body = json.dumps({"event": event, "properties": properties})
     rows = collate(decode_edge_log(lines(record(encode(body), userAgent=agent))), schemas, logins=logins, **options)
     return with_line(with_record(rows)).first()
@@ -41,11 +41,11 @@ def without(*names, **changes):
 
 @pytest.mark.parametrize("limit", [600, 0])
 @pytest.mark.parametrize("properties,agent,status,values", [
-    (GOOD, "Test Browser", 0, ["42", "0.1234", "kai.hayashi", "Test Browser", "2013-10-17 11:05:55", "42"]),
-    (without(id=None), "Test Browser", 0, ["42", "0.1234", "kai.hayashi", "Test Browser", "2013-10-17 11:05:55", "42"]),
-    (without(times="sda"), "Test Browser", 6, ["", "0.1234", "kai.hayashi", "Test Browser", "2013-10-17 11:05:55", "42"]),
-    (without("now"), "", 6, ["42", "0.1234", "kai.hayashi", "", "", "42"]),
-    (without("name", id=None), "", 6, ["42", "0.1234", "", "", "2013-10-17 11:05:55", ""]),
+    (GOOD, "Probe 3", 0, ["42", "0.25", "mira.lund", "Probe 3", "2021-03-03 21:06:07", "42"]),
+    (without(id=None), "Probe 3", 0, ["42", "0.25", "mira.lund", "Probe 3", "2021-03-03 21:06:07", "42"]),
+    (without(times="sda"), "Probe 3", 6, ["", "0.25", "mira.lund", "Probe 3", "2021-03-03 21:06:07", "42"]),
+    (without("now"), "", 6, ["42", "0.25", "mira.lund", "", "", "42"]),
+    (without("name", id=None), "", 6, ["42", "0.25", "", "", "2021-03-03 21:06:07", ""]),
 ])
 def test_rows(lines, logins, properties, agent, status, values, limit):
     row = one(lines, logins, properties, agent=agent, max_compiled_columns=limit)
@@ -55,10 +55,10 @@ def test_rows(lines, logins, properties, agent, status, values, limit):
 
 
 @pytest.mark.parametrize("identity,name,text,outcome", [
-    (5, "x", "5", "id_set"), ("7", "x", "7", "id_set"), ("", "kai.hayashi", "42", "hit"),
-    ("", "   kai.hayashi\t", "42", "hit"), ("", " kai.hayashi ", "42", "hit"), ("", "nobody", "", "hit"),
+    (5, "x", "5", "id_set"), ("7", "x", "7", "id_set"), ("", "mira.lund", "42", "hit"),
+    ("", "   mira.lund\t", "42", "hit"), ("", " mira.lund ", "42", "hit"), ("", "nobody", "", "hit"),
     ("", "\t\n\t", None, "empty_lookup_value"), ("", 5, None, "bad_lookup_value"), ("", "unknown", None, "fetch_failure"),
-    (1.5, "kai.hayashi", "42", "hit"),
+    (1.5, "mira.lund", "42", "hit"),
 ])
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_mapping(lines, logins, identity, name, text, outcome, broadcast):
@@ -67,14 +67,14 @@ def test_mapping(lines, logins, identity, name, text, outcome, broadcast):
 
 
 @pytest.mark.parametrize("body,status,category,uuid", [
-    ('{"event":"NotTracked","properties":{"b":1,"a":[2]}}', 2, "NotTracked", "uuid1"),
-    ('{"event":"NotTracked"}', 2, "NotTracked", "uuid1"),
-    ('{"event":"","properties":{}}', 5, "Unknown", "uuid1"),
-    ('{"event":"login"}', 5, "Unknown", "uuid1"),
-    ('{"event":"login","properties":[1]}', 5, "Unknown", "uuid1"),
-    ('{"event":"login","properties":"x"}', 5, "Unknown", "uuid1"),
+    ('{"event":"NotTracked","properties":{"b":1,"a":[2]}}', 2, "NotTracked", "rec-a"),
+    ('{"event":"NotTracked"}', 2, "NotTracked", "rec-a"),
+    ('{"event":"","properties":{}}', 5, "Unknown", "rec-a"),
+    ('{"event":"login"}', 5, "Unknown", "rec-a"),
+    ('{"event":"login","properties":[1]}', 5, "Unknown", "rec-a"),
+    ('{"event":"login","properties":"x"}', 5, "Unknown", "rec-a"),
     ('{"event":"login","properties":null}', 8, "Unknown", "error"),
-    ("oops", 1, "Unknown", "uuid1"),
+    ("oops", 1, "Unknown", "rec-a"),
 ])
 def test_other_statuses(lines, logins, body, status, category, uuid):
     row = with_line(collate(decode_edge_log(lines(record(encode(body)))), LOGIN, logins=logins)).first()
@@ -93,9 +93,9 @@ def test_pipeline_row(lines):
     body = json.dumps({"event": "login", "properties": {
         "sampling_factor": 0.1500000059604645, "distinct_id": "FFFF8047-0398-40FF-FF89-5B3FFFFFF0E7", "time": 1380585602}})
     row = with_line(collate(decode_edge_log(lines(record(encode(body)))), table)).first()
-    assert row.line == '"0.1500000059604645"\t"FFFF8047-0398-40FF-FF89-5B3FFFFFF0E7"\t"2013-10-17 11:05:55"\t"2013-09-30 17:00:02"'
+    assert row.line == '"0.1500000059604645"\t"FFFF8047-0398-40FF-FF89-5B3FFFFFF0E7"\t"2021-03-03 21:06:07"\t"2013-09-30 17:00:02"'
     empty = with_line(collate(decode_edge_log(lines(record(encode('{"event":"login","properties":{}}')))), table)).first()
-    assert empty.status == 6 and empty.line == '""\t""\t"2013-10-17 11:05:55"\t""'
+    assert empty.status == 6 and empty.line == '""\t""\t"2021-03-03 21:06:07"\t""'
 
 
 def test_repeated_outbound_name_and_duplicate_keys(lines):

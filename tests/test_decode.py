@@ -25,26 +25,26 @@ def test_alphabets(lines):
     escaped = std.replace("=", "%3D").replace("+", "%2B").replace("/", "%2F")
     # A bare plus is a blank after unescaping, which stands for plus again.
     for data in (std, url_safe, escaped):
-        assert decoded(lines, record(data)) == [("login", "uuid1", 1382033155, "10.1.40.26", 0)]
+        assert decoded(lines, record(data)) == [("login", "rec-a", 1614834367, "198.51.100.26", 0)]
 
 
 def test_many_events_get_suffixed_ids(lines):
     four = encode("[" + ",".join([LOGIN] * 4) + "]")
-    assert [r[1] for r in decoded(lines, record(four))] == ["uuid1-0", "uuid1-1", "uuid1-2", "uuid1-3"]
-    assert [r[1] for r in decoded(lines, record(encode(f"[{LOGIN}]")))] == ["uuid1"]
+    assert [r[1] for r in decoded(lines, record(four))] == ["rec-a-0", "rec-a-1", "rec-a-2", "rec-a-3"]
+    assert [r[1] for r in decoded(lines, record(encode(f"[{LOGIN}]")))] == ["rec-a"]
 
 
 @pytest.mark.parametrize("payload", [
     "[ {}]", "[]", "5", '{"event":5}', '{"event":"a"} x', '[{"event":"a"},5]', "junk", '{"event":"a",}'])
 def test_unusable_payload(lines, payload):
-    assert decoded(lines, record(encode(payload))) == [("Unknown", "uuid1", 1382033155, "", 1)]
+    assert decoded(lines, record(encode(payload))) == [("Unknown", "rec-a", 1614834367, "", 1)]
 
 
 @pytest.mark.parametrize("row,uuid,time", [
     ("{", "error", 0), ("", "error", 0), ("[]", "error", 0),
     (record("Qw3notreally", uuid="123abc", receivedAt="2014-12-10T00:50:23Z"), "123abc", 1418172623),
-    (record("%zz"), "uuid1", 1382033155), (record("%zz", uuid=""), "error", 1382033155),
-    (record("%zz", uuid="é" * 33), "error", 1382033155), (record("%zz", uuid="x" * 64), "x" * 64, 1382033155),
+    (record("%zz"), "rec-a", 1614834367), (record("%zz", uuid=""), "error", 1614834367),
+    (record("%zz", uuid="é" * 33), "error", 1614834367), (record("%zz", uuid="x" * 64), "x" * 64, 1614834367),
     (record(encode(LOGIN), receivedAt="yesterday"), "error", 0), (record(encode(LOGIN), clientIp="1.2.3"), "error", 0),
 ])
 def test_quarantine(lines, row, uuid, time):

@@ -25,40 +25,40 @@ def columns(*rows):
     return [dict(zip(keys, r)) for r in rows]
 
 
-VIDEO = compile_schemas([{"EventName": "video-play", "Version": 2, "Columns": columns(
+VIDEO = compile_schemas([{"EventName": "clip-start", "Version": 2, "Columns": columns(
     ("time", "time", "f@timestamp@unix", "", " sortkey"), ("time", "time_utc", "f@timestamp@unix-utc"), ("ip", "ip", "varchar", "", "(15)"),
     ("ip", "city", "ipCity"), ("ip", "country", "ipCountry"), ("ip", "region", "ipRegion"), ("ip", "asn", "ipAsn"),
-    ("hls_load_attempted", "hls_load_attempted", "bool"), ("bandwidth", "bandwidth", "float"),
-    ("broadcaster_software", "broadcaster_software", "varchar", "", "(4)"), ("buffer_empty_count", "buffer_empty_count", "bigint"),
-    ("channel", "channel", "varchar"), ("channel_id", "channel_id", "userIDWithMapping", "channel"),
-    ("device_id", "device_id", "varchar"), ("hyphenated-col", "hyphenated-col", "int"))}])
-PLAY = json.dumps({"event": "video-play", "properties": {
-    "hls_load_attempted": False, "hyphenated-col": 6, "vod_id": "", "device_id": "7ef35cbd3b4175c1", "game": "x",
-    "broadcaster_software": "xbox360", "channel": "bestchannel", "bandwidth": 31.933, "buffer_empty_count": "1"}})
-UNKNOWN = '{"event":"unknown","properties":{"hls_load_attempted":true,"hyphenated-col":2}}'
-EXPECTED = ["2017-08-01 11:07:35", "2017-08-01 18:07:35", "192.168.1.100", "SF", "US", "CA", "ASN", "false", "31.933", "xbox360",
-            "1", "bestchannel", "25", "7ef35cbd3b4175c1", "6"]
+    ("preload_ok", "preload_ok", "bool"), ("throughput", "throughput", "float"),
+    ("capture_app", "capture_app", "varchar", "", "(4)"), ("stalls", "stalls", "bigint"),
+    ("room", "room", "varchar"), ("room_id", "room_id", "userIDWithMapping", "room"),
+    ("unit", "unit", "varchar"), ("with-dash", "with-dash", "int"))}])
+PLAY = json.dumps({"event": "clip-start", "properties": {
+    "preload_ok": False, "with-dash": 6, "unit": "0badcafe12345678", "theme": "x",
+    "capture_app": "deckcam", "room": "tidepool", "throughput": 18.25, "stalls": "1"}})
+UNKNOWN = '{"event":"unknown","properties":{"preload_ok":true,"with-dash":2}}'
+EXPECTED = ["2017-08-01 11:07:35", "2017-08-01 18:07:35", "203.0.113.9", "Bergen", "NO", "VL", "ASN", "false", "18.25", "deckcam",
+            "1", "tidepool", "25", "0badcafe12345678", "6"]
 
 
 def edge(payload, **changes):
-    return record(encode(payload), **{"receivedAt": "2017-08-01T18:07:35.051326122Z", "clientIp": "192.168.1.100", **changes})
+    return record(encode(payload), **{"receivedAt": "2017-08-01T18:07:35.051326122Z", "clientIp": "203.0.113.9", **changes})
 
 
 @pytest.fixture(scope="module")
 def lookups(spark):
-    n = 3232235776
+    n = 3405803776
     return pipeline.Lookups(
-        spark.createDataFrame([(n, n + 255, "SF", "CA", "US")], "start_ip long, end_ip long, city string, region string, country string"),
+        spark.createDataFrame([(n, n + 255, "Bergen", "VL", "NO")], "start_ip long, end_ip long, city string, region string, country string"),
         spark.createDataFrame([(n, n + 255, "ASN")], "start_ip long, end_ip long, asn string"),
-        spark.createDataFrame([("bestchannel", 25)], "login string, user_id bigint"))
+        spark.createDataFrame([("tidepool", 25)], "login string, user_id bigint"))
 
 
 def all_sinks(path):
     return pipeline.Sinks(
         tables=f"{path}/tables", untracked=f"{path}/untracked", stream_path=f"{path}/streams",
         streams=[
-            StreamConfig("one", compress=True, events={"video-play": StreamEvent(fields=("time_utc", "channel_id"))}),
-            StreamConfig("two", "firehose", events={"video-play": StreamEvent(fields=("time",))})])
+            StreamConfig("one", compress=True, events={"clip-start": StreamEvent(fields=("time_utc", "room_id"))}),
+            StreamConfig("two", "firehose", events={"clip-start": StreamEvent(fields=("time",))})])
 
 
 def test_batch_job(spark, lookups, tmp_path):
@@ -74,7 +74,7 @@ def test_batch_job(spark, lookups, tmp_path):
     assert dumped == [json.loads(UNKNOWN)]
 
     manifest = tables.build_manifest(spark, f"{tmp_path}/tables").collect()
-    assert [(r.table_name, r.table_version, r.n_rows) for r in manifest] == [("video-play", 2, 1)] and manifest[0].n_bytes > 0
+    assert [(r.table_name, r.table_version, r.n_rows) for r in manifest] == [("clip-start", 2, 1)] and manifest[0].n_bytes > 0
     assert manifest[0].key_name.endswith(".gz")
     bare = tables.build_manifest(spark, f"{tmp_path}/untracked", untracked=True).first()
     assert bare.table_name is None and bare.n_rows == 1
@@ -82,13 +82,13 @@ def test_batch_job(spark, lookups, tmp_path):
     first = json.loads(spark.read.parquet(f"{tmp_path}/streams/stream=one").first().value)
     glob = base64.b64decode(first["Data"])
     assert json.loads(zlib.decompress(glob[1:], -15)) == [
-        {"Name": "video-play", "Fields": {"channel_id": "25", "time_utc": "2017-08-01 18:07:35"}}]
+        {"Name": "clip-start", "Fields": {"room_id": "25", "time_utc": "2017-08-01 18:07:35"}}]
     second = json.loads(spark.read.parquet(f"{tmp_path}/streams/firehose=two").first().value)
     assert second["Data"] == {"time": "2017-08-01 11:07:35"} and second["CreatedAt"] == ""
 
-    loaded = tables.load_tsv(spark, tables.table_folder(f"{tmp_path}/tables", VIDEO["video-play"]), VIDEO["video-play"]).first()
-    assert loaded["time"] == datetime(2017, 8, 1, 11, 7, 35) and loaded.bandwidth == 31.933 and loaded.hls_load_attempted is False
-    assert loaded.broadcaster_software == "xbox" and loaded.ip == "192.168.1.100" and loaded["hyphenated-col"] == 6
+    loaded = tables.load_tsv(spark, tables.table_folder(f"{tmp_path}/tables", VIDEO["clip-start"]), VIDEO["clip-start"]).first()
+    assert loaded["time"] == datetime(2017, 8, 1, 11, 7, 35) and loaded.throughput == 18.25 and loaded.preload_ok is False
+    assert loaded.capture_app == "deck" and loaded.ip == "203.0.113.9" and loaded["with-dash"] == 6
 
 
 def test_awkward_table_names(spark, lines, tmp_path):
@@ -128,10 +128,10 @@ def test_window_days_and_fragments(spark):
     with pytest.raises(ValueError):
         edge_log_days(datetime(2017, 8, 2), datetime(2017, 8, 1))
     assert "" in name_fragments("view") and "" not in name_fragments("video")
-    texts = [(encode(f'{"x" * i}{{"event":"{e}"}}'), e) for i in range(3) for e in ("video-play", "another-one")]
+    texts = [(encode(f'{"x" * i}{{"event":"{e}"}}'), e) for i in range(3) for e in ("clip-start", "another-one")]
     rows = spark.createDataFrame(texts, "line string, e string")
-    assert {r.e for r in rows.where(fragment_filter(F.col("line"), ["video-play"])).collect()} == {"video-play"}
-    assert rows.where(fragment_filter(F.col("line"), ["video-play"])).count() == 3
+    assert {r.e for r in rows.where(fragment_filter(F.col("line"), ["clip-start"])).collect()} == {"clip-start"}
+    assert rows.where(fragment_filter(F.col("line"), ["clip-start"])).count() == 3
 
 
 def write_log(spark, lines, path, day):
@@ -142,8 +142,8 @@ def test_replay(spark, lines, lookups, tmp_path):
     log = f"{tmp_path}/log"
     write_log(spark, lines(edge(PLAY, uuid="new"), edge(UNKNOWN), "{", edge(PLAY, receivedAt="2017-08-02T18:00:00Z")), log, "20170801")
     write_log(spark, lines(edge(PLAY, uuid="elsewhere")), log, "20160101")
-    target = f"{tmp_path}/target/video-play"
-    schema = VIDEO["video-play"]
+    target = f"{tmp_path}/target/clip-start"
+    schema = VIDEO["clip-start"]
     fields = ", ".join(f"`{c.outbound}` {c.sql_type}" for c in schema.columns)
     values = lambda t: [t, t] + [None] * (len(schema.columns) - 2)
     rows = [values(t) for t in (datetime(2017, 8, 1, 11), datetime(2017, 8, 1, 13), datetime(2017, 7, 31, 11), datetime(2017, 8, 2, 9), None)]
@@ -159,16 +159,16 @@ def test_replay(spark, lines, lookups, tmp_path):
         os.utime(file, (1501611000, 1501611000))
     spark.catalog.clearCache()
     assert read_edge_log(spark, log, start=start, end=end).count() == 4
-    assert read_edge_log(spark, log, start=start, end=end, events=["video-play"]).count() == 2
+    assert read_edge_log(spark, log, start=start, end=end, events=["clip-start"]).count() == 2
 
     run = lambda **k: replay.replay(
-        spark, start, end, ["video-play"], schemas=VIDEO, log_path=log, output_path=f"{tmp_path}/out",
+        spark, start, end, ["clip-start"], schemas=VIDEO, log_path=log, output_path=f"{tmp_path}/out",
         target_path=f"{tmp_path}/target", lookups=lookups, run_tag="r1", **k)
     assert run(skip_load=True) == []
     done = run(skip_transform=True)
     assert (done[0].deleted, done[0].inserted, done[0].error) == (1, 1, None)
-    after = spark.read.parquet(target).select("time", "channel_id").collect()
-    assert sorted((r.time, r.channel_id) for r in after if r.time) == [
+    after = spark.read.parquet(target).select("time", "room_id").collect()
+    assert sorted((r.time, r.room_id) for r in after if r.time) == [
         (datetime(2017, 7, 31, 11), None), (datetime(2017, 8, 1, 11, 7, 35), 25), (datetime(2017, 8, 1, 13), None),
         (datetime(2017, 8, 2, 9), None)]
     assert sum(r.time is None for r in after) == 1
@@ -176,9 +176,9 @@ def test_replay(spark, lines, lookups, tmp_path):
     # A table without replayed files keeps its window, or loses it on request; a broken one is reported.
     missing = dict(schemas=VIDEO, log_path=log, output_path=f"{tmp_path}/nothing", target_path=f"{tmp_path}/target",
                    run_tag="r2", skip_transform=True)
-    kept = replay.replay(spark, start, end, ["video-play", "no-such"], **missing)
+    kept = replay.replay(spark, start, end, ["clip-start", "no-such"], **missing)
     assert kept[0].error is None and kept[0].deleted == 0 and kept[1].error
-    emptied = replay.replay(spark, datetime(2017, 8, 1), datetime(2017, 8, 1, 23, 59), ["video-play"], on_missing="empty", **missing)
+    emptied = replay.replay(spark, datetime(2017, 8, 1), datetime(2017, 8, 1, 23, 59), ["clip-start"], on_missing="empty", **missing)
     assert emptied[0].deleted == 2 and spark.read.parquet(target).count() == 3
     with pytest.raises(ValueError):
         run(skip_transform=True, skip_load=True)
