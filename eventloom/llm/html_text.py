@@ -48,6 +48,8 @@ IMPLIED = {
 }
 #: An end tag looks no further than these for its start tag.
 SCOPE = frozenset("table td th caption".split())
+#: As in browsers, an element at this depth takes the place of the one open there; its text stays.
+MAX_DEPTH = 512
 #: Cells longer than this are not padded to; they push the rest of their row aside.
 WIDEST_PAD = 60
 
@@ -118,6 +120,8 @@ def _start(stack: list[Node], tag: str, text: str) -> Node:
         if tag == "ol" and re.fullmatch(r"[+-]?\d{1,9}", of.get("start", "")):
             start = int(of["start"])
     node = Node(tag, shown, start)
+    if len(stack) >= MAX_DEPTH:
+        stack.pop()
     stack[-1].children.append(node)
     if tag not in VOID:
         stack.append(node)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import BLANKS, documents, written
 
 MIN_WORDS, WINDOW, MAX_REPEATED_PERCENT = 10, 5, 20
-BUCKETS, SMOOTHING = 1 << 14, 1.0
+BUCKETS, PRIOR = 1 << 14, 1000.0
 #: Nats per n-gram. Ordinary texts of a less common language lie a little under 0, junk under -0.9.
 THRESHOLD = -0.3
 #: Trusted ids are broadcast up to so many (8 bytes each), else joined by a shuffle.
@@ -106,9 +106,12 @@ def ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
     counts = written(counts, "bucket-counts")
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
-    share = lambda c, n: (F.coalesce(F.col(c), F.lit(0)) + SMOOTHING) / (float(n or 0) + SMOOTHING * BUCKETS)
     every = docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
-    value = F.log(share("target", target) / share("raw", raw)) if target else F.lit(0.0)
+    # The target's share of a bucket leans on the raw share by PRIOR n-grams, so few trusted
+    # documents give ratios near 1 instead of near those of an even spread.
+    expected = F.col("raw") / float(raw or 1)
+    seen = (F.col("target") / expected + PRIOR) / (float(target or 0) + PRIOR)
+    value = F.coalesce(F.log(seen), F.lit(0.0))
     # BUCKETS numbers, whatever the corpus.
     row = every.agg(F.sort_array(F.collect_list(F.struct("bucket", value.alias("v")))).alias("all"))
     return row.select(F.col("all.v").alias("ratio"))

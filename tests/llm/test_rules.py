@@ -28,7 +28,8 @@ def test_base_counts(table):
     assert [found[k] for k in range(len(texts))] == [counts(t) for t in texts]
 
 
-def test_verdicts(spark, table):
+def test_verdicts(spark, table, monkeypatch):
+    monkeypatch.setattr(quality, "PRIOR", 1.0)  # a few hundred n-grams in all
     good = ["the quick brown fox jumps over lazy dogs near old river banks today " + f"n{k}" for k in range(30)]
     junk = ["the$$$ quick%%% brown### fox&&& jumps*** over||| lazy$$$ dogs%%% near### old&&& river " + f"j{k}" for k in range(10)]
     docs = table(good + junk + [None, "few words", "a b c d e f " * 30])
@@ -95,7 +96,7 @@ def test_license_suppression(table):
     ("<p hidden>a</p><p style='display: none'>b</p><p>c", "c"),
     ("<span style='visibility:hidden'>a<b>b</b></span>c", "c"),
     ("&lt;b&gt; &amp; &eacute;", "<b> & é"), ("a < b and c<d", "a < b and c"), ("<dl><dt>t<dd>d", "t\n  d"),
-    ("</div></p>x</b>", "x"), ("<textarea> a\n b</textarea>", "a\n b"), ("<blockquote>q</blockquote>", "  q"),
+    ("</div></p>x</b>", "x"), ("<textarea> a\n b</textarea>", " a\n b"), ("<blockquote>q</blockquote>", "  q"),
     ("<table><tr><td>a<table><tr><td>b<td>c</table><td>d</table>", "a b  c  d"),
 ])
 def test_visible_text(page, text):
