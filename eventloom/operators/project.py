@@ -58,13 +58,24 @@ def address_names(schema: TableSchema, table: str) -> list[str]:
     )
 
 
-def mapping_names(schema: TableSchema) -> list[str]:
-    """Supporting columns looked up; other than one supporting column never resolves."""
+def mapping_names(schema: TableSchema, dimension: str) -> list[str]:
+    """Supporting columns looked up in a dimension; other than one supporting column never resolves."""
     return _distinct(
-        [c.supporting[0] for c in schema.columns if c.is_mapping and len(c.supporting) == 1]
+        [c.supporting[0] for c in schema.columns if c.dimension == dimension and len(c.supporting) == 1]
     )
 
 
+def mapping_dimensions(schemas: dict[str, TableSchema]) -> list[str]:
+    """Dimensions that the tables' mapping columns look up."""
+    return _distinct([
+        c.dimension for s in schemas.values() for c in s.columns if c.is_mapping and len(c.supporting) == 1
+    ])
+
+
+def _mapping_slot(dimension: str, number: int) -> str:
+    return f"_login{number}" if dimension == "logins" else f"_map_{dimension}_{number}"
+
+
 def _slot_keys(schemas: dict[str, TableSchema], names_of) -> list[dict[str, list[str]]]:
     """Per slot: inbound name -> events.  A row needs one join per slot, not per name."""
     slots: list[dict[str, list[str]]] = []
@@ -102,9 +113,12 @@ def attach_lookups(
     geo: DataFrame | RangeTable | None = None,
     asn: DataFrame | RangeTable | None = None,
     logins: DataFrame | KeyTable | None = None,
+    dimensions: dict[str, DataFrame | KeyTable] | None = None,
     **limits,
 ) -> DataFrame:
-    """Adds ``_geo<i>``, ``_asn<i>`` and ``_login<i>`` for the tables that use them.
+    """Adds ``_geo<i>``, ``_asn<i>``, ``_login<i>`` and ``_map_<dimension>_<i>`` for the tables that
+    use them. ``dimensions`` are further tables ``login, user_id`` by the name a mapping was
+    registered with.
 
     Tables are DataFrames, or prepared once with ``prepare_blocks`` / ``prepare_logins``
     where many batches use them.  Without a table the columns are NULL: no block covers
@@ -122,19 +136,21 @@ def attach_lookups(
             fields = ", ".join(f"{f} string" for f in ADDRESS_VALUES[table])
             for name in keys:
                 rows = rows.withColumn(name, F.lit(None).cast(f"struct<{fields}>"))
-    slots = _slot_keys(schemas, mapping_names)
-    names = [f"_login{i}" for i in range(len(slots))]
-    for name, slot in zip(names, slots):
-        # NULL = not a text, '' = blank; neither is looked up.
-        rows = rows.withColumn(name + "_key", pinned(text.trim_blanks(_slot_key(slot))))
-    if names and logins is not None:
-        if isinstance(logins, DataFrame):
-            logins = prepare_logins(logins, **limits)
-        keys = {name: F.nullif(F.col(name + "_key"), F.lit("")) for name in names}
-        rows = left_lookup(rows, logins, keys, spread)
-    else:
-        for name in names:
-            rows = rows.withColumn(name, F.lit(None).cast("struct<user_id:bigint,found:boolean>"))
+    for dimension in mapping_dimensions(schemas):
+        table = logins if dimension == "logins" else (dimensions or {}).get(dimension)
+        slots = _slot_keys(schemas, lambda s: mapping_names(s, dimension))
+        names = [_mapping_slot(dimension, i) for i in range(len(slots))]
+        for name, slot in zip(names, slots):
+            # NULL = not a text, '' = blank; neither is looked up.
+            rows = rows.withColumn(name + "_key", pinned(text.trim_blanks(_slot_key(slot))))
+        if table is not None:
+            if isinstance(table, DataFrame):
+                table = prepare_logins(table, **limits)
+            keys = {name: F.nullif(F.col(name + "_key"), F.lit("")) for name in names}
+            rows = left_lookup(rows, table, keys, spread)
+        else:
+            for name in names:
+                rows = rows.withColumn(name, F.lit(None).cast("struct<user_id:bigint,found:boolean>"))
     return rows
 
 
@@ -179,7 +195,8 @@ def _mapping_cell(raw: Value, slot: Slot) -> Column:
 
 def _slot_name(schema: TableSchema, column: TableColumn) -> str:
     if column.is_mapping:
-        return f"_login{mapping_names(schema).index(column.supporting[0])}"
+        names = mapping_names(schema, column.dimension)
+        return _mapping_slot(column.dimension, names.index(column.supporting[0]))
     table = ADDRESS_LOOKUPS[column.transformer][0]
     return f"_{table}{address_names(schema, table).index(column.inbound)}"
 
@@ -258,7 +275,7 @@ class CellPlan:
         )
 
     def has_mappings(self) -> bool:
-        return any(mapping_names(s) for s in self.schemas.values())
+        return bool(mapping_dimensions(self.schemas))
 
     def rows(self) -> list[tuple]:
         """``event, version, names, inbounds, codes`` of every table."""

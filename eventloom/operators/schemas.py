@@ -62,6 +62,11 @@ class TableColumn:
     def is_mapping(self) -> bool:
         return self.transformer in MAPPINGS
 
+    @property
+    def dimension(self) -> str | None:
+        """Dimension table of a mapping column."""
+        return MAPPINGS.get(self.transformer)
+
     @property
     def sql_type(self) -> str:
         if self.is_mapping:

@@ -26,6 +26,7 @@ class Lookups:
     geo: DataFrame | RangeTable | None = None
     asn: DataFrame | RangeTable | None = None
     logins: DataFrame | KeyTable | None = None
+    dimensions: dict[str, DataFrame | KeyTable] = field(default_factory=dict)
 
     def prepared(self, **limits) -> Lookups:
         """The same tables measured and cut once, for use by many batches."""
@@ -34,10 +35,11 @@ class Lookups:
             prepare_blocks(self.geo, "geo", **limits) if is_frame(self.geo) else self.geo,
             prepare_blocks(self.asn, "asn", **limits) if is_frame(self.asn) else self.asn,
             prepare_logins(self.logins, **limits) if is_frame(self.logins) else self.logins,
+            {k: prepare_logins(t, **limits) if is_frame(t) else t for k, t in self.dimensions.items()},
         )
 
     def as_options(self) -> dict:
-        return {"geo": self.geo, "asn": self.asn, "logins": self.logins}
+        return {"geo": self.geo, "asn": self.asn, "logins": self.logins, "dimensions": self.dimensions}
 
 
 @dataclass

@@ -9,7 +9,7 @@ from eventloom.operators import reports
 from eventloom.operators.classify import collate, with_line, with_record
 from eventloom.operators.decode import decode_edge_log
 from eventloom.operators.project import cast_to_schema, typed_from_cells
-from eventloom.operators.schemas import compile_schemas
+from eventloom.operators.schemas import MAPPINGS, compile_schemas
 from tests.conftest import encode, record
 
 
@@ -159,3 +159,15 @@ def test_plan_does_not_grow_with_tables(lines, spark):
     got = with_record(many).collect()
     assert len(got) == 58 and all(r.version == int(r.event[1:]) for r in got)
     assert all(r.record == {f"c{r.version}_0": str(r.version), f"c{r.version}_3": "x", f"c{r.version}_4": "true"} for r in got)
+
+
+def test_second_mapping(spark, lines, logins, monkeypatch):
+    """A mapping registered with its own dimension looks up that one, not the logins."""
+    monkeypatch.setitem(MAPPINGS, "clubMapping", "clubs")
+    schemas = compile_schemas([{"EventName": "join", "Version": 1, "Columns": columns(
+        ("id", "id", "userIDWithMapping", "name"), ("club", "club", "clubMapping", "name"), ("other", "other", "clubMapping", "team"))}])
+    clubs = spark.createDataFrame([("mira.lund", 7000), ("north", 7001)], "login string, user_id bigint")
+    row = one(lines, logins, {"name": "mira.lund", "team": "north"}, "join", schemas=schemas, dimensions={"clubs": clubs})
+    assert row.cells == ["42", "7000", "7001"] and row.lookups == ["hit"] * 3
+    missing = one(lines, logins, {"name": "mira.lund", "team": "north"}, "join", schemas=schemas)
+    assert missing.cells == ["42", None, None]
