@@ -29,15 +29,10 @@ THRESHOLD = -0.3
 #: Trusted ids are broadcast up to so many (8 bytes each), else joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
-_BLANK_CHARS, _SYMBOLS = " \t\n\x0b\f\r", "#*$%&|<>"
+_SYMBOL, _NO_BLANK = r"[#*$%&|<>]", r"[^\x20\x09-\x0D]"
 _TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[!-/:-@\[-`{-~]+"
 
 
-def _removed(text: Column, chars: str) -> Column:
-    """Characters of ``text`` that are one of ``chars``."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
-
-
 def _with_repeated_words(rows: DataFrame) -> DataFrame:
     """``rows`` with ``n_repeat_words``: words inside windows found twice or more.
 
@@ -65,11 +60,11 @@ def base_counts(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
     rows = rows.withColumn("words", F.filter(F.split("text", BLANKS), lambda w: w != ""))
     rows = rows.withColumn(
-        "lines", F.filter(F.split("text", "\n"), lambda x: F.translate(x, _BLANK_CHARS, "") != ""))
+        "lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(_NO_BLANK)))
     return _with_repeated_words(rows).select(
         "doc_id", "text", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", _BLANK_CHARS, "")).cast("long").alias("word_chars"),
-        _removed(F.col("text"), _SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit(_SYMBOL)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words")
 
@@ -121,11 +116,14 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     """Base counts of every row with ``base_failed``, ``score`` and ``kept``."""
     model = written(ratios(docs, labels), "ratios")
     rows = base_counts(docs).withColumn("ratio", model.scalar()).withColumn("tokens", _tokens(F.col("text")))
-    rows = rows.withColumn("buckets", _buckets(F.col("tokens")))
-    total = F.aggregate("buckets", F.lit(0.0), lambda s, b: s + F.get(F.col("ratio"), b))
-    rows = rows.withColumn("score", F.coalesce(F.round(F.try_divide(total, F.size("buckets")), 9), F.lit(0.0)))
+    value = lambda *words: F.get(F.col("ratio"), _bucket(*words))
+    pair = lambda t, i: F.when(i > 0, value(F.get(F.col("tokens"), i - 1), t)).otherwise(0.0)
+    values = F.transform("tokens", lambda t, i: value(t) + pair(t, i))
+    total = F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
+    grams = F.when(F.size("tokens") > 0, 2 * F.size("tokens") - 1)
+    rows = rows.withColumn("score", F.coalesce(F.round(total / grams, 9), F.lit(0.0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    return rows.drop("text", "ratio", "tokens", "buckets").withColumn("base_failed", failed).withColumn(
+    return rows.drop("text", "ratio", "tokens").withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
