@@ -25,23 +25,32 @@ from eventloom.llm.token_table import crc, placed, tokenized
 WINDOW = 2048
 
 
+_PIECE = {
+    "doc_id": "long", "start": "long", "length": "long", "ids_crc32": "long", "doc_tokens": "long",
+    "sequence_id": "long", "offset": "long", "token_ids": "array<int>",
+}
+_IN_SEQUENCE = ["offset", "doc_id", "start", "length", "token_ids"]
+
+
+def _placed(docs: DataFrame, vocabulary: str | None) -> DataFrame:
+    tokens = placed(written(tokenized(docs, vocabulary), "tokens"))
+    return tokens.select("doc_id", "start", "n_tokens", "token_ids")
+
+
 def token_pieces(docs: DataFrame, window: int = WINDOW, vocabulary: str | None = None) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, token_ids): one row per
-    piece of a document in a window. ``start`` counts ids of the document, ``offset`` of the window."""
-    return cut(placed(written(tokenized(docs, vocabulary), "tokens")), window)
-
-
-def cut(tokens: DataFrame, window: int) -> DataFrame:
-    """Pieces of placed documents, in the order of their rows."""
-    fields = ("doc_id long, part int, start long, length long, ids_crc32 long, doc_tokens long,"
-              " sequence_id long, offset long, token_ids array<int>")
-
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = batch.column("start").to_numpy()
-            n = batch.column("n_tokens").to_numpy()
-            lists = batch.column("token_ids")
-            ids = lists.flatten().to_numpy()
+    """One row per piece of a document in a window, with the columns of ``_PIECE``. ``start`` counts
+    ids of the document, ``offset`` ids of the window."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in _PIECE.items())
+    return _placed(docs, vocabulary).mapInArrow(lambda batches: _cut(batches, window), schema)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of placed documents, in the order of their rows, some hundred documents at a time."""
+    for whole in batches:
+        for k in range(0, whole.num_rows, 256):
+            batch = whole.slice(k, 256)
+            place, n = batch.column("start").to_numpy(), batch.column("n_tokens").to_numpy()
+            ids = batch.column("token_ids").flatten().to_numpy()
             at = np.cumsum(n) - n  # of each document among the batch's ids
             first, last = place // window, (place + n - 1) // window
             count = last - first + 1
@@ -52,50 +61,43 @@ def cut(tokens: DataFrame, window: int) -> DataFrame:
             start, length = begin - place[row], end - begin
             cuts = at[row] + start
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(row)), batch.column("part").take(pa.array(row)),
-                pa.array(start), pa.array(length),
+                batch.column("doc_id").take(pa.array(row)), pa.array(start), pa.array(length),
                 pa.array([crc(ids[a : a + k]) for a, k in zip(cuts, length)], pa.int64()),
                 pa.array(n[row]), pa.array(sequence), pa.array(begin - sequence * window),
                 pa.ListArray.from_arrays(pa.array(np.append(cuts, len(ids)), pa.int32()), ids),
-            ], fields_of)
-
-    fields_of = [f.split()[0] for f in fields.split(",")]
-    columns = ["doc_id", "part", "start", "n_tokens", "token_ids"]
-    return tokens.select(*columns).mapInArrow(pieces, fields)
-
-
-def sequences(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
+            ], list(_PIECE))
+
+
+def _gather(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of pieces of one window as one row; the last run is held for the next batch."""
+    def rows(batch: pa.RecordBatch, begins: np.ndarray) -> pa.RecordBatch:
+        parts = pa.StructArray.from_arrays([batch.column(c) for c in _IN_SEQUENCE], _IN_SEQUENCE)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(begins, batch.num_rows), pa.int32()), parts)
+        return pa.RecordBatch.from_arrays([batch.column("sequence_id").take(pa.array(begins)), lists], ["sequence_id", "pieces"])
+
+    held = None
+    for batch in pieces:
+        batch = batch.select(["sequence_id", *_IN_SEQUENCE])
+        batch = pa.concat_batches([held, batch]) if held is not None else batch
+        if not batch.num_rows:
+            continue
+        begins = np.append(0, np.flatnonzero(np.diff(batch.column("sequence_id").to_numpy())) + 1)
+        held = batch.slice(begins[-1])
+        if begins[-1]:
+            yield rows(batch.slice(0, begins[-1]), begins[:-1])
+    if held is not None and held.num_rows:
+        yield rows(held, np.array([0]))
+
+
+def sequences(docs: DataFrame, window: int = WINDOW, vocabulary: str | None = None) -> DataFrame:
     """(sequence_id, n_tokens, doc_ids, starts, lengths, token_ids), one row per window.
 
     Windows wholly read by one task are put together there. What a task holds of its first and
     last window is a boundary record; those are grouped by window, at most ``window`` ids each.
     """
-    columns = ["sequence_id", "offset", "doc_id", "start", "length", "token_ids"]
-    fields = "sequence_id long, pieces array<struct<offset:long,doc_id:long,start:long,length:long,token_ids:array<int>>>"
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-
-        def out(which: list[int]) -> pa.RecordBatch:
-            rows = [{"sequence_id": k, "pieces": held.pop(k)} for k in which]
-            return pa.RecordBatch.from_pylist(rows, SCHEMA)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column("sequence_id").to_pylist()
-            tokens = batch.column("token_ids")
-            for k, (s, o, d, b, n) in enumerate(zip(ids, *(batch.column(c).to_pylist() for c in columns[1:5]))):
-                held.setdefault(s, []).append(
-                    {"offset": o, "doc_id": d, "start": b, "length": n, "token_ids": tokens[k].values.to_numpy()})
-            yield out([s for s in held if s != ids[-1]])
-        if held:
-            yield out(list(held))
-
-    piece = pa.struct([("offset", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
-                       ("length", pa.int64()), ("token_ids", pa.list_(pa.int32()))])
-    SCHEMA = pa.schema([("sequence_id", pa.int64()), ("pieces", pa.list_(piece))])
-    parts = pieces.select(*columns).mapInArrow(gather, fields)
+    fields = ", ".join(f"{c}:{_PIECE[c]}" for c in _IN_SEQUENCE)
+    parts = _placed(docs, vocabulary).mapInArrow(
+        lambda batches: _gather(_cut(batches, window)), f"sequence_id long, pieces array<struct<{fields}>>")
     full = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["length"])
     parts = parts.withColumn("n_tokens", full)
     whole = parts.where(F.col("n_tokens") == window).select("sequence_id", "pieces")
@@ -109,4 +111,4 @@ def sequences(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_pieces(documents(spark, sf_dir)).drop("part", "token_ids")
+    return token_pieces(documents(spark, sf_dir)).drop("token_ids")

@@ -67,7 +67,7 @@ def test_packing_places_every_id_once(spark, odd, encoder, window):
             texts.append(line[at : at + r.doc_tokens])
             at += r.doc_tokens
     assert sorted(texts) == wanted and at == len(line)
-    found = sorted(packing.sequences(pieces, window).collect(), key=lambda r: r.sequence_id)
+    found = sorted(packing.sequences(odd, window).collect(), key=lambda r: r.sequence_id)
     assert [t for r in found for t in r.token_ids] == line
     assert all(r.n_tokens == window for r in found[:-1]) and 0 < found[-1].n_tokens <= window
     assert [d for r in found for d in r.doc_ids] == [r.doc_id for r in rows]
@@ -75,7 +75,7 @@ def test_packing_places_every_id_once(spark, odd, encoder, window):
 
 def test_packing_of_nothing(table):
     pieces = packing.token_pieces(table([]))
-    assert pieces.count() == 0 and packing.sequences(pieces).count() == 0
+    assert pieces.count() == 0 and packing.sequences(table([])).count() == 0
 
 
 def test_token_files(spark, odd, encoder, tmp_path):
@@ -91,10 +91,11 @@ def test_token_files(spark, odd, encoder, tmp_path):
     assert sorted((r.n_tokens, r.ids_crc32) for r in rows) == sorted(
         (len(i), crc(i)) for i in (library(encoder, t) + [1] for t in ODD))
     file = max((tmp_path / "ids").glob("*.parquet"), key=lambda f: f.stat().st_size)
-    columns = {c["path_in_schema"]: c for c in pq.ParquetFile(file).metadata.row_group(0).to_dict()["columns"]}
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    columns = {c.path_in_schema: c for c in map(group.column, range(group.num_columns))}
     ids = next(c for name, c in columns.items() if name.startswith("token_ids"))
-    assert "RLE_DICTIONARY" in ids["encodings"] and "DELTA_BINARY_PACKED" in columns["doc_id"]["encodings"]
-    assert columns["doc_id"]["has_column_index"] and columns["doc_id"]["has_offset_index"]
+    assert "RLE_DICTIONARY" in ids.encodings and "DELTA_BINARY_PACKED" in columns["doc_id"].encodings
+    assert columns["doc_id"].has_column_index and columns["doc_id"].has_offset_index
 
 
 def test_token_files_of_nothing(spark, table, tmp_path):
