@@ -1,8 +1,8 @@
 """Repeated and nearly repeated lines: the earliest stays, later ones go, with Spark functions only.
 
-A line is its sequence of words, A-Z in lower case. Equal lines of at least ``MIN_EXACT`` words are
-one line that occurs often; lines of at least ``MIN_NEAR`` words are near if one word is inserted,
-deleted or replaced (a similarity of 0.9 or more). Order is (doc_id, text hash, line number); a
+Lines are compared in lower case without blanks at their ends. Equal lines of at least
+``MIN_EXACT`` words are one line that occurs often; lines of at least ``MIN_NEAR`` words are near if
+at most one word is inserted, deleted or replaced (a similarity of 0.9 or more). Order is (doc_id, text hash, line number); a
 line goes if an equal or near line comes earlier.
 
 Deletion neighbourhoods: every candidate line emits, for each place, a hashed key of the line
@@ -26,13 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventloom.llm.common import BLANKS, documents, lower_ascii, written
+from eventloom.llm.common import BLANKS, documents, written
 
 MIN_EXACT, MIN_NEAR = 3, 10
 #: Tables of line hashes are broadcast up to so many rows (about 40 bytes each), else shuffled.
 BROADCAST_LINES = 500_000
 
 _LINE = ["h1", "h2"]
+_BLANK_CHARS = " \t\n\x0b\f\r"
 
 
 def _if_small(table: DataFrame) -> DataFrame:
@@ -40,22 +41,12 @@ def _if_small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_LINES else table
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(lower_ascii(line), BLANKS), lambda w: w != "")
-
-
-def _key(rows: DataFrame) -> DataFrame:
-    """``rows`` with the document key: doc_id and two hashes of the text."""
-    return rows.withColumn("t1", F.xxhash64("text"))
-
-
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, t1, line, words, n, h1, h2) of all lines of at least ``MIN_EXACT`` words."""
-    rows = _key(docs.select("doc_id", F.col("text").cast("string").alias("text"))).where("text is not null")
-    rows = rows.select("doc_id", "t1", F.posexplode(F.split("text", "\n")).alias("line", "own"))
-    rows = rows.select("doc_id", "t1", "line", _words(F.col("own")).alias("words"))
-    rows = rows.withColumn("n", F.size("words")).where(F.col("n") >= MIN_EXACT)
-    return rows.withColumn("h1", F.xxhash64("words")).withColumn("h2", F.xxhash64(F.lit(1), "words"))
+    """(doc_id, t1, line, own, h1, h2) of all lines but blank ones; ``own`` is the compared text."""
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    rows = rows.select("doc_id", F.xxhash64("text").alias("t1"), F.posexplode(F.split("text", "\n")).alias("line", "own"))
+    rows = rows.withColumn("own", F.btrim(F.lower("own"), F.lit(_BLANK_CHARS))).where("own != ''")
+    return rows.withColumn("h1", F.xxhash64("own")).withColumn("h2", F.xxhash64(F.lit(1), "own"))
 
 
 def _half_keys() -> Column:
@@ -71,58 +62,60 @@ def _half_keys() -> Column:
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """(h1, h2, n, times, first, halves): ``first`` is (doc_id, t1, line) of the earliest occurrence."""
-    rows = lines(docs).withColumn("halves", _half_keys())
+    rows = lines(docs).withColumn("words", F.split("own", BLANKS)).withColumn("n", F.size("words"))
+    rows = rows.where(F.col("n") >= MIN_EXACT).withColumn("halves", _half_keys())
     return rows.groupBy(*_LINE).agg(
         F.first("n").alias("n"), F.count("*").alias("times"),
         F.min(F.struct("doc_id", "t1", "line")).alias("first"), F.first("halves").alias("halves"))
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
-    """(h1, h2, first) of the lines that share a half with another line."""
-    keys = distinct.where("halves is not null").select(*_LINE, F.explode("halves").alias("key"))
+    """(h1) of the lines that share a half with another line."""
+    keys = distinct.where("halves is not null").select("h1", F.explode("halves").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1").select("key")
-    return keys.join(shared, "key", "left_semi").select(*_LINE).distinct()
+    return keys.join(shared, "key", "left_semi").select("h1").distinct()
+
+
+def numbered(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(id, h1, h2, words) of the chosen lines; ids rise with the line's first occurrence."""
+    every = lines(docs).join(_if_small(chosen), "h1")
+    own = every.groupBy(*_LINE).agg(F.min(F.struct("doc_id", "t1", "line")).alias("first"), F.first("own").alias("own"))
+    own = own.withColumn("words", F.split("own", BLANKS)).where(F.size("words") >= MIN_NEAR - 1)
+    own = own.orderBy("first", *_LINE).select(F.monotonically_increasing_id().alias("id"), *_LINE, "words")
+    return written(own, "line-words")
 
 
 def neighbourhood(own: DataFrame) -> DataFrame:
-    """(h1, h2, first, lacks, key) of lines ``own`` (h1, h2, first, words): one row per place and kind."""
-    rows = own.select(*_LINE, "first", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
+    """(id, lacks, key, key2) of lines ``own`` (id, words): one row per place and kind."""
+    rows = own.select("id", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
     rows = rows.withColumn("p", F.xxhash64("i", "word")).withColumn("s", F.xxhash64(F.col("n") - F.col("i"), "word"))
-    line = Window.partitionBy(*_LINE)
+    line = Window.partitionBy("id")
     before = line.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
-    rows = rows.withColumn("prefix", F.coalesce(F.bit_xor("p").over(before), zero))
+    rows = rows.drop("word").withColumn("prefix", F.coalesce(F.bit_xor("p").over(before), zero))
     rows = rows.withColumn("passed", F.coalesce(F.bit_xor("s").over(before), zero))
     rows = rows.withColumn("suffix", F.bit_xor("s").over(line).bitwiseXOR(F.col("passed")))  # with the word at i
     after = F.col("suffix").bitwiseXOR(F.col("s"))
     kind = lambda lacks, i, n, p, s: F.struct(
-        F.lit(lacks).alias("lacks"), F.xxhash64(i, n, p, s).alias("key"), F.xxhash64(s, p, n, i).alias("key2"))
+        F.lit(lacks).alias("lacks"), F.xxhash64(i, n, p, s).alias("key"), F.hash(s, p, n, i).alias("key2"))
     i, n, prefix = F.col("i"), F.col("n"), F.col("prefix")
     last = F.when(i == n - 1, kind(False, n, n, prefix.bitwiseXOR(F.col("p")), zero))  # cut after the last word
     kinds = F.array(kind(True, i, n - 1, prefix, after), kind(False, i, n, prefix, F.col("suffix")), last)
-    return rows.select(*_LINE, "first", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("k")).select(
-        *_LINE, "first", "k.*")
+    return rows.select("id", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("k")).select("id", "k.*")
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2) of the lines that have an earlier near line."""
-    chosen = _if_small(written(candidates(distinct), "line-candidates"))
-    every = lines(docs).where(F.col("n") >= MIN_NEAR - 1).join(chosen, _LINE)
-    own = every.groupBy(*_LINE).agg(
-        F.min(F.struct("doc_id", "t1", "line")).alias("first"), F.first("words").alias("words"))
-    own = written(own, "line-words")
+    own = numbered(docs, written(candidates(distinct), "line-candidates"))
     rows = neighbourhood(own)
-    line = F.struct("first", *_LINE)
     least = rows.groupBy("key", "key2").agg(
-        F.min(F.when(F.col("lacks"), line)).alias("lacking"), F.min(F.when(~F.col("lacks"), line)).alias("cut"),
+        F.min(F.when(F.col("lacks"), F.col("id"))).alias("lacking"), F.min(F.when(~F.col("lacks"), F.col("id"))).alias("cut"),
         F.count("*").alias("members")).where("members > 1").drop("members")
     met = rows.join(least, ["key", "key2"])
     witness = F.when(F.col("lacks"), F.least("lacking", "cut")).otherwise(F.col("lacking"))
-    pairs = met.withColumn("witness", witness).where(F.col("witness.first") < F.col("first"))
-    pairs = pairs.select(*_LINE, F.col("witness.h1").alias("w1"), F.col("witness.h2").alias("w2")).distinct()
-    mine = own.select(*_LINE, "words")
-    theirs = own.select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("words").alias("other"))
-    pairs = pairs.join(mine, _LINE).join(theirs, ["w1", "w2"])
+    pairs = met.select("id", witness.alias("witness")).where("witness < id").distinct()
+    theirs = own.select(F.col("id").alias("witness"), F.col("words").alias("other"))
+    pairs = pairs.join(own, "id").join(theirs, "witness")
     return pairs.where(_one_word_apart()).select(*_LINE).distinct()
 
 
@@ -157,6 +150,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = removals(docs).select(
         F.col("doc_id").alias("_dedup_id"), F.col("t1").alias("_dedup_t1"), "exact", "near")
     gone = gone.select("_dedup_id", "_dedup_t1", F.struct("exact", "near").alias("_dedup_gone"))
+    gone = _if_small(written(gone, "line-removals"))
     text = F.col("text").cast("string")
     rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_dedup_id"]) & (F.xxhash64(text) == gone["_dedup_t1"]), "left")
     rows = rows.withColumn("_dedup_lines", F.split(text, "\n"))

@@ -76,6 +76,8 @@ def kept_lines(texts, ids):
         if max(len(a), len(b)) < line_dedup.MIN_NEAR or abs(len(a) - len(b)) > 1:
             return False
         short, long = sorted((a, b), key=len)
+        if short == long:
+            return True
         for i in range(len(long)):
             if long[:i] + long[i + 1 :] == (short if len(short) < len(long) else short[:i] + short[i + 1 :]):
                 return True
@@ -83,14 +85,16 @@ def kept_lines(texts, ids):
 
     first = {}
     order = sorted((i, k) for k, i in enumerate(ids))
-    lines = [(d, n, tuple(x.encode().lower().split())) for _, d in order for n, x in enumerate((texts[d] or "").split("\n"))]
-    for at, (d, n, words) in enumerate(lines):
-        if len(words) >= line_dedup.MIN_EXACT:
-            first.setdefault(words, at)
-    gone = {w for w in first if any(first[v] < first[w] and near(v, w) for v in first)}
+    plain = lambda x: x.lower().strip(" \t\n\x0b\f\r")
+    lines = [(d, n, plain(x)) for _, d in order for n, x in enumerate((texts[d] or "").split("\n"))]
+    for at, (d, n, own) in enumerate(lines):
+        if len(own.split()) >= line_dedup.MIN_EXACT:
+            first.setdefault(own, at)
+    words = {own: tuple(own.split()) for own in first}
+    gone = {w for w in first if any(first[v] < first[w] and near(words[v], words[w]) for v in first)}
     out = {d: [] for d in range(len(texts))}
-    for at, (d, n, words) in enumerate(lines):
-        if len(words) < line_dedup.MIN_EXACT or (first[words] == at and words not in gone):
+    for at, (d, n, own) in enumerate(lines):
+        if own not in first or (first[own] == at and own not in gone):
             out[d].append(texts[d].split("\n")[n] if texts[d] is not None else None)
     return [None if t is None else "\n".join(out[d]) for d, t in enumerate(texts)]
 
