@@ -1,8 +1,9 @@
 """License scan: ordered signature rules over normalised words, with Spark functions only.
 
 A text becomes its words in lower case, one blank apart. Rules are regexes over that line; each has
-a keyword, and a rule runs only on texts that hold its keyword (most hold none of the stems all
-keywords begin with and cost one substring search per stem). Each match is a detection with a place,
+keywords, a literal part of every title or short name it may match, and runs only on texts that hold
+one of them (most hold none of the stems that every match needs and cost one substring search per
+stem). Each match is a detection with a place,
 a rule, a priority and a score. A detection inside the place of one of higher priority, or of the
 same priority and longer (equal places: earlier rule), is suppressed.
 
@@ -18,6 +19,7 @@ length for each rule that runs.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,56 +34,56 @@ BASE = {
     "gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit",
 }
 
-# Families (label, keyword, title as words, short names as words).
+# Families (label, title as words, short names as words).
 FAMILIES = [
-    ("gpl", "general", "gnu general public licen[sc]e|gnu gpl", "gpl ?v?[123]?|gplv[123]"),
-    ("lgpl", "lesser", "gnu (?:lesser|library) general public licen[sc]e", "lgpl ?v?[23]?"),
-    ("agpl", "affero", "gnu affero general public licen[sc]e|affero general public licen[sc]e", "agpl ?v?3?"),
-    ("gfdl", "documentation", "gnu free documentation licen[sc]e", "gfdl"),
-    ("apache", "apache", "apache (?:software )?licen[sc]e", "apache 2(?: 0)?|asl 2(?: 0)?"),
-    ("mit", "mit", "(?:the )?mit licen[sc]e|expat licen[sc]e", "mit"),
-    ("bsd", "bsd", "bsd (?:[0234] clause )?licen[sc]e|(?:new|simplified|modified|original|revised) bsd licen[sc]e", "bsd(?: [0234] clause)?"),
-    ("mpl", "mozilla", "mozilla public licen[sc]e", "mpl ?[12]?(?: [01])?"),
-    ("epl", "eclipse", "eclipse public licen[sc]e", "epl ?[12]?(?: 0)?"),
-    ("edl", "eclipse", "eclipse distribution licen[sc]e", "edl 1 0"),
-    ("cddl", "common", "common development and distribution licen[sc]e", "cddl ?1?(?: [01])?"),
-    ("cpl", "common", "common public licen[sc]e", "cpl 1 0"),
-    ("cc-by-nc-nd", "cc", "creative commons attribution non ?commercial no ?deriv(?:ative)?s?", "cc by nc nd(?: [1234] [05])?"),
-    ("cc-by-nc-sa", "cc", "creative commons attribution non ?commercial share ?alike", "cc by nc sa(?: [1234] [05])?"),
-    ("cc-by-nc", "cc", "creative commons attribution non ?commercial", "cc by nc(?: [1234] [05])?"),
-    ("cc-by-nd", "cc", "creative commons attribution no ?deriv(?:ative)?s?", "cc by nd(?: [1234] [05])?"),
-    ("cc-by-sa", "cc", "creative commons attribution share ?alike", "cc by sa(?: [1234] [05])?"),
-    ("cc-by", "cc", "creative commons attribution", "cc by(?: [1234] [05])?"),
-    ("cc0", "cc0", "creative commons zero|cc0 1 0 universal", "cc0(?: 1 0)?"),
-    ("isc", "isc", "(?:the )?isc licen[sc]e", "isc"),
-    ("zlib", "zlib", "zlib (?:libpng )?licen[sc]e", "zlib"),
-    ("libpng", "libpng", "(?:png reference library|libpng) licen[sc]e", "libpng 2 0"),
-    ("artistic", "artistic", "artistic licen[sc]e", "artistic 2 0"),
-    ("perl", "perl", "same terms as perl(?: itself)?", "perl licen[sc]e"),
-    ("wtfpl", "wtfpl", "do what the fuck you want to public licen[sc]e", "wtfpl"),
-    ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense"),
-    ("ofl", "ofl", "sil open font licen[sc]e", "ofl 1 [01]"),
-    ("bsl", "boost", "boost software licen[sc]e", "bsl 1 0"),
-    ("busl", "business", "business source licen[sc]e", "busl 1 1"),
-    ("sspl", "sspl", "server side public licen[sc]e", "sspl ?1?(?: 0)?"),
-    ("elastic", "elastic", "elastic licen[sc]e", "elastic 2 0"),
-    ("psf", "python", "python software foundation licen[sc]e", "psf ?2?(?: 0)?"),
-    ("php", "php", "php licen[sc]e", "php 3 0[01]?"),
-    ("ruby", "ruby", "ruby licen[sc]e", "ruby licen[sc]e"),
-    ("eupl", "eupl", "european union public licen[sc]e", "eupl ?1?(?: [012])?"),
-    ("ms-pl", "ms", "microsoft public licen[sc]e", "ms pl"),
-    ("ms-rl", "ms", "microsoft reciprocal licen[sc]e", "ms rl"),
-    ("osl", "osl", "open software licen[sc]e", "osl [123] 0"),
-    ("afl", "afl", "academic free licen[sc]e", "afl [123] [01]"),
-    ("ecl", "ecl", "educational community licen[sc]e", "ecl [12] 0"),
-    ("ncsa", "ncsa", "university of illinois ncsa open source licen[sc]e", "ncsa"),
-    ("openssl", "openssl", "openssl licen[sc]e", "openssl"),
-    ("qpl", "qpl", "q public licen[sc]e", "qpl 1 0"),
-    ("vim", "vim", "vim licen[sc]e", "vim licen[sc]e"),
-    ("postgresql", "postgresql", "postgresql licen[sc]e", "postgresql licen[sc]e"),
-    ("odbl", "odbl", "open database licen[sc]e", "odbl ?1?(?: 0)?"),
-    ("public-domain", "domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", "public domain"),
-    ("proprietary", "rights", "all rights reserved", "proprietary and confidential"),
+    ("gpl", "gnu general public licen[sc]e|gnu gpl", "gpl ?v?[123]?|gplv[123]"),
+    ("lgpl", "gnu (?:lesser|library) general public licen[sc]e", "lgpl ?v?[23]?"),
+    ("agpl", "gnu affero general public licen[sc]e|affero general public licen[sc]e", "agpl ?v?3?"),
+    ("gfdl", "gnu free documentation licen[sc]e", "gfdl"),
+    ("apache", "apache (?:software )?licen[sc]e", "apache 2(?: 0)?|asl 2(?: 0)?"),
+    ("mit", "(?:the )?mit licen[sc]e|expat licen[sc]e", "mit"),
+    ("bsd", "bsd (?:[0234] clause )?licen[sc]e|(?:new|simplified|modified|original|revised) bsd licen[sc]e", "bsd(?: [0234] clause)?"),
+    ("mpl", "mozilla public licen[sc]e", "mpl ?[12]?(?: [01])?"),
+    ("epl", "eclipse public licen[sc]e", "epl ?[12]?(?: 0)?"),
+    ("edl", "eclipse distribution licen[sc]e", "edl 1 0"),
+    ("cddl", "common development and distribution licen[sc]e", "cddl ?1?(?: [01])?"),
+    ("cpl", "common public licen[sc]e", "cpl 1 0"),
+    ("cc-by-nc-nd", "creative commons attribution non ?commercial no ?deriv(?:ative)?s?", "cc by nc nd(?: [1234] [05])?"),
+    ("cc-by-nc-sa", "creative commons attribution non ?commercial share ?alike", "cc by nc sa(?: [1234] [05])?"),
+    ("cc-by-nc", "creative commons attribution non ?commercial", "cc by nc(?: [1234] [05])?"),
+    ("cc-by-nd", "creative commons attribution no ?deriv(?:ative)?s?", "cc by nd(?: [1234] [05])?"),
+    ("cc-by-sa", "creative commons attribution share ?alike", "cc by sa(?: [1234] [05])?"),
+    ("cc-by", "creative commons attribution", "cc by(?: [1234] [05])?"),
+    ("cc0", "creative commons zero|cc0 1 0 universal", "cc0(?: 1 0)?"),
+    ("isc", "(?:the )?isc licen[sc]e", "isc"),
+    ("zlib", "zlib (?:libpng )?licen[sc]e", "zlib"),
+    ("libpng", "png reference library licen[sc]e|libpng licen[sc]e", "libpng 2 0"),
+    ("artistic", "artistic licen[sc]e", "artistic 2 0"),
+    ("perl", "same terms as perl(?: itself)?", "perl licen[sc]e"),
+    ("wtfpl", "do what the fuck you want to public licen[sc]e", "wtfpl"),
+    ("unlicense", "(?:the )?unlicense", "unlicense"),
+    ("ofl", "sil open font licen[sc]e", "ofl 1 [01]"),
+    ("bsl", "boost software licen[sc]e", "bsl 1 0"),
+    ("busl", "business source licen[sc]e", "busl 1 1"),
+    ("sspl", "server side public licen[sc]e", "sspl ?1?(?: 0)?"),
+    ("elastic", "elastic licen[sc]e", "elastic 2 0"),
+    ("psf", "python software foundation licen[sc]e", "psf ?2?(?: 0)?"),
+    ("php", "php licen[sc]e", "php 3 0[01]?"),
+    ("ruby", "ruby licen[sc]e", "ruby licen[sc]e"),
+    ("eupl", "european union public licen[sc]e", "eupl ?1?(?: [012])?"),
+    ("ms-pl", "microsoft public licen[sc]e", "ms pl"),
+    ("ms-rl", "microsoft reciprocal licen[sc]e", "ms rl"),
+    ("osl", "open software licen[sc]e", "osl [123] 0"),
+    ("afl", "academic free licen[sc]e", "afl [123] [01]"),
+    ("ecl", "educational community licen[sc]e", "ecl [12] 0"),
+    ("ncsa", "university of illinois ncsa open source licen[sc]e", "ncsa"),
+    ("openssl", "openssl licen[sc]e", "openssl"),
+    ("qpl", "q public licen[sc]e", "qpl 1 0"),
+    ("vim", "vim licen[sc]e", "vim licen[sc]e"),
+    ("postgresql", "postgresql licen[sc]e", "postgresql licen[sc]e"),
+    ("odbl", "open database licen[sc]e", "odbl ?1?(?: 0)?"),
+    ("public-domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", "public domain"),
+    ("proprietary", "all rights reserved", "proprietary and confidential"),
 ]
 
 _VERSION = r"(?: (?:version|v|ver))? ?v?\d{1,2}(?: \d{1,2})?(?: or (?:any )?(?:later|newer))?"
@@ -94,25 +96,34 @@ FORMS = [
     (r"(?:%t)", 2, 0.6),
     (r"licen[sc]e (?:is |type |name )?(?:%s)", 1, 0.4),
 ]
-#: Every keyword and base phrase is in a text only if one of these is: the first, cheap search.
-#: (A text with none of them has no word "license", no tag and no short name next to one.)
-STEMS = ("licen", "cc by", "public domain", "all rights reserved", "creative commons", "gnu gpl", "cc0", "same terms as perl", "wtfpl")
+#: Every match of a rule and every base phrase holds one of these: the first, cheap search.
+STEMS = ("licen", "cc by", "public domain", "all rights reserved", "creative commons", "gnu gpl", "cc0", "same terms as perl", "wtfpl",
+         "released under", "distributed under", "available under")
+
+_OPTION = re.compile(r"\|(?![^()]*\))")
+_NOT_LITERAL = re.compile(r"\(\?:[^()]*\)\??|\[[^]]*\]\??|[a-z0-9 ]\?")
+
+
+def _keywords(names: str) -> list[str]:
+    """A literal part of each alternative of ``names``: the longest, rather not of the word license alone."""
+    parts = (_NOT_LITERAL.split(name) for name in _OPTION.split(names))
+    return list(dict.fromkeys(max(own, key=lambda x: (x.strip() != "licen" and len(x) > 1, len(x))) for own in parts))
 
 
 def rules() -> list[dict]:
-    """Signature rules in order: families by forms, each behind its family's keyword or short name."""
+    """Signature rules in order: families by forms, each behind the keywords of its titles or short names."""
     out = []
-    for label, keyword, title, short in FAMILIES:
+    for label, title, short in FAMILIES:
         for form, priority, score in FORMS:
             body = form.replace("%t", title).replace("%s", short).replace("%v", _VERSION)
-            named = keyword if "%t" in form else short.split("|")[0].split(" ")[0].split("(")[0]
-            out.append({"rule": len(out), "keyword": named, "regex": rf"(?<![^ ])(?:{body})(?![^ ])",
+            named = _keywords(title if "%t" in form else short)
+            out.append({"rule": len(out), "keywords": named, "regex": rf"(?<![^ ])(?:{body})(?![^ ])",
                         "priority": priority, "label": label, "score": score})
     return out
 
 
 def _rules_column() -> Column:
-    kind = "array<struct<rule:int,keyword:string,regex:string,priority:int,label:string,score:double>>"
+    kind = "array<struct<rule:int,keywords:array<string>,regex:string,priority:int,label:string,score:double>>"
     return F.from_json(F.lit(json.dumps(rules())), kind)
 
 
@@ -150,9 +161,9 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def _hits(line: Column) -> Column:
-    """Matches of all rules whose keyword is in ``line``: per rule the ``k``-th match, the characters
+    """Matches of all rules of which a keyword is in ``line``: per rule the ``k``-th match, the characters
     between it and the one before, and its length."""
-    chosen = F.filter(_rules_column(), lambda r: F.contains(line, r["keyword"]))
+    chosen = F.filter(_rules_column(), lambda r: F.exists(r["keywords"], lambda k: F.contains(line, k)))
 
     def matches(r: Column) -> Column:
         found = F.regexp_extract_all(line, r["regex"], F.lit(0))

@@ -77,6 +77,51 @@ def test_license_labels(table, text, labels):
     assert row.labels == labels and (row.score > 0) == bool(labels) and row.score <= 1
 
 
+def examples(rng, pattern):
+    """A text that the pattern matches; alternatives, options and characters by chance."""
+    def one(parts):
+        out = ""
+        for op, arg in parts:
+            kind = str(op)
+            if kind == "LITERAL":
+                out += chr(arg)
+            elif kind == "IN":
+                of, value = rng.choice(arg)
+                out += {"LITERAL": chr, "RANGE": lambda v: chr(rng.randint(*v)), "CATEGORY": lambda v: rng.choice("0123")}[str(of)](value)
+            elif kind == "MAX_REPEAT":
+                out += "".join(one(arg[2]) for _ in range(rng.randint(arg[0], arg[1])))
+            elif kind == "SUBPATTERN":
+                out += one(arg[3])
+            elif kind == "BRANCH":
+                out += one(rng.choice(arg[1]))
+            else:
+                assert kind == "ASSERT_NOT"
+        return out
+
+    return one(re._parser.parse(pattern))
+
+
+def test_license_gates_drop_no_match(table):
+    """Every rule finds its examples behind stems and keywords as it does alone."""
+    rng, rules = random.Random(6), licenses.rules()
+    assert all(len(k) > 1 for r in rules for k in r["keywords"])
+    texts = [examples(rng, r["regex"]) for r in rules for _ in range(10)]
+    alone = [re.compile(r["regex"]) for r in rules]
+    found = {r.doc_id: {h.rule for h in r.hits} for r in licenses.scanned(table(texts)).collect()}
+    for k, text in enumerate(texts):
+        assert k // 10 in found[k], text
+        assert found[k] == {n for n, r in enumerate(alone) if r.search(text)}, text
+
+
+@pytest.mark.parametrize("text, label", [
+    ("Licensed under the GNU GPL v3", "gpl"), ("Creative Commons Attribution 4.0", "cc-by"), ("SIL Open Font License 1.1", "ofl"),
+    ("released under the MIT", "mit"), ("Expat License", "mit"), ("distributed under BSD", "bsd"), ("license: ASL 2.0", "apache"),
+])
+def test_license_titles_without_short_names(table, text, label):
+    (row,) = licenses.scan_licenses(table([text])).collect()
+    assert row.labels == label
+
+
 def test_license_suppression(table):
     scan = licenses.scanned(table(["licensed under the gnu lesser general public license version 2 1 or later"]))
     rows = licenses.detections(scan).collect()
