@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
-from eventloom.llm import line_dedup, simhash
+import corpus_pipeline
+from eventloom.llm import line_dedup, near_copies, simhash
 from eventloom.llm.components import components
 from tests.llm.conftest import ODD
 
@@ -70,6 +71,48 @@ def test_near_duplicates_of_odd_rows(odd, table):
     assert simhash.near_duplicates(table([])).count() == 0
 
 
+def test_near_copy_stage_equals_brute_force(spark, table):
+    """Chains of copies at all similarities: components of Jaccard 0.8 over five words, smallest row kept."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([4, 30, 120, 300]))]
+        for _ in range(8):
+            texts.append(" ".join(words))
+            words = list(words)
+            for _ in range(rng.choice([0, 1, 2, 6])):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(3000)}"
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    ids[1] = ids[0]  # one id, and one with a text of its own
+    texts[1] = "quite another text under the same id as the first one"
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    sets = [shingles(t) for t in texts]
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    label, least = groups(len(sets), near), {}
+    for k, group in enumerate(label):
+        least[group] = min(least.get(group, ids[k]), ids[k])
+    docs = table(texts, ids)
+    found = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
+    assert found == sorted(least.values())
+    far = {r.doc_id for r in simhash.near_duplicates(docs).collect() if r.doc_id == r.component_id}
+    assert len(found) < len(far)  # most of these copies are over 3 bits apart
+
+
+def test_no_pair_at_the_threshold_is_missed():
+    rng = np.random.default_rng(1)
+    missed = 0
+    for _ in range(300):
+        both, own, other = (rng.integers(0, 2**64, n, np.uint64) for n in (80, 10, 10))
+        a, b = near_copies.band_keys([np.append(both, own), np.append(both, other)])
+        missed += not (a == b).any()
+    assert missed == 0
+
+
 def kept_lines(texts, ids):
     """Brute force: every line against every earlier one."""
     def near(a, b):
