@@ -114,28 +114,33 @@ def score(p: dict, inputs: np.ndarray, targets: np.ndarray, offsets: np.ndarray,
 def train(p: dict, inputs: np.ndarray, targets: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """Parameters after one pass over the sequences, laid end to end in ``STREAMS`` streams.
 
-    The state is set to zero where a sequence begins; gradients stop at window edges.
+    The state is set to zero where a sequence begins; gradients stop at window edges. What fills the
+    last streams up to equal length gives no gradient.
     """
     p = {k: v.copy() for k, v in p.items()}
     squares = {k: np.full_like(v, 1e-3) for k, v in p.items()}
     streams = max(1, min(STREAMS, len(inputs) // WINDOW))
-    steps = len(inputs) // streams
+    steps = -(-len(inputs) // streams)
     if not steps:
         return p
+    streams = -(-len(inputs) // steps)
     first = np.zeros(len(inputs), bool)
     first[offsets[:-1][np.diff(offsets) > 0]] = True
-    x, y, fresh_at = (v[: streams * steps].reshape(streams, steps).T for v in (inputs, targets, first))
+    laid = lambda v, fill: np.append(v, np.full(streams * steps - len(v), fill, v.dtype)).reshape(streams, steps).T
+    x, y, fresh_at, real = laid(inputs, 0), laid(targets, -1), laid(first, False), laid(np.ones(len(inputs), bool), False)
     h = np.zeros((streams, HIDDEN), np.float32)
     for a in range(0, steps, WINDOW):
-        h, grads = _gradients(p, x[a : a + WINDOW], y[a : a + WINDOW], fresh_at[a : a + WINDOW], h)
+        h, grads = _gradients(p, x[a : a + WINDOW], y[a : a + WINDOW], fresh_at[a : a + WINDOW], h, real[a : a + WINDOW])
         for k, g in grads.items():
             squares[k] += g * g
             p[k] -= RATE * g / np.sqrt(squares[k])
     return p
 
 
-def _gradients(p: dict, x: np.ndarray, y: np.ndarray, first: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict]:
-    """State after a window and mean gradients of -log probability in it."""
+def _gradients(p: dict, x: np.ndarray, y: np.ndarray, first: np.ndarray, h: np.ndarray,
+               real: np.ndarray | None = None) -> tuple[np.ndarray, dict]:
+    """State after a window and mean gradients of -log probability over its ``real`` tokens (else all);
+    the others are rare words at the ends of streams."""
     kept = []
     for t in range(len(x)):
         h = np.where(first[t][:, None], np.float32(0), h)
@@ -143,17 +148,20 @@ def _gradients(p: dict, x: np.ndarray, y: np.ndarray, first: np.ndarray, h: np.n
         kept.append((h, *gates))
         h = after
     flat, m = np.concatenate([k[0] for k in kept]), x.size
+    n_real = m if real is None else int(real.sum())
     kind, place = _targets(y.ravel())
     grads = {k: np.zeros_like(v) for k, v in p.items()}
     d = np.exp(_log_softmax(flat @ p["class"] + p["class_bias"]))
     d[np.arange(m), kind] -= 1
-    d /= m
+    if n_real < m:
+        d[~real.ravel()] = 0
+    d /= n_real
     grads["class"], grads["class_bias"] = flat.T @ d, d.sum(axis=0)
     dh = d @ p["class"].T
     for k, own in _by_class(kind):
         d = np.exp(_log_softmax(flat[own] @ p["word"][k - 1] + p["word_bias"][k - 1]))
         d[np.arange(len(own)), place[own]] -= 1
-        d /= m
+        d /= n_real
         grads["word"][k - 1], grads["word_bias"][k - 1] = flat[own].T @ d, d.sum(axis=0)
         dh[own] += d @ p["word"][k - 1].T
     dh, later = dh.reshape(len(x), -1, HIDDEN), np.zeros_like(h)

@@ -4,8 +4,8 @@
 2. Words holding at least ``1 / HEAD_WORDS`` of all training tokens (so at most ``HEAD_WORDS`` of
    them, whatever the corpus) are sent to the tasks; the most frequent ``VOCABULARY`` are the
    recurrent model's outputs.
-3. ``ROUNDS`` of training: each task trains on its own part of the training documents (one in
-   ``TRAIN_EACH``, by hash), then parameters are averaged by tokens in Spark.
+3. ``ROUNDS`` of training over all training documents: each task trains on its own part of them,
+   then parameters are averaged by tokens in Spark.
 4. One pass scores every document; its words outside the head are exploded, joined with the counts
    by word, and summed per document: no word is dropped.
 
@@ -32,17 +32,16 @@ from eventloom.llm.common import doc_bucket, documents, text_slices, word_codes,
 
 FOLDS, SMOOTHING = 10, 0.1
 HEAD_WORDS, VOCABULARY = 1_000_000, 2048
-TRAIN_EACH, ROUNDS = 16, 2
+ROUNDS = 1
 #: Text scored together; long documents fall behind a batch's others, so batches are large.
 SCORE_BYTES = 8 << 20
 END = ""  # never a word
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, train, fit): ``fit`` marks the training documents that parameters are fitted to."""
+    """(doc_id, text, train): ``train`` marks the documents that counts and parameters are learned from."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    fit = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(TRAIN_EACH)) == 0
-    return rows.withColumn("train", doc_bucket(F.col("doc_id"), FOLDS) != 0).withColumn("fit", F.col("train") & fit)
+    return rows.withColumn("train", doc_bucket(F.col("doc_id"), FOLDS) != 0)
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -122,7 +121,7 @@ def fit_parameters(rows: DataFrame, words: Words, rare: float) -> dict[str, np.n
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.arange(a, a + len(part), dtype=np.int32)), pa.array(part.astype(np.float64))], ["k", "v"])
 
-        sums = rows.where("fit").select("text").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v"))
+        sums = rows.where("train").select("text").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v"))
         found = sums.toPandas()  # as many rows as the model has parameters
         if found.empty:
             break

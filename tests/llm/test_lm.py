@@ -101,6 +101,34 @@ def test_training_learns_an_order():
     assert after > 0.3 * before
 
 
+def test_training_uses_every_token():
+    rng = np.random.default_rng(4)
+    for n in (5, 100, 1000, 64 * 33 + 63):
+        x, y = rng.integers(0, 130, n), rng.integers(0, 130, n)
+        offsets, p = np.array([0, n]), small()
+        last = y.copy()
+        last[-1] = (last[-1] + 1) % 130
+        one, two = (gated_lm.train(p, x, v, offsets) for v in (y, last))
+        assert all(np.isfinite(v).all() for v in one.values())
+        assert any((one[k] != two[k]).any() for k in one), n
+
+
+def test_every_training_document_is_fitted(table):
+    """A change of word order in any one training document changes the parameters."""
+    ids = [k for k in range(12) if fold(k)]
+    texts = ["a b c d e f g h " * 3] * len(ids)
+
+    def fitted(texts):
+        rows = lm_scoring._rows(table(texts, ids).coalesce(1))
+        counts = lm_scoring.word_counts(rows).toPandas()
+        return lm_scoring.fit_parameters(rows, lm_scoring.Words(counts["word"].tolist(), counts["n"].to_numpy()), 0.0)
+
+    plain = fitted(texts)
+    for k in range(0, len(ids), 3):
+        other = fitted([t if i != k else "h g f e d c b a " * 3 for i, t in enumerate(texts)])
+        assert any((plain[name] != other[name]).any() for name in plain), ids[k]
+
+
 def test_inputs_are_the_tokens_before():
     """A token's own identity must not reach its score: the state has seen only tokens before it."""
     import pyarrow as pa
