@@ -2,10 +2,12 @@
 
 Passages are overlapping windows of two item lengths, so that each occurrence of an item lies in
 one. Scores are divided by the score of the item's own text: 1 is a passage with all its words.
-All pairs at or above ``THRESHOLD`` are retrieved by block-max WAND, vectorised over the passages
-of a batch, without loss:
+Verification takes no passage without most of the question, so for leaks only the question's words
+count, and an item's limit is what they weigh without those that may be missing from a leak; by
+itself, ``search`` takes whole items and ``THRESHOLD``. All pairs at or above the limit are retrieved
+by block-max WAND, vectorised over the passages of a batch, without loss:
 
-* Frequent terms are non-essential: in no item do they reach the threshold alone, so a pair must
+* Frequent terms are non-essential: in no item do they reach its limit alone, so a pair must
   share an essential term. Only essential postings are walked.
 * Items stand in blocks. A passage's bound for a block is the sum of the block maxima of its
   essential terms plus the most that non-essential terms give there; lower blocks are skipped.
@@ -30,6 +32,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +64,19 @@ def shingles(words: list[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+class Blocks(NamedTuple):
+    """Impacts and limits of items, and what is known of blocks of them."""
+
+    impacts: list[dict[int, float]]
+    limits: np.ndarray
+    least: np.ndarray
+    essential: np.ndarray
+    rest: np.ndarray
+    at: np.ndarray
+    block: np.ndarray
+    most: np.ndarray
+
+
 class ItemIndex:
     """Impact-ordered blocks of one shard of items, with what verification needs."""
 
@@ -82,7 +98,11 @@ class ItemIndex:
             raw = {t: idf[t] * c * (K1 + 1) / (c + length) for t, c in counts.items()}
             self.impacts.append({t: v / sum(raw.values()) for t, v in raw.items()})
         self.parts = [self._question_answer(t) for _, t in items]
-        self._blocks(n_items, frequency)
+        self.whole = self._blocks(self.impacts, [threshold] * len(items), n_items, frequency)
+        asked = [{self.term_ids[w] for part in question for w in part} for question, *_ in self.parts]
+        questions = [{t: v for t, v in own.items() if t in of} for own, of in zip(self.impacts, asked)]
+        limits = [self._limit(i, own) for i, own in enumerate(questions)]
+        self.questions = self._blocks(questions, limits, n_items, frequency)
 
     @staticmethod
     def _question_answer(text: str) -> tuple:
@@ -92,33 +112,57 @@ class ItemIndex:
         question = [w for s in sentences for w in s]
         return shingles(question, SHINGLE), shingles(answer, SHINGLE), len(question), len(answer)
 
-    def _blocks(self, n_items: int, frequency: dict[str, int]) -> None:
+    def _limit(self, item: int, weights: dict[int, float]) -> float:
+        """A score of the question's words that every passage reaches which passes verification."""
+        question = self.parts[item][0]
+
+        def missing(parts: set) -> float:
+            """At most the weight of terms that a passage with ``OVERLAP`` of the shingles lacks. It lacks all
+            shingles of such a term, and a shingle has ``SHINGLE`` terms at most."""
+            lacking = len(parts) - math.ceil(OVERLAP * len(parts) - 1e-9)
+            room, lost = SHINGLE * lacking, 0.0
+            holds = defaultdict(int)
+            for part in parts:
+                for w in set(part):
+                    holds[self.term_ids[w]] += 1
+            for t in sorted((t for t, n in holds.items() if n <= lacking), key=lambda t: -weights[t] / holds[t]):
+                share = min(1.0, room / holds[t])
+                room, lost = room - share * holds[t], lost + share * weights[t]
+                if room <= 0:
+                    break
+            return lost
+
+        return max(1e-6, math.fsum(weights.values()) - missing(question))
+
+    def _blocks(self, impacts: list[dict[int, float]], limits: list[float], n_items: int, frequency: dict[str, int]) -> Blocks:
         often = max(8, FREQUENT * n_items)
         essential = np.array([frequency.get(w, 1) <= often for w in self.term_ids], bool)
-        for own in self.impacts:  # until no item can pass by non-essential terms alone
-            rest = sum(v for t, v in own.items() if not essential[t])
+        for own, limit in zip(impacts, limits):  # until no item can pass by non-essential terms alone
+            left = sum(v for t, v in own.items() if not essential[t])
             for t in sorted((t for t in own if not essential[t]), key=lambda t: (-own[t], t)):
-                if rest < self.threshold - 1e-9:
+                if left < limit - 2e-9:
                     break
-                essential[t], rest = True, rest - own[t]
-        self.essential = np.append(essential, False)  # the last stands for words of no item
+                essential[t], left = True, left - own[t]
+        essential = np.append(essential, False)  # the last stands for words of no item
         n_blocks = -(-len(self.ids) // BLOCK_ITEMS)
-        self.rest, most = np.zeros(n_blocks), defaultdict(float)
-        for i, own in enumerate(self.impacts):
+        rest, most = np.zeros(n_blocks), defaultdict(float)
+        for i, own in enumerate(impacts):
             b = i // BLOCK_ITEMS
-            self.rest[b] = max(self.rest[b], sum(v for t, v in own.items() if not essential[t]))
+            rest[b] = max(rest[b], sum(v for t, v in own.items() if not essential[t]))
             for t, v in own.items():
                 if essential[t]:
                     most[t, b] = max(most[t, b], v)
         keys = sorted(most)
-        self.at = np.searchsorted([t for t, _ in keys], np.arange(len(self.term_ids) + 1)) if keys else np.zeros(len(self.term_ids) + 1, int)
-        self.block = np.array([b for _, b in keys], np.int64)
-        self.most = np.array([most[k] for k in keys])
-
-    def search(self, offsets: np.ndarray, terms: np.ndarray) -> list[tuple[int, int, int, float]]:
-        """(document, first word, item, score) of all passages that reach the threshold."""
-        step, n_blocks, none = self.longest, len(self.rest), len(self.term_ids)
-        at = np.flatnonzero(self.essential[terms])
+        at = np.searchsorted([t for t, _ in keys], np.arange(len(self.term_ids) + 1)) if keys else np.zeros(len(self.term_ids) + 1, int)
+        limits = np.array(limits)
+        least = np.minimum.reduceat(limits, np.arange(0, len(limits), BLOCK_ITEMS)) if n_blocks else limits
+        return Blocks(impacts, limits, least, essential, rest, at, np.array([b for _, b in keys], np.int64), np.array([most[k] for k in keys]))
+
+    def search(self, offsets: np.ndarray, terms: np.ndarray, by: Blocks | None = None) -> list[tuple[int, int, int, float]]:
+        """(document, first word, item, score) of all passages that reach the item's limit in ``by``, else the threshold."""
+        by = by or self.whole
+        step, n_blocks, none = self.longest, len(by.rest), len(self.term_ids)
+        at = np.flatnonzero(by.essential[terms])
         if not len(at) or not n_blocks:
             return []
         doc = np.searchsorted(offsets, at, side="right") - 1
@@ -130,19 +174,20 @@ class ItemIndex:
         begin = offsets[doc] + stride * step
         keys = np.unique(begin * (none + 1) + term)  # each term once per passage
         begin, term = keys // (none + 1), keys % (none + 1)
-        n = self.at[term + 1] - self.at[term]
-        posting = np.repeat(self.at[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        pair = np.repeat(begin, n) * n_blocks + self.block[posting]
+        n = by.at[term + 1] - by.at[term]
+        posting = np.repeat(by.at[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        pair = np.repeat(begin, n) * n_blocks + by.block[posting]
         pairs, inverse = np.unique(pair, return_inverse=True)
-        bound = np.bincount(inverse, self.most[posting], len(pairs)) + self.rest[pairs % n_blocks]
-        found = []
-        for p in pairs[bound >= self.threshold - 1e-9].tolist():
+        bound = np.bincount(inverse, by.most[posting], len(pairs)) + by.rest[pairs % n_blocks]
+        found, last = [], None
+        for p in pairs[bound >= by.least[pairs % n_blocks] - 1e-9].tolist():
             a, b = divmod(p, n_blocks)
-            d = int(np.searchsorted(offsets, a, side="right") - 1)
-            own = set(terms[a : min(a + 2 * step, offsets[d + 1])].tolist())
+            if a != last:  # pairs are in order of passages
+                d, last = int(np.searchsorted(offsets, a, side="right") - 1), a
+                own = set(terms[a : min(a + 2 * step, offsets[d + 1])].tolist())
             for i in range(b * BLOCK_ITEMS, min((b + 1) * BLOCK_ITEMS, len(self.ids))):
-                score = math.fsum(v for t, v in self.impacts[i].items() if t in own)
-                if score >= self.threshold - 1e-9:
+                score = math.fsum(v for t, v in by.impacts[i].items() if t in own)
+                if score >= by.limits[i] - 1e-9:
                     found.append((d, a - int(offsets[d]), i, score))
         return found
 
@@ -155,13 +200,15 @@ class ItemIndex:
         before = np.concatenate([[0], np.cumsum(kept[codes])]) if len(codes) else np.zeros(1, np.int64)
         offsets, codes = before[offsets], codes[kept[codes]] if len(codes) else codes
         out = []
-        for d, first, i, score in self.search(offsets, ids[codes] if len(codes) else codes):
+        for d, first, i, _ in self.search(offsets, ids[codes] if len(codes) else codes, self.questions):
             a = offsets[d] + first
             words = [names[c] for c in codes[a : min(a + 2 * self.longest, offsets[d + 1])]]
             question, answer, n_question, n_answer = self.parts[i]
             q = len(question & shingles(words, min(SHINGLE, n_question))) / len(question)
             r = len(answer & shingles(words, min(SHINGLE, n_answer))) / len(answer) if answer else 1.0
             if q >= OVERLAP and (r >= OVERLAP or n_question >= LONG_QUESTION):
+                own = {self.term_ids[w] for w in words if w in self.term_ids}
+                score = math.fsum(v for t, v in self.impacts[i].items() if t in own)
                 out.append((d, first, self.ids[i], score, q, r))
         return out
 

@@ -71,6 +71,39 @@ def test_leaks_and_clean_rows(spark, table, monkeypatch):
         assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4, 5, 6] and kept.columns == docs.columns
 
 
+def test_leaks_equal_verification_without_retrieval(spark, table):
+    """Questions alone, whole items and parts of both: what verification takes is retrieved."""
+    rng = random.Random(12)
+    common = [f"c{k}" for k in range(30)]
+    items = []
+    for k in range(60):
+        question = [rng.choice(common) if rng.random() < 0.7 else f"q{rng.randrange(200)}" for _ in range(rng.randint(6, 24))]
+        answer = [f"a{k}x{j}" for j in range(rng.randint(1, 12))]
+        items.append(" ".join(question) + "? " + " ".join(answer) + ".")
+    texts = []
+    for item in items:
+        question, answer = item.split("? ")
+        words = question.split()
+        for at in rng.sample(range(len(words)), rng.choice([0, 0, 1])):
+            words[at] = "other"
+        texts.append("z " * rng.randrange(40) + " ".join(words) + rng.choice(["", " y y", " " + answer]) + " z" * rng.randrange(40))
+    (index,) = leak.item_indexes(items_of(spark, items))
+    wanted = set()
+    for d, text in enumerate(texts):
+        own = leak.terms_of(text)
+        for a in range(0, max(len(own), 1), index.longest):
+            words = own[a : a + 2 * index.longest]
+            for i, (question, answer, n, m) in enumerate(index.parts):
+                q = len(question & leak.shingles(words, min(leak.SHINGLE, n))) / len(question)
+                r = len(answer & leak.shingles(words, min(leak.SHINGLE, m))) / len(answer)
+                if q >= leak.OVERLAP and (r >= leak.OVERLAP or n >= leak.LONG_QUESTION):
+                    wanted.add((d, a, index.ids[i]))
+    found = {(r[0], r[1], r[2]) for r in index.leaks(pa.array(texts))}
+    assert found == wanted and len({d for d, *_ in wanted}) > 25
+    low = {(r[0], r[1], r[2]) for r in index.leaks(pa.array(texts)) if r[3] < leak.THRESHOLD}
+    assert low  # these a limit of THRESHOLD would lose
+
+
 def test_leaks_of_odd_and_empty_tables(spark, odd, table):
     assert leak.leaks(odd, items_of(spark, ["word " * 50, None])).where("question_overlap < 0.8").count() == 0
     assert leak.leaks(table([]), items_of(spark, ["a b c"])).count() == 0
