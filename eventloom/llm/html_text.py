@@ -1,7 +1,7 @@
 """Visible text of raw pages, laid out: a tree builder, then a renderer over the tree.
 
 The builder closes what HTML implies (a ``<li>`` ends the open ``<li>``, a block ends an open
-``<p>``, a row ends the open cell), knows void and raw-text elements, decodes character references
+``<p>``, a row ends the open cell, content ends the open head), knows void and raw-text elements, decodes character references
 and survives any nesting and stray tags. The renderer leaves out what a browser does not show
 (head, scripts, comments, ``hidden``, ``display:none``, ``visibility:hidden``, hidden inputs) and
 gives the rest as lines: a blank line around paragraphs and headings, one line per block, markers
@@ -46,6 +46,8 @@ IMPLIED = {
     "tfoot": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
     "body": ({"head"}, set()),
 }
+#: Other start tags, and text, end an open head, whose end tag may be left out.
+IN_HEAD = frozenset("head base basefont bgsound link meta title style script noscript noframes template".split())
 #: An end tag looks no further than these for its start tag.
 SCOPE = frozenset("table td th caption".split())
 #: As in browsers, an element at this depth takes the place of the one open there; its text stays.
@@ -87,7 +89,10 @@ def parse(page: str) -> Node:
         token = _TOKEN.search(page, at)
         text = page[at : token.start() if token else n]
         if text:
-            stack[-1].children.append(html.unescape(text) if "&" in text else text)
+            text = html.unescape(text) if "&" in text else text
+            if stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
+                stack.pop()
+            stack[-1].children.append(text)
         if not token:
             break
         at = token.end()
@@ -107,6 +112,8 @@ def parse(page: str) -> Node:
 
 
 def _start(stack: list[Node], tag: str, text: str) -> Node:
+    if stack[-1].tag == "head" and tag not in IN_HEAD:
+        stack.pop()
     if tag in IMPLIED:
         ends, until = IMPLIED[tag]
         _pop_to(stack, ends, until)
@@ -139,6 +146,8 @@ def _pop_to(stack: list[Node], ends: set[str], until: set[str]) -> None:
 
 def _end(stack: list[Node], tag: str) -> None:
     if tag == "br":
+        if stack[-1].tag == "head":
+            stack.pop()
         stack[-1].children.append(Node("br"))
         return
     for k in range(len(stack) - 1, 0, -1):

@@ -148,6 +148,16 @@ def test_visible_text(page, text):
     assert html_text.visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<head><title>T</title><p>Hello", "Hello"), ("<html><head><meta charset=x><link rel=y>Hello <b>you</b>", "Hello you"),
+    ("<head><title>T</title>\n <script>s</script><noscript><p>n</p></noscript><style>c</style>\n<div>x</div>y", "x\ny"),
+    ("<head><title>T</title>&nbsp;x", "\xa0x"), ("<head><template><p>n</template><x-y>z", "z"),
+    ("<head><title>T</title></head><p>a", "a"), ("<head>\n<!-- c --><title>T</title><body>a", "a"),
+])
+def test_content_ends_an_open_head(page, text):
+    assert html_text.visible_text(page) == text
+
+
 def test_visible_text_of_hostile_pages():
     assert html_text.visible_text("<div>" * 100_000 + "x") == "x"
     assert html_text.visible_text("<a '" * 20_000) == ""
