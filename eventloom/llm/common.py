@@ -40,6 +40,25 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a lookup table that are broadcast whole, and the share of all rows from which on a key is hot.
+SMALL_TABLE, HOT_SHARE = 100_000, 1000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``table``: one row per key, ``times`` being how many of ``rows`` hold it.
+
+    Both are written tables. A small table is broadcast. Of a large one the keys that hold over a
+    thousandth of all rows, which are under a thousand keys, are broadcast, so that no task gets a
+    hot key's rows; the others are shuffled.
+    """
+    size, total = table.agg(F.count("*"), F.sum("times")).first()
+    if size <= SMALL_TABLE:
+        return rows.join(F.broadcast(table.drop("times")), on)
+    hot = F.col("times") > F.lit(total // HOT_SHARE)
+    often, seldom = (F.broadcast(table.where(hot).drop("times")), table.where(~hot).drop("times"))
+    return rows.join(often, on).unionByName(rows.join(F.broadcast(table.where(hot).select(*on)), on, "left_anti").join(seldom, on))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; ``lower`` would also change other alphabets."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
