@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from eventloom.llm.spellings import DROP_EACH, MIN_LENGTH, MIN_TIMES, TIMES_MORE
 from eventloom.llm.vector_codes import ENTRIES, PARTS, ROUNDS
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 def _vector_codes() -> str:
     """All distances of every round, as dot products of doubles (exact: whole numbers below 2 ** 53)."""
@@ -35,4 +38,48 @@ def _vector_codes() -> str:
         FROM codes, entries"""
 
 
-ORACLES = {"op12_vector_codes": _vector_codes()}
+def _crc32_table() -> list[int]:
+    """The byte table of the reflected polynomial 0xEDB88320."""
+    def entry(value: int) -> int:
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        return value
+
+    return [entry(k) for k in range(256)]
+
+
+def _spellings() -> str:
+    """Every word against every other that begins or ends with the same three letters."""
+    accented = "".join(map(chr, range(0xC0, 0x100)))
+    # One byte for each letter, as levenshtein counts bytes.
+    plain = "".join(chr(k) for k in range(33, 127) if not chr(k).islower() and chr(k) != "'")[: len(accented)]
+    return f"""
+        WITH RECURSIVE runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS name, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-zÀ-ÿ]+')) AS run
+            FROM documents),
+        counted AS (SELECT run, count(*) AS k, hex(encode(name || ':' || run)) AS hx FROM runs GROUP BY name, run),
+        hashed AS (SELECT run, k, xor(4294967295, list_reduce(
+                list_transform(range(length(hx) // 2), lambda i: ('0x' || hx[2 * i + 1 : 2 * i + 2])::BIGINT),
+                lambda c, b: xor(c >> 8, ({_crc32_table()}::BIGINT[])[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) AS h
+            FROM counted WHERE length(run) >= {MIN_LENGTH}),
+        words AS (
+            SELECT CASE WHEN h % {DROP_EACH} = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word,
+                sum(k)::BIGINT AS n, translate(word, '{accented}', '{plain}') AS bytes
+            FROM hashed GROUP BY word HAVING length(word) >= {MIN_LENGTH} AND sum(k) >= {MIN_TIMES}),
+        near AS (
+            SELECT a.word, a.n, b.word AS other, b.n AS times FROM words a JOIN words b
+            ON a.word <> b.word AND abs(length(a.word) - length(b.word)) <= 1
+                AND (a.bytes[:3] = b.bytes[:3] OR a.bytes[-3:] = b.bytes[-3:]) AND levenshtein(a.bytes, b.bytes) = 1),
+        best AS (SELECT word, count(*) AS n_near, min({{'less': -times, 'form': other}}) AS b FROM near GROUP BY word),
+        forms AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= {TIMES_MORE} * n THEN b.form END AS form,
+                CASE WHEN -b.less >= {TIMES_MORE} * n THEN -b.less END AS form_n
+            FROM words LEFT JOIN best USING (word)),
+        chain AS (
+            SELECT word, word AS root FROM forms
+            UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON chain.root = forms.word WHERE forms.form IS NOT NULL)
+        SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c USING (word)
+        WHERE c.root IN (SELECT word FROM forms WHERE form IS NULL)"""
+
+
+ORACLES = {"op11_spellings": _spellings(), "op12_vector_codes": _vector_codes()}

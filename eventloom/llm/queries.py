@@ -11,6 +11,7 @@ from eventloom.llm.oracles import ORACLES as ORACLES  # where SQL can't express
 from eventloom.llm.packing import op1_packing
 from eventloom.llm.quality import op5_quality
 from eventloom.llm.simhash import op8_simhash
+from eventloom.llm.spellings import op11_spellings
 from eventloom.llm.token_files import op2_token_files
 from eventloom.llm.toxicity import op7_toxicity
 from eventloom.llm.vector_codes import op12_vector_codes
@@ -18,5 +19,5 @@ from eventloom.llm.vector_codes import op12_vector_codes
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_token_files, op3_decontamination, op4_html_text, op5_quality,
     op6_line_dedup, op7_toxicity, op8_simhash, op9_licenses, op10_lm_scoring,
-    op12_vector_codes,
+    op11_spellings, op12_vector_codes,
 )}
