@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from eventloom.llm.set_join import SHARE
 from eventloom.llm.spellings import DROP_EACH, MIN_LENGTH, MIN_TIMES, TIMES_MORE
 from eventloom.llm.vector_codes import ENTRIES, PARTS, ROUNDS
 
@@ -82,4 +83,27 @@ def _spellings() -> str:
         WHERE c.root IN (SELECT word FROM forms WHERE form IS NULL)"""
 
 
-ORACLES = {"op11_spellings": _spellings(), "op12_vector_codes": _vector_codes()}
+def _set_join() -> str:
+    """Common shingles of all pairs of different sets, counted under each shingle."""
+    return f"""
+        WITH RECURSIVE worded AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+'), []) AS w
+            FROM documents),
+        sets AS (
+            SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) > 2 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM worded),
+        named AS (SELECT *, dense_rank() OVER (ORDER BY s) AS node, len(s) AS n FROM sets),
+        nodes AS (SELECT node, any_value(s) AS s, any_value(n) AS n, min(doc_id) AS first FROM named WHERE n > 0 GROUP BY node),
+        postings AS (SELECT node, n, unnest(s) AS h FROM nodes),
+        links AS (
+            SELECT a.node AS a, b.node AS b FROM postings a JOIN postings b ON a.h = b.h AND a.node <> b.node
+            GROUP BY a.node, b.node HAVING 100 * count(*) >= {SHARE} * (any_value(a.n) + any_value(b.n) - count(*))),
+        reach AS (
+            SELECT node AS a, node AS b FROM nodes
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT reach.a AS node, min(first) AS component_id FROM reach JOIN nodes ON reach.b = nodes.node GROUP BY reach.a)
+        SELECT doc_id, n::BIGINT AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE component_id END AS component_id
+        FROM named LEFT JOIN least USING (node)"""
+
+
+ORACLES = {"op11_spellings": _spellings(), "op12_vector_codes": _vector_codes(), "op13_set_join": _set_join()}
