@@ -12,7 +12,7 @@ def _micros(arrival: str) -> Column:
 
 
 def _survivors(
-    rows: DataFrame, key: str, arrival: str, ttl_seconds: int, tie: Column, memory: DataFrame | None = None
+    rows: DataFrame, key: str, arrival: str, ttl_seconds: int, tie: Column
 ) -> DataFrame:
     """First row of each (key, slice of one TTL) not within a TTL of an earlier sighting.
 
@@ -30,7 +30,7 @@ def _survivors(
         (F.expr(f"_at div {ttl}") + shift).alias("_slice"), row.alias("_row"), seen.alias("_seen"), note.alias("_note")
     )
     both = (
-        rows.withColumn("_at", _micros(arrival))
+        rows.withColumn("_at", F.coalesce(_micros(arrival), F.lit(0)))
         .withColumn("_tie", tie)
         .select(
             F.col(key).alias("_key"), "_tie",
@@ -38,17 +38,6 @@ def _survivors(
         )
         .select("_key", "_tie", "_e.*")
     )
-    if memory is not None:
-        # What earlier steps saw suppresses in its own slice and in the next.
-        row_type = both.schema["_row"].dataType
-        past = memory.select(
-            F.col("key").alias("_key"), F.lit(0).cast("bigint").alias("_tie"),
-            F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift"), F.col("last_seen").alias("_note"),
-        ).select(
-            "_key", "_tie", F.expr(f"_note div {ttl} + _shift").alias("_slice"),
-            F.lit(None).cast(row_type).alias("_row"), no_time.alias("_seen"), "_note",
-        )
-        both = both.unionByName(past)
     settled = both.groupBy("_key", "_slice").agg(
         F.min_by("_row", F.when(F.col("_seen").isNotNull(), F.struct("_seen", "_tie"))).alias("_row"),
         F.min("_seen").alias("_first"),
@@ -58,10 +47,9 @@ def _survivors(
     return settled.where(F.col("_first").isNotNull() & fresh).select("_row.*")
 
 
-def _own_key(key: str) -> Column:
-    """Key of a row without one: matches nothing and spreads over all tasks."""
-    own = F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string"))
-    return F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), own)
+def _own_key(key: str, row: Column) -> Column:
+    """Key of a row without one: matches nothing and spreads over all tasks. ``row`` tells rows apart."""
+    return F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), F.concat(F.lit("\x00"), row.cast("string")))
 
 
 def _row_hash(rows: DataFrame) -> Column:
@@ -83,40 +71,18 @@ def dedupe_globs(
 
     Every sighting, a suppressed one too, restarts the clock; a gap of exactly the TTL
     still counts as a repeat.  Rows with an empty key are kept unless ``dedupe_empty_key``
-    is set.  Equal arrivals are ordered by ``tie``, by default a hash of the row.
+    is set, and rows without an arrival are kept.  Equal arrivals are ordered by ``tie``, by default a
+    hash of the row.
     """
     columns = rows.columns
     tie = tie if tie is not None else _row_hash(rows)
-    keyed = F.coalesce(F.col(key).cast("string"), F.lit("")) if dedupe_empty_key else _own_key(key)
+    own = F.monotonically_increasing_id()
+    keyed = F.coalesce(F.col(key).cast("string"), F.lit("")) if dedupe_empty_key else _own_key(key, own)
+    keyed = F.when(F.col(arrival).isNull(), F.concat(F.lit("\x00\x00"), own.cast("string"))).otherwise(keyed)
     rows = rows.withColumn("_dedupe_key", keyed)
     return _survivors(rows, "_dedupe_key", arrival, ttl_seconds, tie).select(*columns)
 
 
-def dedupe_with_memory(
-    rows: DataFrame,
-    memory: DataFrame | None,
-    key: str = "glob_key",
-    arrival: str = "arrival",
-    ttl_seconds: int = DEFAULT_TTL_SECONDS,
-) -> tuple[DataFrame, DataFrame]:
-    """One step of an incremental dedupe: (rows kept, memory for the next step).
-
-    ``memory`` holds ``key, last_seen`` (micros) of earlier rows; the new memory keeps only
-    keys still inside the TTL of the latest arrival.
-    """
-    columns = rows.columns
-    if memory is None:
-        memory = rows.sparkSession.createDataFrame([], "key string, last_seen bigint")
-    keyed = rows.withColumn("_dedupe_key", _own_key(key))
-    kept = _survivors(keyed, "_dedupe_key", arrival, ttl_seconds, _row_hash(rows), memory).select(*columns)
-    now_seen = rows.where(F.col(key) != "").select(F.col(key).alias("key"), _micros(arrival).alias("last_seen"))
-    seen = now_seen.unionByName(memory).groupBy("key").agg(F.max("last_seen").alias("last_seen"))
-    # The latest arrival is one number, so it is read to the driver and used as a literal.
-    latest = seen.agg(F.max("last_seen").alias("latest")).first()["latest"]
-    alive = seen.where(F.lit(latest) - F.col("last_seen") <= ttl_seconds * 1_000_000)
-    return kept, alive.select("key", "last_seen")
-
-
 def session_dedupe(
     stream: DataFrame,
     key: str = "glob_key",
@@ -125,12 +91,16 @@ def session_dedupe(
 ) -> DataFrame:
     """The same rule as one streaming aggregation: first row of each session of a key.
 
-    A row comes out once its session closes; use ``streaming.DedupeMemory`` where rows
-    must leave at once.  The input needs a watermark on ``arrival``.
+    A row comes out once its session closes; use ``streaming.seen`` where rows must leave at
+    once.  The input needs a watermark on ``arrival``; a row without an arrival can't be in a session and
+    is not in the result.
     """
     columns = stream.columns
+    rows = stream.withColumn("_tie", _row_hash(stream)).withColumn("_key", _own_key(key, F.uuid()))
+    # Sessions end before their gap does; a gap of exactly the TTL is still a repeat.
+    gap = f"{ttl_seconds} seconds 1 microsecond"
     return (
-        stream.groupBy(F.session_window(arrival, f"{ttl_seconds} seconds"), F.col(key))
-        .agg(F.min_by(F.struct(*columns), F.col(arrival)).alias("_row"))
+        rows.groupBy(F.session_window(arrival, gap), "_key")
+        .agg(F.min_by(F.struct(*columns), F.struct(arrival, "_tie")).alias("_row"))
         .select("_row.*")
     )

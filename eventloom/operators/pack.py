@@ -26,7 +26,7 @@ def deflate_text(bodies: pa.Array) -> pa.Array:
     return pa.array([None if b.as_py() is None else deflate(b.as_py().encode()) for b in bodies], pa.binary())
 
 
-class _Greedy:
+class Greedy:
     """Open group per stream; closes it when the next entry would not fit."""
 
     def __init__(self, max_size: int, max_entries: int, overhead: bool):
@@ -57,7 +57,7 @@ def _packed(
     out_type = "binary" if as_glob else "array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Greedy(max_size, max_entries, as_glob)
+        packer = Greedy(max_size, max_entries, as_glob)
         shape = pa.schema(
             [("stream", pa.string()), ("entries", pa.int32()),
              ("value", pa.binary() if as_glob else pa.list_(pa.string()))]

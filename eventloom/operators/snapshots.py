@@ -5,29 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], version: str = "version") -> DataFrame:
-    """``keys…, old_version, new_version, action`` for every key of either side.
+def merged_snapshot(old: DataFrame, new: DataFrame, keys: list[str], version: str = "version") -> DataFrame:
+    """``keys…, action, old, new, row`` for every key of either side, in one join.
 
     ADD and DROP for keys on one side only; KEEP for equal versions; REPLACE for a higher
-    and REJECT for a lower incoming version.
+    and REJECT for a lower incoming version.  ``old`` and ``new`` are the other columns of either
+    side, ``row`` is what is in force afterwards, NULL for a dropped key.
     """
-    left = old.select(*keys, F.col(version).alias("old_version"), F.lit(True).alias("_old"))
-    right = new.select(*keys, F.col(version).alias("new_version"), F.lit(True).alias("_new"))
+    side = lambda rows, name: rows.select(*keys, F.struct(*(F.col(c) for c in rows.columns if c not in keys)).alias(name))
+    before, after = F.col("old")[version], F.col("new")[version]
     action = (
-        F.when(F.col("_old").isNull(), F.lit("ADD"))
-        .when(F.col("_new").isNull(), F.lit("DROP"))
-        .when(F.col("old_version") == F.col("new_version"), F.lit("KEEP"))
-        .when(F.col("old_version") > F.col("new_version"), F.lit("REJECT"))
+        F.when(F.col("old").isNull(), F.lit("ADD"))
+        .when(F.col("new").isNull(), F.lit("DROP"))
+        .when(before == after, F.lit("KEEP"))
+        .when(before > after, F.lit("REJECT"))
         .otherwise(F.lit("REPLACE"))
     )
-    return left.join(right, keys, "full_outer").select(
-        *keys, "old_version", "new_version", action.alias("action")
+    met = side(old, "old").join(side(new, "new"), keys, "full_outer").withColumn("action", action)
+    return met.withColumn("row", F.when(F.col("action") == "REJECT", F.col("old")).otherwise(F.col("new")))
+
+
+def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], version: str = "version") -> DataFrame:
+    """``keys…, old_version, new_version, action`` for every key of either side."""
+    only = lambda rows: rows.select(*keys, version)
+    return merged_snapshot(only(old), only(new), keys, version).select(
+        *keys, F.col(f"old.{version}").alias("old_version"), F.col(f"new.{version}").alias("new_version"), "action"
     )
 
 
 def apply_snapshot(old: DataFrame, new: DataFrame, keys: list[str], version: str = "version") -> DataFrame:
     """Rows in force after the refresh: the new side, but the old row where it is newer."""
-    diff = snapshot_diff(old, new, keys, version).select(*keys, "action")
-    rejected = old.join(diff.where(F.col("action") == "REJECT").select(*keys), keys, "left_semi")
-    taken = new.join(diff.where(F.col("action").isin("ADD", "REPLACE", "KEEP")).select(*keys), keys, "left_semi")
-    return taken.unionByName(rejected)
+    merged = merged_snapshot(old.select(*new.columns), new, keys, version).where(F.col("row").isNotNull())
+    return merged.select(*(F.col(c) if c in keys else F.col(f"row.`{c}`").alias(c) for c in new.columns))

@@ -13,13 +13,13 @@ from eventloom.operators.classify import WRITTEN
 
 RECORD_VERSION = 1
 
-# Named filter operators (extension point): field value and listed values to a predicate.
-FILTER_OPERATORS: dict[str, Callable[[Column, list[str]], Column]] = {
-    "IN_SET": lambda value, values: value.isin(values),
+# Named filter operators (extension point): field value and array of listed values to a predicate.
+FILTER_OPERATORS: dict[str, Callable[[Column, Column], Column]] = {
+    "IN_SET": lambda value, values: F.array_contains(values, value),
 }
 
 
-def register_filter_operator(name: str, build: Callable[[Column, list[str]], Column]) -> None:
+def register_filter_operator(name: str, build: Callable[[Column, Column], Column]) -> None:
     FILTER_OPERATORS[name] = build
 
 
@@ -35,7 +35,7 @@ class RecordFilter:
         if self.operator not in FILTER_OPERATORS:
             raise ValueError(f"unknown filter operator {self.operator}")
         value = F.coalesce(F.try_element_at(record, F.lit(self.field_name)), F.lit(""))
-        return FILTER_OPERATORS[self.operator](value, list(self.values))
+        return FILTER_OPERATORS[self.operator](value, F.array(*map(F.lit, self.values)).cast("array<string>"))
 
 
 @dataclass(frozen=True)
@@ -178,6 +178,14 @@ def strip_nuls(fields: Column) -> Column:
     return F.transform_values(fields, lambda _, v: F.replace(v, F.lit("\x00"), F.lit("")))
 
 
+def creation_stamp(created_at: Column | None = None) -> Column:
+    """Creation time in UTC without trailing zeros of the fraction; now, if none is given."""
+    stamp = created_at if created_at is not None else F.date_format(
+        F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSS"
+    )
+    return F.regexp_replace(F.regexp_replace(stamp, r"([.]\d*?)0+$", "$1"), r"[.]$", "")
+
+
 def wrap_records(
     rows: DataFrame,
     kind: str,
@@ -200,14 +208,7 @@ def wrap_records(
             raise ValueError("warehouse records hold fields, not globs")
         value = F.concat(sorted_json(strip_nuls(F.col(data))), F.lit("\n"))
     elif kind in ("stream", "delivery"):
-        if kind == "delivery":
-            stamp = F.lit("")
-        else:
-            stamp = created_at if created_at is not None else F.date_format(
-                F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSS"
-            )
-            stamp = F.regexp_replace(stamp, r"([.]\d*?)0+$", "$1")
-            stamp = F.regexp_replace(stamp, r"[.]$", "")
+        stamp = F.lit("") if kind == "delivery" else creation_stamp(created_at)
         payload = F.base64(data) if is_glob else F.map_from_entries(F.array_sort(F.map_entries(data)))
         envelope = F.to_json(
             F.struct(

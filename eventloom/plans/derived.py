@@ -25,18 +25,18 @@ def pick_sql(literals: list[str], index: str) -> str:
 
 # JSON literals per converter; a leading $ marks an SQL expression over the row.
 INT_LITERALS = [
-    "42", '"42"', '"2147483647"', '"-2147483648"', '"-10707512961"', '"2147483648"', "42.2", "null",
-    '"hashs"', '"12hs"', '"+7"', '" 42"', '"9223372036854775807"', '"9223372036854775808"', "true",
+    "8", '"-350"', '"2147483647"', '"-2147483648"', '"2147483648"', '"-60000000017"', "6.75", "null",
+    '"seven"', '"7up"', '"+31"', '" 8"', '"9223372036854775807"', '"9223372036854775808"', "false",
     "$CAST(event_id * 1000003 AS VARCHAR(30))", "$concat('\"', CAST(0 - event_id AS VARCHAR(30)), '\"')",
 ]
 FLOAT_LITERALS = [
-    "1.234", "1234.0", "-12.34", "1e-311", "1e311", '"1e311"', '"-1e-311"', '"1234.0"', '"-12.34"', "null",
-    '"nan"', '"x1"', '"1d"', '" 1"', "false", "$CAST(value AS VARCHAR(30))",
+    "2.5", "640.0", "-0.75", "7e-330", "6e400", '"6e400"', '"-7e-330"', '"33.50"', '"-.5"', "null",
+    '"nan"', '"2f"', '"north"', '" 1"', "true", "$CAST(value AS VARCHAR(30))",
     "$concat('\"', CAST(value AS VARCHAR(30)), '\"')",
 ]
-BOOL_LITERALS = ["true", "false", "1", "0", "2", '"true"', '"1"', "null", "1.5"]
+BOOL_LITERALS = ["true", "false", "1", "0", "3", '"false"', '"0"', "null", "0.5"]
 VARCHAR_LITERALS = [
-    '"tests"', "$concat('\"tab', chr(92), 'tnew', chr(92), 'nline\"')", '""', "1234.0", "null", "true", '["a"]', '{"a":1}',
+    '"oak"', "$concat('\"left', chr(92), 'tright', chr(92), 'nbelow\"')", '""', "2.50", "null", "false", "[]", '{"k":"v"}',
     "$concat('\"', event_type, '\"')",
 ]
 

@@ -60,7 +60,7 @@ FROM nums"""
 
 ORACLES["cast_float"] = _literals(d.FLOAT_LITERALS) + f"""
 , nums AS (SELECT *, CASE WHEN regexp_full_match(txt, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
-                               AND txt NOT LIKE '%1e311' THEN TRY_CAST(txt AS DOUBLE) END AS f FROM lits)
+                               AND txt NOT LIKE '%e400' THEN TRY_CAST(txt AS DOUBLE) END AS f FROM lits)
 SELECT {UUID} AS uuid, CASE WHEN f IS NULL AND txt <> 'nan' THEN 6 ELSE 0 END AS status,
        CASE WHEN abs(f) < 1e-299 THEN 0.0 ELSE f END AS value,
        CASE WHEN txt = 'nan' THEN true WHEN f IS NOT NULL THEN false END AS is_empty

@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.operators.classify import UNTRACKED, WRITTEN, collate, with_record
 from eventloom.operators.decode import decode_edge_log, expand_globs, explode_events, inflate_globs
 from eventloom.operators.dedupe import DEFAULT_TTL_SECONDS, dedupe_globs
-from eventloom.operators.pack import batch_records, pack_globs
+from eventloom.operators.fanout import fan_out, listed_rows, settings_of, stream_specs, stream_values, write_streams
 from eventloom.operators.lookups import KeyTable, RangeTable
 from eventloom.operators.project import prepare_blocks, prepare_logins
 from eventloom.operators.schemas import TableSchema
-from eventloom.operators.streams import (
-    RecordFilter, StreamConfig, project_stream, stream_entries, wrap_records, written,
-)
+from eventloom.operators.streams import RecordFilter, StreamConfig, written
 from eventloom.sinks.tables import of_route, write_tables, write_untracked
 
 
@@ -44,11 +42,11 @@ class Lookups:
 
 @dataclass
 class Sinks:
-    """Where a batch goes; every part is optional."""
+    """Where a batch goes; every part is optional. Streams are configs, or rows of ``settings``."""
 
     tables: str | None = None
     untracked: str | None = None
-    streams: list[StreamConfig] = field(default_factory=list)
+    streams: list[StreamConfig] | DataFrame = field(default_factory=list)
     stream_path: str | None = None
     filters: dict[str, RecordFilter] = field(default_factory=dict)
     default_filter: RecordFilter | None = None
@@ -93,26 +91,20 @@ def store_collated(rows: DataFrame, path: str, mode: str = "overwrite") -> DataF
     Every sink then scans only its route and columns, instead of decoding the input
     again; a written table also survives the loss of executors.
     """
-    route(rows).write.mode(mode).partitionBy("route").parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    routed = route(rows)
+    routed.write.mode(mode).partitionBy("route").parquet(path)
+    # A batch without rows has no files to take the columns from.
+    return rows.sparkSession.read.schema(routed.schema).parquet(path)
 
 
-def stream_records(rows: DataFrame, config: StreamConfig, sinks: Sinks) -> DataFrame:
-    """Enveloped records of one stream: filter, project, pack or batch, wrap."""
-    # The events a stream lists are picked before records are built.
-    rows = of_route(written(rows), "tables").where(F.col("event").isin(list(config.events)))
-    projected = project_stream(with_record(rows), config, sinks.filters, sinks.default_filter)
-    kind = "stream" if config.stream_type == "stream" else "delivery"
-    if config.compress:
-        globs = pack_globs(stream_entries(projected, config), "stream", "entry", config.glob_size)
-        return wrap_records(globs, kind, "value")
-    return wrap_records(projected, "warehouse" if config.warehouse else kind, "fields")
-
-
-def batched_stream_records(rows: DataFrame, config: StreamConfig, sinks: Sinks) -> DataFrame:
-    """Records of one stream grouped into request-sized batches."""
-    records = stream_records(rows, config, sinks).select(F.lit(config.name).alias("stream"), "value")
-    return batch_records(records, "stream", "value", config.batch_size, config.batch_entries)
+def stream_records(rows: DataFrame, sinks: Sinks, created_at: Column | None = None) -> DataFrame:
+    """``stream_type, stream, value``: enveloped records of all streams, from one scan of ``rows``."""
+    settings = sinks.streams if isinstance(sinks.streams, DataFrame) else settings_of(rows.sparkSession, sinks.streams)
+    specs = stream_specs(settings, sinks.filters, sinks.default_filter)
+    # The events any stream lists are picked before records are built.
+    wanted = listed_rows(of_route(written(rows), "tables"), specs)
+    packing = specs.where("compress").limit(1).count() > 0
+    return stream_values(fan_out(with_record(wanted), specs), packing, created_at=created_at)
 
 
 def write_sinks(stored: DataFrame, sinks: Sinks, mode: str = "append") -> None:
@@ -122,9 +114,7 @@ def write_sinks(stored: DataFrame, sinks: Sinks, mode: str = "append") -> None:
     if sinks.untracked:
         write_untracked(stored, sinks.untracked, mode=mode)
     if sinks.stream_path:
-        for config in sinks.streams:
-            out = f"{sinks.stream_path}/{config.stream_type}={config.name}"
-            stream_records(stored, config, sinks).select("value").write.mode(mode).parquet(out)
+        write_streams(stream_records(stored, sinks), sinks.stream_path, mode)
 
 
 def run_batch(rows: DataFrame, store_path: str, sinks: Sinks, mode: str = "append") -> DataFrame:

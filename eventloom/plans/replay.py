@@ -13,9 +13,10 @@ from eventloom.operators.classify import collate
 from eventloom.operators.decode import decode_edge_log
 from eventloom.operators.schemas import TableSchema
 from eventloom.plans.pipeline import Lookups
-from eventloom.session import shared_folder
 from eventloom.sinks.tables import load_tsv, table_folder, write_tables
+from eventloom.sinks.versioned import VersionedTable
 from eventloom.sources.edge_logs import read_edge_log, window_bounds
+from eventloom.sources.files import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -43,18 +44,6 @@ def replace_window(
     return kept.unionByName(replayed.where(in_window(F.col(time), start, end)).select(*target.columns))
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 @dataclass
 class Replaced:
     table: str
@@ -64,42 +53,21 @@ class Replaced:
 
 
 def replace_window_table(
-    spark: SparkSession, target: str, replayed: DataFrame | None, start: datetime, end: datetime,
+    spark: SparkSession, target: str | VersionedTable, replayed: DataFrame | None, start: datetime, end: datetime,
     *, run_tag: str, table: str = "", time: str = "time", day: str = "day", on_missing: str = "keep",
 ) -> Replaced:
-    """Replace the window in a parquet table partitioned by ``day`` (date of ``time``).
+    """Replace the window in a table with a folder per ``day`` (date of ``time``), as one transaction.
 
-    Only the days the window touches are read and rewritten.  Their new content is first
-    written to the shared folder; the table is then overwritten from there, partition by
-    partition, so a lost executor never leaves half a day behind.
+    Only the days the window touches are read and written, in one job; a plain table of ``day=…`` folders
+    becomes versioned with its first replacement. Whatever breaks off before the commit leaves the table
+    as it was. Read the table with ``VersionedTable.read``.
     """
     if replayed is None and on_missing == "keep":
         return Replaced(table)
-    first, last = start.strftime("%Y-%m-%d"), end.strftime("%Y-%m-%d")
-    days = F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    touched = spark.read.parquet(target).where(days)
-    inside = in_window(F.col(time), start, end)
-    if replayed is not None:
-        replayed = replayed.withColumn(day, F.to_date(time)).select(*touched.columns)
-    content = replace_window(touched, replayed, start, end, time, "empty")
-
-    staged_path = f"{shared_folder(spark)}/replace/{run_tag}/{table or 'table'}"
-    content.write.mode("overwrite").partitionBy(day).parquet(staged_path)
-    deleted = touched.where(inside).count()
-    # At most one row per day of the window.
-    old_days = {r[0] for r in touched.select(day).distinct().collect()}
-    staged = spark.read.schema(touched.schema).parquet(staged_path)
-    new_days = {r[0] for r in staged.select(day).distinct().collect()}
-    inserted = staged.where(inside).count()
-    if new_days:
-        (
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(day).parquet(target)
-        )
-    for emptied in old_days - new_days:
-        if emptied is not None:
-            _drop_folder(spark, f"{target}/{day}={emptied}")
-    return Replaced(table, deleted, inserted)
+    if not isinstance(target, VersionedTable):
+        target = VersionedTable(target, time, day)
+    inside = in_window(F.col(target.time), start, end)
+    return Replaced(table, *target.replace(spark, inside, start, end, replayed, run_tag))
 
 
 def new_run_tag(now: datetime | None = None, namespace: str | None = None) -> str:
@@ -156,7 +124,7 @@ def replay(
         try:
             schema = schemas[name]
             folder = table_folder(f"{output_path}/run_tag={run_tag}", schema)
-            replayed = load_tsv(spark, folder, schema) if _path_exists(spark, folder) else None
+            replayed = load_tsv(spark, folder, schema) if path_exists(spark, folder) else None
             if replayed is None:
                 log.error("no replayed files in %s", folder)
             return replace_window_table(

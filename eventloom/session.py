@@ -16,6 +16,8 @@ REQUIRED = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Packed bytes per batch sent to the inflate function; they grow several times in it.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+    # Keyed state of streams: on local disk with changelogs in the checkpoint, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Sessions of a hot key are merged before the shuffle.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from eventloom.operators.classify import collate
 from eventloom.operators.decode import decode_edge_log, expand_globs, explode_events, inflate_globs
-from eventloom.operators.dedupe import DEFAULT_TTL_SECONDS, dedupe_with_memory
 from eventloom.operators.schemas import TableSchema
 from eventloom.plans.pipeline import Lookups, Sinks, store_collated, write_sinks
+from eventloom.streaming.seen import dedupe_stream
+from eventloom.streaming.sink_table import SinkTable
 
 
 @dataclass
@@ -33,82 +34,39 @@ class Refreshable:
         return self.value
 
 
-@dataclass
-class DedupeMemory:
-    """Sliding-window dedupe across micro-batches.
-
-    What was seen lately is a small parquet table, one version per batch id.  Batch N
-    reads version N-1 and writes version N, so a batch that runs again gives the same
-    result.
-    """
-
-    path: str
-    ttl_seconds: int = DEFAULT_TTL_SECONDS
-
-    def _read(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        if batch_id < 0:
-            return None
-        try:
-            return spark.read.schema("key string, last_seen bigint").parquet(f"{self.path}/version={batch_id}")
-        except Exception as problem:
-            if "PATH_NOT_FOUND" in str(problem):
-                return None
-            raise
-
-    def apply(self, globs: DataFrame, batch_id: int) -> DataFrame:
-        """Globs (``value, arrival, glob_key``) of this batch that are not repeats."""
-        kept, memory = dedupe_with_memory(
-            globs, self._read(globs.sparkSession, batch_id - 1), ttl_seconds=self.ttl_seconds
-        )
-        memory.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-        return kept
-
-
 @dataclass
 class CollateStream:
     """One streaming job from globs (or record lines) to all sinks.
 
-    Main path without a watermark: late events are never dropped, their time is the time
-    of receipt.  Schemas and sinks are read again for every batch.
+    Main path without a watermark on events: late events are never dropped, their time is the time
+    of receipt.  Schemas and sinks are read again for every batch; with ``sink_table`` the streams are
+    those of its version for the batch.  ``dedupe_seconds`` suppresses repeated globs by keyed state;
+    None takes all globs.
     """
 
     schemas: Refreshable
     store_path: str
     sinks: Refreshable
     lookups: Callable[[], Lookups] = Lookups
-    dedupe: DedupeMemory | None = None
+    dedupe_seconds: int | None = None
     lines: bool = False
+    sink_table: SinkTable | None = None
     on_batch: list[Callable[[DataFrame, int], None]] = field(default_factory=list)
 
-    def _events(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        if self.lines:
-            return decode_edge_log(batch)
-        if self.dedupe is not None:
-            batch = self.dedupe.apply(batch, batch_id)
-        return explode_events(expand_globs(inflate_globs(batch.select("value"))))
+    def _events(self, batch: DataFrame) -> DataFrame:
+        return decode_edge_log(batch) if self.lines else explode_events(expand_globs(inflate_globs(batch.select("value"))))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         schemas: dict[str, TableSchema] = self.schemas.get()
         sinks: Sinks = self.sinks.get()
-        keyed = None
-        if self.dedupe is not None and not self.lines:
-            # Read by the dedupe and again for its memory.
-            keyed = inflate_globs(batch.select("value", "arrival")).select("value", "arrival", "glob_key").persist()
-        rows = collate(
-            self._events(keyed if keyed is not None else batch, batch_id), schemas, **self.lookups().as_options()
-        )
+        streams = self.sink_table.at(spark, batch_id) if self.sink_table else sinks.streams
+        rows = collate(self._events(batch), schemas, **self.lookups().as_options())
         # Folders named by batch id make a repeated batch overwrite its own output.
         stored = store_collated(rows, f"{self.store_path}/batch_id={batch_id}")
-        if keyed is not None:
-            keyed.unpersist()
-        per_batch = Sinks(
-            tables=sinks.tables and f"{sinks.tables}/batch_id={batch_id}",
-            untracked=sinks.untracked and f"{sinks.untracked}/batch_id={batch_id}",
-            streams=sinks.streams,
-            stream_path=sinks.stream_path and f"{sinks.stream_path}/batch_id={batch_id}",
-            filters=sinks.filters,
-            default_filter=sinks.default_filter,
-        )
+        own = lambda path: path and f"{path}/batch_id={batch_id}"
+        per_batch = replace(
+            sinks, tables=own(sinks.tables), untracked=own(sinks.untracked), stream_path=own(sinks.stream_path), streams=streams)
         write_sinks(stored, per_batch, mode="overwrite")
         for hook in self.on_batch:
             hook(stored, batch_id)
@@ -117,6 +75,9 @@ class CollateStream:
         self, stream: DataFrame, checkpoint: str, *, max_age: str | None = None
     ) -> StreamingQuery:
         """Run until stopped, flushing every ``max_age``; without it, drain what is there."""
+        if self.dedupe_seconds is not None and not self.lines:
+            keyed = inflate_globs(stream.select("value", "arrival")).select("value", "arrival", "glob_key")
+            stream = dedupe_stream(keyed, self.dedupe_seconds)
         writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
         writer = writer.trigger(processingTime=max_age) if max_age else writer.trigger(availableNow=True)
         return writer.start()

@@ -17,20 +17,20 @@ def columns(*rows):
     return [dict(zip(("InboundName", "OutboundName", "Transformer", "SupportingColumns"), r)) for r in rows]
 
 
-LOGIN = compile_schemas([{"EventName": "login", "Version": 42, "Columns": columns(
-    ("times", "times", "bigint"), ("fraction", "fraction", "float"), ("name", "name", "varchar"),
-    ("user_agent", "user_agent", "varchar"), ("now", "now", "f@timestamp@unix"), ("id", "id", "userIDWithMapping", "name"))}])
-GOOD = {"times": 42, "fraction": 0.25, "name": "mira.lund", "now": 1614834367, "id": 42}
+MOORED = compile_schemas([{"EventName": "moored", "Version": 6, "Columns": columns(
+    ("owner", "owner", "userIDWithMapping", "ship"), ("ship", "ship", "varchar"), ("draught", "draught", "float"),
+    ("user_agent", "probe", "varchar"), ("berth", "berth", "int"), ("seen", "seen", "f@timestamp@unix-utc"))}])
+GOOD = {"berth": 9, "draught": 3.125, "ship": "Vega", "seen": 1600000000, "owner": 77}
+SEEN = "2020-09-13 12:26:40"
 
 
 @pytest.fixture(scope="module")
 def logins(spark):
-    return spark.createDataFrame(
-        [("mira.lund", 42), ("tidepool", 25), ("nobody", None)], "login string, user_id bigint")
+    return spark.createDataFrame([("Vega", 77), ("Rigel", 78), ("Ghost", None)], "login string, user_id bigint")
 
 
-def one(lines, logins, properties, event="login", agent="Probe 3", schemas=LOGIN, **options):
-    body = json.dumps({"event": event, "properties": properties})
+def one(lines, logins, properties, event="moored", agent="Buoy/2", schemas=MOORED, **options):
+    body = json.dumps({"event": event, "properties": properties}, ensure_ascii=False)
     rows = collate(decode_edge_log(lines(record(encode(body), userAgent=agent))), schemas, logins=logins, **options)
     return with_line(with_record(rows)).first()
 
@@ -41,61 +41,60 @@ def without(*names, **changes):
 
 @pytest.mark.parametrize("limit", [600, 0])
 @pytest.mark.parametrize("properties,agent,status,values", [
-    (GOOD, "Probe 3", 0, ["42", "0.25", "mira.lund", "Probe 3", "2021-03-03 21:06:07", "42"]),
-    (without(id=None), "Probe 3", 0, ["42", "0.25", "mira.lund", "Probe 3", "2021-03-03 21:06:07", "42"]),
-    (without(times="sda"), "Probe 3", 6, ["", "0.25", "mira.lund", "Probe 3", "2021-03-03 21:06:07", "42"]),
-    (without("now"), "", 6, ["42", "0.25", "mira.lund", "", "", "42"]),
-    (without("name", id=None), "", 6, ["42", "0.25", "", "", "2021-03-03 21:06:07", ""]),
+    (GOOD, "Buoy/2", 0, ["77", "Vega", "3.125", "Buoy/2", "9", SEEN]),
+    (without(owner=None), "Buoy/2", 0, ["77", "Vega", "3.125", "Buoy/2", "9", SEEN]),
+    (without("owner", ship="Ghost"), "Buoy/2", 0, ["", "Ghost", "3.125", "Buoy/2", "9", SEEN]),
+    (without(berth="B9", draught="deep"), "Buoy/2", 6, ["77", "Vega", "", "Buoy/2", "", SEEN]),
+    (without("seen", berth=None), "", 6, ["77", "Vega", "3.125", "", "", ""]),
+    (without("ship", "owner"), "", 6, ["", "", "3.125", "", "9", SEEN]),
 ])
 def test_rows(lines, logins, properties, agent, status, values, limit):
     row = one(lines, logins, properties, agent=agent, max_compiled_columns=limit)
-    assert row.status == status and row.category == "login" and row.version == 42
+    assert row.status == status and row.category == "moored" and row.version == 6
     assert row.line == "\t".join(f'"{v}"' for v in values)
-    assert row.record == {k: v for k, v in zip(LOGIN["login"].names, values) if v}
+    assert row.record == {k: v for k, v in zip(MOORED["moored"].names, values) if v}
 
 
-@pytest.mark.parametrize("identity,name,text,outcome", [
-    (5, "x", "5", "id_set"), ("7", "x", "7", "id_set"), ("", "mira.lund", "42", "hit"),
-    ("", "   mira.lund\t", "42", "hit"), ("", " mira.lund ", "42", "hit"), ("", "nobody", "", "hit"),
-    ("", "\t\n\t", None, "empty_lookup_value"), ("", 5, None, "bad_lookup_value"), ("", "unknown", None, "fetch_failure"),
-    (1.5, "mira.lund", "42", "hit"),
+@pytest.mark.parametrize("owner,ship,text,outcome", [
+    (5, "x", "5", "id_set"), ("7", "x", "7", "id_set"), ("", "Rigel", "78", "hit"), ("", "\u2003Rigel\t", "78", "hit"),
+    ("", "Ghost", "", "hit"), ("", "\r\n", None, "empty_lookup_value"), ("", False, None, "bad_lookup_value"),
+    ("", "rigel", None, "fetch_failure"), (2.75, "Vega", "77", "hit"),
 ])
 @pytest.mark.parametrize("broadcast", [True, False])
-def test_mapping(lines, logins, identity, name, text, outcome, broadcast):
-    row = one(lines, logins, without(id=identity, name=name), **({} if broadcast else {"broadcast_limit": 0}))
-    assert row.cells[5] == text and row.lookups == [outcome]
+def test_mapping(lines, logins, owner, ship, text, outcome, broadcast):
+    row = one(lines, logins, without(owner=owner, ship=ship), **({} if broadcast else {"broadcast_limit": 0}))
+    assert row.cells[0] == text and row.lookups == [outcome]
 
 
 @pytest.mark.parametrize("body,status,category,uuid", [
-    ('{"event":"NotTracked","properties":{"b":1,"a":[2]}}', 2, "NotTracked", "rec-a"),
-    ('{"event":"NotTracked"}', 2, "NotTracked", "rec-a"),
-    ('{"event":"","properties":{}}', 5, "Unknown", "rec-a"),
-    ('{"event":"login"}', 5, "Unknown", "rec-a"),
-    ('{"event":"login","properties":[1]}', 5, "Unknown", "rec-a"),
-    ('{"event":"login","properties":"x"}', 5, "Unknown", "rec-a"),
-    ('{"event":"login","properties":null}', 8, "Unknown", "error"),
-    ("oops", 1, "Unknown", "rec-a"),
+    ('{"event":"adrift","properties":{"z":null,"y":{"x":[]}}}', 2, "adrift", "rec-a"),
+    ('{"event":"adrift"}', 2, "adrift", "rec-a"),
+    ('{"event":"","properties":{"a":1}}', 5, "Unknown", "rec-a"),
+    ('{"event":"moored"}', 5, "Unknown", "rec-a"),
+    ('{"event":"moored","properties":[]}', 5, "Unknown", "rec-a"),
+    ('{"event":"moored","properties":7}', 5, "Unknown", "rec-a"),
+    ('{"event":"moored","properties":null}', 8, "Unknown", "error"),
+    ("{moored}", 1, "Unknown", "rec-a"),
 ])
 def test_other_statuses(lines, logins, body, status, category, uuid):
-    row = with_line(collate(decode_edge_log(lines(record(encode(body)))), LOGIN, logins=logins)).first()
+    row = with_line(collate(decode_edge_log(lines(record(encode(body)))), MOORED, logins=logins)).first()
     assert (row.status, row.category, row.uuid) == (status, category, uuid)
     assert row.cells is None
     if status == 2:
-        assert json.loads(row.line)["event"] == "NotTracked"
+        assert json.loads(row.line)["event"] == "adrift"
     else:
         assert row.line == ""
 
 
-def test_pipeline_row(lines):
-    table = compile_schemas([{"EventName": "login", "Version": 42, "Columns": columns(
-        ("sampling_factor", "sampling_factor", "float"), ("distinct_id", "distinct_id", "varchar"),
-        ("time", "time", "f@timestamp@unix"), ("client_time", "client_time", "f@timestamp@unix"))}])
-    body = json.dumps({"event": "login", "properties": {
-        "sampling_factor": 0.1500000059604645, "distinct_id": "FFFF8047-0398-40FF-FF89-5B3FFFFFF0E7", "time": 1380585602}})
-    row = with_line(collate(decode_edge_log(lines(record(encode(body)))), table)).first()
-    assert row.line == '"0.1500000059604645"\t"FFFF8047-0398-40FF-FF89-5B3FFFFFF0E7"\t"2021-03-03 21:06:07"\t"2013-09-30 17:00:02"'
-    empty = with_line(collate(decode_edge_log(lines(record(encode('{"event":"login","properties":{}}')))), table)).first()
-    assert empty.status == 6 and empty.line == '""\t""\t"2021-03-03 21:06:07"\t""'
+def test_server_times_take_the_place_of_client_times(lines):
+    table = compile_schemas([{"EventName": "moored", "Version": 6, "Columns": columns(
+        ("time", "at", "f@timestamp@unix"), ("client_time", "told", "f@timestamp@unix-utc"), ("tide", "tide", "float"), ("tag", "tag", "varchar"))}])
+    run = lambda properties: with_line(collate(decode_edge_log(lines(record(encode(
+        json.dumps({"event": "moored", "properties": properties}))))), table)).first()
+    assert run({"tag": "Kiel-07/β", "tide": 0.30000000000000004, "time": 1600000000}).line == (
+        f'"2021-03-03 21:06:07"\t"{SEEN}"\t"0.30000000000000004"\t"Kiel-07/β"')
+    empty = run({})
+    assert empty.status == 6 and empty.line == '"2021-03-03 21:06:07"\t""\t""\t""'
 
 
 def test_repeated_outbound_name_and_duplicate_keys(lines):
@@ -123,24 +122,24 @@ def test_awkward_property_names(lines):
 
 
 def test_reports(lines, logins):
-    bodies = [json.dumps({"event": "login", "properties": p}) for p in (GOOD, without(times="x"), without(id=None))]
+    bodies = [json.dumps({"event": "moored", "properties": p}) for p in (GOOD, without(berth="x"), without(owner=None))]
     rows = collate(decode_edge_log(lines(
         *[record(encode(b), userAgent="a") for b in bodies], record(encode(bodies[0]), edgeType="external", userAgent="a"),
-        record("junk"))), LOGIN, logins=logins)
+        record("junk"))), MOORED, logins=logins)
     count = lambda df: {tuple(r)[:-1]: r[-1] for r in df.collect()}
     assert count(reports.status_counts(rows)) == {("Success",): 3, ("Missing One or More Columns",): 1, ("Malformed Data",): 1}
     assert count(reports.column_outcomes(rows)) == {
-        ("login", "success"): 23, ("login", "skippedColumn"): 1, ("login", "cache.id_set"): 3, ("login", "cache.hit"): 1}
-    assert count(reports.edge_type_counts(rows)) == {("login", "internal"): 3, ("login", "external"): 1}
+        ("moored", "success"): 23, ("moored", "skippedColumn"): 1, ("moored", "cache.id_set"): 3, ("moored", "cache.hit"): 1}
+    assert count(reports.edge_type_counts(rows)) == {("moored", "internal"): 3, ("moored", "external"): 1}
     metadata = rows.sparkSession.createDataFrame(
-        [("login", "edge_type", "internal"), ("login", "comment", "x")], "event string, metadata_type string, metadata_value string")
-    assert count(reports.edge_type_mismatch(rows, metadata)) == {("login", "external", "internal"): 1}
+        [("moored", "edge_type", "internal"), ("moored", "comment", "x")], "event string, metadata_type string, metadata_value string")
+    assert count(reports.edge_type_mismatch(rows, metadata)) == {("moored", "external", "internal"): 1}
     assert {r.category: (r.success, r.fail) for r in reports.event_success_fail(rows).collect()} == {
-        "login": (4, 0), "Unknown": (0, 1)}
+        "moored": (4, 0), "Unknown": (0, 1)}
 
 
 def test_projection_is_not_repeated_by_filters(lines, logins):
-    rows = with_record(collate(decode_edge_log(lines(record("x"))), LOGIN, logins=logins))
+    rows = with_record(collate(decode_edge_log(lines(record("x"))), MOORED, logins=logins))
     plan = rows.where("status = 0").where(F.col("record")["name"] == "a")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson(") == 1
 
@@ -166,8 +165,8 @@ def test_second_mapping(spark, lines, logins, monkeypatch):
     monkeypatch.setitem(MAPPINGS, "clubMapping", "clubs")
     schemas = compile_schemas([{"EventName": "join", "Version": 1, "Columns": columns(
         ("id", "id", "userIDWithMapping", "name"), ("club", "club", "clubMapping", "name"), ("other", "other", "clubMapping", "team"))}])
-    clubs = spark.createDataFrame([("mira.lund", 7000), ("north", 7001)], "login string, user_id bigint")
-    row = one(lines, logins, {"name": "mira.lund", "team": "north"}, "join", schemas=schemas, dimensions={"clubs": clubs})
-    assert row.cells == ["42", "7000", "7001"] and row.lookups == ["hit"] * 3
-    missing = one(lines, logins, {"name": "mira.lund", "team": "north"}, "join", schemas=schemas)
-    assert missing.cells == ["42", None, None]
+    clubs = spark.createDataFrame([("Vega", 7000), ("north", 7001)], "login string, user_id bigint")
+    row = one(lines, logins, {"name": "Vega", "team": "north"}, "join", schemas=schemas, dimensions={"clubs": clubs})
+    assert row.cells == ["77", "7000", "7001"] and row.lookups == ["hit"] * 3
+    missing = one(lines, logins, {"name": "Vega", "team": "north"}, "join", schemas=schemas)
+    assert missing.cells == ["77", None, None]

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators import decode
-from eventloom.operators.dedupe import dedupe_globs, dedupe_with_memory
+from eventloom.operators.dedupe import dedupe_globs, session_dedupe
 from eventloom.operators.pack import batch_by_count, batch_records, numbered, pack_globs
+from eventloom.streaming import seen
 
 START = datetime(2024, 1, 1)
 
@@ -53,15 +54,75 @@ def test_boundary_and_restart(spark):
     assert sorted(r.id for r in out.collect()) == [0, 3, 4]
 
 
-def test_steps_equal_one_batch(spark):
-    rows = sightings(300)
-    memory, kept = None, set()
-    for part in (rows[:70], rows[70:71], rows[71:200], rows[200:]):
-        out, memory = dedupe_with_memory(spark.createDataFrame(part, SHAPE), memory)
-        kept |= {r.id for r in out.collect()}
-        memory = spark.createDataFrame(memory.collect(), "key string, last_seen bigint")
-        assert memory.count() <= 14
-    assert kept == brute(rows)
+GLOBS = "value binary, arrival timestamp, glob_key string"
+
+
+def drain(spark, folder, ttl=300):
+    """Run the stream over the files that are new since its last run; (ids by batch, rows of state left)."""
+    stream = spark.readStream.schema(GLOBS).parquet(f"{folder}/in")
+    kept = []
+    writer = seen.dedupe_stream(stream, ttl).writeStream.foreachBatch(
+        lambda rows, i: kept.extend(int(bytes(r.value)) for r in rows.collect()))
+    query = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    return kept, state[-1]
+
+
+def arrive(spark, folder, rows, files=3):
+    frame = spark.createDataFrame([(str(i).encode(), at, key) for i, key, at in rows], GLOBS)
+    frame.repartition(files).write.mode("append").parquet(f"{folder}/in")
+
+
+def test_stream_state_equals_one_batch(spark, tmp_path):
+    """Three runs from one checkpoint, each a restart; one key holds a third of all sightings."""
+    rows = sightings(400)
+    kept = []
+    for part in (rows[:90], rows[90:91], rows[91:]):
+        arrive(spark, tmp_path, part)
+        kept += drain(spark, tmp_path)[0]
+    assert len(kept) == len(set(kept)) and set(kept) == brute(rows)
+    batch = dedupe_globs(spark.createDataFrame(rows, SHAPE))
+    assert set(kept) == {r.id for r in batch.collect()}
+
+
+def test_stream_state_ends_and_late_rows_stay(spark, tmp_path):
+    at = lambda s: START + timedelta(seconds=s)
+    arrive(spark, tmp_path, [(0, "a", at(0)), (1, "b", at(10)), (2, None, at(11)), (3, "", at(12)), (4, "a", None), (5, "a", None)])
+    kept, state = drain(spark, tmp_path)
+    assert sorted(kept) == [0, 1, 2, 3, 4, 5] and state > 0
+    # a is within reach of its last sighting, exactly; b is not.
+    arrive(spark, tmp_path, [(6, "a", at(300)), (7, "b", at(311)), (8, "c", at(5000))])
+    kept, state = drain(spark, tmp_path)
+    assert sorted(kept) == [7, 8]
+    # The watermark has passed a and b: their state is gone. Late rows are kept, not dropped.
+    arrive(spark, tmp_path, [(9, "d", at(20)), (10, "c", at(4900)), (11, "c", at(5299))])
+    kept, state = drain(spark, tmp_path)
+    assert sorted(kept) == [9] and state <= 4
+
+
+def test_runs_of_a_key_leave_a_task_as_one_row(spark):
+    rows = [(str(i).encode(), "hot", i * 1000, i, True) for i in range(5000)] + [(b"x", "", 5, 0, True), (b"y", "", 5, 0, True)]
+    frame = spark.createDataFrame(rows, "value binary, glob_key string, first long, tie long, arrived boolean").repartition(4)
+    out = seen.runs_of(frame, 10_000_000).collect()
+    hot = [r for r in out if r.glob_key == "hot"]
+    assert len(hot) == 4 and len(out) == 6 and max(r.last for r in hot) == 4_999_000
+    assert all(r["first"] == 1000 * int(bytes(r.value)) for r in hot)
+
+
+def test_session_form_keeps_empty_keys_and_settles_ties(spark):
+    at = lambda s: START + timedelta(seconds=s)
+    rows = [(0, "", at(0)), (1, "", at(1)), (2, None, at(1)), (3, "k", at(0)), (4, "k", at(0)), (5, "k", at(300)), (6, "k", at(601))]
+    frame = spark.createDataFrame(rows, SHAPE)
+    batch = sorted(r.id for r in dedupe_globs(frame).collect())
+    assert sorted(r.id for r in session_dedupe(frame).collect()) == batch
+    assert len(batch) == 5 and {0, 1, 2, 6} < set(batch)
+
+
+def test_rows_without_arrival_stay(spark):
+    frame = spark.createDataFrame([(0, "k", None), (1, "k", None), (2, "k", START)], SHAPE)
+    assert sorted(r.id for r in dedupe_globs(frame).collect()) == [0, 1, 2]
+
 
 
 def unpack(globs):
