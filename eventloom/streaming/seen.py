@@ -50,10 +50,13 @@ class LastSighting(StatefulProcessor):
             yield runs[["glob_key", "first", "arrived", "value"]]
             return
         before = self.last.get()[0] if self.last.exists() else None
-        last, kept = before, []
+        reach, kept = None, []  # the latest sighting of the runs so far, which all start before this one
         for first, end in zip(runs["first"].tolist(), runs["last"].tolist()):
-            kept.append(last is None or abs(first - last) > self.ttl)
-            last = end if last is None else max(last, end)
+            again = before is not None and abs(first - before) <= self.ttl
+            again |= reach is not None and first - reach <= self.ttl
+            kept.append(not again)
+            reach = end if reach is None else max(reach, end)
+        last = reach if before is None else max(reach, before)
         if last != before:
             if before is not None:
                 self.handle.deleteTimer(self._expiry(before))

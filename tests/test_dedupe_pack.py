@@ -75,10 +75,12 @@ def arrive(spark, folder, rows, files=3):
 
 
 def test_stream_state_equals_one_batch(spark, tmp_path):
-    """Three runs from one checkpoint, each a restart; one key holds a third of all sightings."""
-    rows = sightings(400)
+    """Runs from one checkpoint, each a restart; one key holds a third of all sightings."""
+    # A dense key as well: long runs in each task, which start and end inside each other.
+    rows = sightings(400) + [(1000 + k, "dense", START + timedelta(seconds=100 * k)) for k in range(300)]
+    rows.sort(key=lambda r: r[2])
     kept = []
-    for part in (rows[:90], rows[90:91], rows[91:]):
+    for part in (rows[:90], rows[90:91], rows[91:400], rows[400:]):
         arrive(spark, tmp_path, part)
         kept += drain(spark, tmp_path)[0]
     assert len(kept) == len(set(kept)) and set(kept) == brute(rows)
