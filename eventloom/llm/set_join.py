@@ -60,21 +60,21 @@ def _prefix(n: int) -> int:
     return n - _least(n) + 1
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, size: int = WORDS) -> list[np.ndarray]:
     """Each text's distinct shingle hashes in unsigned order."""
     from xxhash import xxh64_intdigest as digest
 
     offsets, codes, distinct = word_codes(texts)
     words = np.array([digest(w) for w in distinct.to_pylist()] or [0], np.uint64)[codes]
-    padded = np.append(words, np.full(WORDS - 1, _NO_WORD, np.uint64))
+    padded = np.append(words, np.full(size - 1, _NO_WORD, np.uint64))
     hashes = np.zeros(len(words), np.uint64)
-    for k in range(WORDS):
+    for k in range(size):
         hashes = (hashes + padded[k : k + len(words)]) * _MIX[k % len(_MIX)]
         hashes ^= hashes >> np.uint64(29 + k)
     sets = []
     for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
-        if b - a >= WORDS or a == b:
-            sets.append(np.unique(hashes[a : max(a, b - WORDS + 1)]))
+        if b - a >= size or a == b:
+            sets.append(np.unique(hashes[a : max(a, b - size + 1)]))
         else:
             sets.append(np.array([digest(words[a:b].tobytes(), b - a)], np.uint64))
     return sets
@@ -86,7 +86,7 @@ def _signed(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def _rows(docs: DataFrame) -> DataFrame:
+def text_rows(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
@@ -109,7 +109,7 @@ def summaries(docs: DataFrame) -> DataFrame:
                     [*(piece.column(c) for c in ("doc_id", "t1", "t2")), pa.array(np.array([len(s) for s in sets], np.int64)),
                      pa.array(one), pa.array(two), low], ["doc_id", "t1", "t2", "n", "s1", "s2", "low"])
 
-    return _rows(docs).mapInArrow(summary, "doc_id long, t1 long, t2 long, n long, s1 long, s2 long, low array<long>")
+    return text_rows(docs).mapInArrow(summary, "doc_id long, t1 long, t2 long, n long, s1 long, s2 long, low array<long>")
 
 
 def _least_of(n: Column) -> Column:
@@ -130,13 +130,13 @@ def reduced(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "t1", "t2").join(able, "node")
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def whole_sets(docs: DataFrame, wanted: DataFrame, size: int = WORDS) -> DataFrame:
     """(node, n, hashes, sketch) of the nodes ``wanted`` (node, t1, t2), from their texts."""
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch):
-                sets = shingle_sets(piece.column("text"))
+                sets = shingle_sets(piece.column("text"), size)
                 classes = [np.bincount((s >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH) for s in sets]
                 sketch = [np.packbits((c & 1).astype(np.uint8), bitorder="little").view(np.uint64) for c in classes]
                 yield pa.RecordBatch.from_arrays(
@@ -144,7 +144,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     ["node", "n", "hashes", "sketch"])
 
     few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = _rows(docs).drop("doc_id").join(few, ["t1", "t2"]).dropDuplicates(["node"]).select("node", "text")
+    texts = text_rows(docs).drop("doc_id").join(few, ["t1", "t2"]).dropDuplicates(["node"]).select("node", "text")
     return texts.mapInArrow(full, "node long, n long, hashes array<long>, sketch array<long>")
 
 
@@ -160,11 +160,11 @@ def prefixes(sets: DataFrame) -> DataFrame:
     return first.select(F.col("o.h").alias("h"), "node", "n", (F.col("alone") + F.col("at")).alias("place"))
 
 
-def _possible() -> Column:
+def _possible(share: int) -> Column:
     """Length, positional and suffix filter of sets a and b under a common prefix shingle."""
     n, m = F.col("n_a"), F.col("n_b")
-    common = F.ceil((n + m) * SHARE / (100 + SHARE)).cast("long")
-    length = (100 * n >= SHARE * m) & (100 * m >= SHARE * n)
+    common = F.ceil((n + m) * share / (100 + share)).cast("long")
+    length = (100 * n >= share * m) & (100 * m >= share * n)
     positional = F.least(n - F.col("place_a"), m - F.col("place_b")) >= common
     words = [F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k)))) for k in range(SKETCH // 64)]
     suffix = reduce(lambda x, y: x + y, words) <= n + m - 2 * common
@@ -175,16 +175,16 @@ def _side(rows: DataFrame, side: str, *keys: str) -> DataFrame:
     return rows.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "place", "sketch")))
 
 
-def _with_hubs(members: DataFrame, turn: int) -> DataFrame:
+def _with_hubs(members: DataFrame, turn: int, share: int) -> DataFrame:
     """(a, b): each member and the hub of its shingle, if they may link and are in different components."""
     rank = F.col("node") if turn == 0 else F.xxhash64("h", "node", F.lit(turn))
     hub = F.min(F.struct(rank.alias("rank"), *(F.col(c) for c in ("node", "label", "n", "place", "sketch")))).alias("hub")
     hubs = members.groupBy("h").agg(hub).select("h", *(F.col(f"hub.{c}").alias(f"{c}_b") for c in ("node", "label", "n", "place", "sketch")))
-    met = _side(members, "a", "h").join(hubs, "h").where((F.col("label_a") != F.col("label_b")) & _possible())
+    met = _side(members, "a", "h").join(hubs, "h").where((F.col("label_a") != F.col("label_b")) & _possible(share))
     return _ordered(met)
 
 
-def _across(members: DataFrame) -> DataFrame:
+def _across(members: DataFrame, share: int) -> DataFrame:
     """(a, b): all pairs of different components under a shingle that may link, in blocks of salted keys."""
     blocks = members.groupBy("h").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     salted = members.join(blocks, "h").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -196,22 +196,22 @@ def _across(members: DataFrame) -> DataFrame:
     b = _side(salted.where("own = j"), "b", *keys)
     apart = (F.col("label_a") != F.col("label_b")) & ((a["i"] < a["j"]) | (F.col("node_a") < F.col("node_b")))
     on = reduce(lambda x, y: x & y, [a[k] == b[k] for k in keys])
-    return _ordered(a.join(b, on & apart & _possible()).select("node_a", "node_b"))
+    return _ordered(a.join(b, on & apart & _possible(share)).select("node_a", "node_b"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")).distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets have ``SHARE`` percent of their union in common."""
+def _linked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """The pairs whose sets have ``share`` percent of their union in common."""
     theirs = sets.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
     size = theirs.agg(F.sum("n")).first()[0] or 0
     theirs = theirs.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("hashes").alias("other"))
     rows = pairs.join(sets.select(F.col("node").alias("a"), "n", "hashes"), "a")
     rows = rows.join(F.broadcast(theirs) if size * 8 <= BROADCAST_BYTES else theirs, "b")
     both = F.size(F.array_intersect("hashes", "other"))
-    return written(rows.where(100 * both >= SHARE * (F.col("n") + F.col("m") - both)).select("a", "b"), "set-links")
+    return written(rows.where(100 * both >= share * (F.col("n") + F.col("m") - both)).select("a", "b"), "set-links")
 
 
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -222,20 +222,23 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return written(known.join(mixed, "h"), "unsettled-sets")
 
 
-def linked_sets(sets: DataFrame) -> DataFrame:
-    """(node, label) of all nodes with links; ``sets`` is a written table. ``turn`` counts the rounds, ``left``
-    and ``before`` the prefix shingles of sets that are not settled now and were not a round ago."""
-    members = prefixes(sets).join(sets.select("node", "sketch"), "node")
+def linked(members: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
+    """(node, label) of all nodes with links of ``share`` percent between sets that meet under a key.
+
+    ``members`` (h, node, n, place) are the keys of the sets, ``sets`` a written table. ``turn`` counts the
+    rounds, ``left`` and ``before`` the members that are not settled now and were not a round ago.
+    """
+    members = members.join(sets.select("node", "sketch"), "node")
     none = sets.sparkSession.createDataFrame([], "node long, label long")
     members = _unsettled(written(members, "set-prefixes"), none)
     links, labels, tested, turn, left = None, none, None, 0, members.count()
     before = 2 * left
     while left:
         last = left > before * (1 - WORTHWHILE)
-        pairs = _across(members) if last else _with_hubs(members, turn)
+        pairs = _across(members, share) if last else _with_hubs(members, turn, share)
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "set-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        found = _linked(pairs, sets)
+        found = _linked(pairs, sets, share)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
         if last:
@@ -254,7 +257,7 @@ def similar_sets(docs: DataFrame) -> DataFrame:
         F.min(F.struct("t1", "t2")).alias("text"), F.first("low").alias("low"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()).select("*", "text.*").drop("text"), "set-nodes")
     sets = written(whole_sets(docs, written(reduced(nodes), "set-candidates")), "sets")
-    labels = linked_sets(sets)
+    labels = linked(prefixes(sets), sets)
     classes = nodes.join(labels, "node", "left").select("s1", "s2", "first_id", "times", F.coalesce("label", "node").alias("label"))
     least = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = written(classes.join(least, "label").select("s1", "s2", "times", "component_id"), "set-classes")

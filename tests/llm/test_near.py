@@ -103,6 +103,24 @@ def test_near_copy_stage_equals_brute_force(spark, table):
     assert len(found) < len(far)  # most of these copies are over 3 bits apart
 
 
+def test_copies_just_below_the_bound_compare_no_sets(spark, table, monkeypatch):
+    """Hundreds of texts about 0.75 alike share keys; sketches end their pairs, so hardly a set is fetched."""
+    from eventloom.llm import set_join
+
+    compared = []
+    whole = set_join._linked
+    monkeypatch.setattr(set_join, "_linked", lambda pairs, *a: compared.append(pairs.count()) or whole(pairs, *a))
+    rng = random.Random(8)
+    texts = []
+    for k in range(300):
+        words = [f"w{at}" for at in range(400)]
+        for at in rng.sample(range(400), 13):
+            words[at] = f"x{k}y{at}"
+        texts.append(" ".join(words))
+    kept = near_copies.near_copies(table(texts)).where("kept").count()
+    assert kept == 300 and sum(compared) < 300
+
+
 def test_no_pair_at_the_threshold_is_missed():
     rng = np.random.default_rng(1)
     missed = 0

@@ -78,7 +78,7 @@ def test_copies_just_below_the_bound_make_no_pairs(spark, table):
     base = [f"w{k}" for k in range(300)]
     texts = [" ".join(f"x{k}" if at % 28 == k % 28 else w for at, w in enumerate(base)) for k in range(100)]
     sets = set_join.whole_sets(table(texts), spark.createDataFrame(
-        [(r.doc_id, r.t1, r.t2) for r in set_join._rows(table(texts)).collect()], "node long, t1 long, t2 long"))
+        [(r.doc_id, r.t1, r.t2) for r in set_join.text_rows(table(texts)).collect()], "node long, t1 long, t2 long"))
     assert set_join.prefixes(sets).count() == 0
     assert {r.component_id for r in set_join.similar_sets(table(texts)).collect()} == set(range(100))
 
