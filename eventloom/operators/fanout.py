@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom.functions.text import sorted_json
 from eventloom.functions.variants import pinned
+from eventloom.operators.batches import exact_batches
 from eventloom.operators.pack import NO_LIMIT, Greedy, deflate
 from eventloom.operators.streams import (
     FILTER_OPERATORS, RECORD_VERSION, RecordFilter, StreamConfig, compressed_entry, creation_stamp, strip_nuls,
@@ -26,6 +27,8 @@ STREAM_KEY = ["stream_type", "stream"]
 #: Specs (rows of configuration, a few hundred bytes each) up to so many are broadcast; more are shuffled
 #: by event, each event spread over ``SALTS`` keys.
 BROADCAST_SPECS, SALTS = 100_000, 32
+#: Records of a stream that one task cuts into requests at once.
+ROWS_PER_SLICE = 20_000
 
 SETTINGS = (
     "StreamName string, StreamRole string, StreamType string, Compress boolean, FirehoseRedshiftStream boolean, "
@@ -200,6 +203,30 @@ def stream_values(sent: DataFrame, packing: bool, record_id: Column | None = Non
     return rows.select(*STREAM_KEY, F.concat(F.when(F.col("kind") == "warehouse", F.col("data")).otherwise(envelope), newline).alias("value"))
 
 
+def request_limits(sinks: DataFrame) -> DataFrame:
+    """``stream_type, stream, batch_size, batch_entries`` of ``sinks`` (``settings``)."""
+    s = F.col("settings")
+    return sinks.select(
+        F.coalesce(F.nullif(s["StreamType"], F.lit("")), F.lit("stream")).alias("stream_type"), s["StreamName"].alias("stream"),
+        F.coalesce(s["Batcher"]["MaxSize"], F.lit(990_000)).alias("batch_size"),
+        F.coalesce(s["Batcher"]["MaxEntries"], F.lit(500)).alias("batch_entries"))
+
+
+def stream_requests(values: DataFrame, sinks: DataFrame) -> DataFrame:
+    """``stream_type, stream, batch_no, records ARRAY<STRING>`` of written stream values, read back as Parquet:
+    exact batches in the order of files and rows, within each stream's bytes and entries."""
+    limits = request_limits(sinks).groupBy(*STREAM_KEY).agg(F.max("batch_size").alias("batch_size"), F.max("batch_entries").alias("batch_entries"))
+    rows = values.select(
+        *STREAM_KEY, "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    rows = rows.join(F.broadcast(limits) if limits.count() <= BROADCAST_SPECS else limits, STREAM_KEY)
+    rows = rows.withColumn("_key", F.to_json(F.struct(*STREAM_KEY)))
+    part = F.concat_ws(":", "file", F.lpad(F.expr(f"row div {ROWS_PER_SLICE}").cast("string"), 12, "0"))
+    cut = exact_batches(rows, "_key", ["file", "row"], part, F.octet_length("value"), F.col("batch_size"), F.col("batch_entries"))
+    # A batch is bounded by its bytes.
+    own = cut.groupBy(*STREAM_KEY, "batch_no").agg(F.sort_array(F.collect_list(F.struct("file", "row", "value"))).alias("records"))
+    return own.select(*STREAM_KEY, "batch_no", F.col("records.value").alias("records"))
+
+
 def write_streams(values: DataFrame, path: str, mode: str) -> None:
     """All streams in one write, a folder each. REBALANCE gathers the rows of a stream into few files and
     splits one that holds most of the rows."""

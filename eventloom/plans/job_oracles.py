@@ -47,3 +47,16 @@ n AS (SELECT count(*) FILTER (inside) AS every, count(*) FILTER (inside AND odd)
 SELECT 'odd' AS run, every AS deleted, odd AS inserted FROM n
 UNION ALL SELECT 'again', odd, odd FROM n
 UNION ALL SELECT 'none', emptied, 0 FROM n"""
+
+ORACLES["batch_bytes"] = """
+WITH RECURSIVE e AS (SELECT event_type, event_id, length(props) + event_id % 90 AS size FROM events),
+r AS (SELECT *, row_number() OVER w AS i, sum(size) OVER w AS through FROM e WINDOW w AS (PARTITION BY event_type ORDER BY event_id)),
+following AS (
+  SELECT a.event_type, a.i, min(b.i) AS j FROM r a JOIN r b
+  ON a.event_type = b.event_type AND b.i > a.i AND b.i <= a.i + 500
+     AND ((a.event_type <> 'error' AND b.i = a.i + 40) OR b.through - (a.through - a.size) > 500)
+  GROUP BY a.event_type, a.i),
+starts AS (
+  SELECT DISTINCT event_type, CAST(1 AS BIGINT) AS i, CAST(0 AS BIGINT) AS batch_no FROM r
+  UNION ALL SELECT s.event_type, f.j, s.batch_no + 1 FROM starts s JOIN following f ON s.event_type = f.event_type AND s.i = f.i)
+SELECT r.event_type, r.event_id, r.size, s.batch_no FROM r ASOF JOIN starts s ON r.event_type = s.event_type AND r.i >= s.i"""

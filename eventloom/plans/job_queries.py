@@ -8,6 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, functions as F
 
+from eventloom.operators.batches import exact_batches
 from eventloom.operators.pack import deflate_text
 from eventloom.plans import derived as d
 from eventloom.plans.pipeline import Sinks, stream_records
@@ -120,6 +121,14 @@ def fan_out_streams(spark, sf_dir):
     return stream_records(rows, Sinks(streams=streams)).select("stream", F.regexp_replace("value", r"\n$", "").alias("data"))
 
 
+@query
+def batch_bytes(spark, sf_dir):
+    """Requests of at most 500 bytes and 40 entries (no limit of entries for errors), cut as one pass would."""
+    rows = events(spark, sf_dir).select("event_type", "event_id", (F.length("props") + F.col("event_id") % 90).alias("size"))
+    entries = F.when(F.col("event_type") == "error", -1).otherwise(40)
+    return exact_batches(rows, "event_type", ["event_id"], F.expr("event_id div 1000"), F.col("size"), F.lit(500), entries)
+
+
 # ---------------------------------------------------------------- replacement
 
 

@@ -108,8 +108,9 @@ FROM events"""
 
 ORACLES["typed_table"] = f"""
 SELECT {UUID} AS uuid, {TIME_TEXT} AS time_utc, user_id, value, event_type AS kind, event_id % 2 = 0 AS even,
-       CASE WHEN event_id % 7 <> 0 THEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) END AS k, '10.0.0.1' AS ip
-FROM events WHERE event_type = 'view'"""
+       CASE WHEN event_id % 7 <> 0 THEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) END AS k, '10.0.0.1' AS ip,
+       event_type AS event
+FROM events"""
 
 MIXED = """
 WITH mixed AS (SELECT *,
@@ -227,14 +228,16 @@ SELECT event_type AS event, CASE WHEN event_type = 'view' THEN concat('{', jd, '
 FROM j WHERE event_type IN ('view', 'click')"""
 
 ORACLES["project_rename"] = RECORDS + """
-SELECT event_type AS event, concat('{', jo, ',"renamed":"', country, '"}') AS entry FROM j WHERE event_type = 'purchase'"""
+SELECT event_type AS event, CASE WHEN event_type IN ('view', 'signup') THEN concat('{', jo, ',"renamed":"', country, '"}')
+       WHEN event_type IN ('click', 'error') THEN concat('{"country":"', other, '","other":"', country, '"}')
+       ELSE concat('{"device":"', country, '",', jo, '}') END AS entry FROM j"""
 
 ORACLES["project_exclude_empty"] = RECORDS + """
 SELECT event_type AS event, concat('{', jd, '}') AS entry FROM j WHERE device <> ''"""
 
 ORACLES["project_all_fields"] = RECORDS + """
-SELECT event_type AS event, concat('{', jc, ',', CASE WHEN device <> '' THEN concat(jd, ',') ELSE '' END, jo, '}') AS entry
-FROM j WHERE event_type = 'view'"""
+SELECT event_type AS event, concat('{', jc, ',', CASE WHEN device <> '' THEN concat(jd, ',') ELSE '' END, je, ',', jo, '}') AS entry
+FROM j"""
 
 ORACLES["stream_filters"] = RECORDS + """
 SELECT event_type AS event, concat('{', jo, '}') AS entry FROM j
@@ -280,8 +283,9 @@ ORACLES["dedupe_sessions"] = ORACLES["dedupe_by_user"]
 
 ORACLES["table_files_roundtrip"] = f"""
 SELECT {TIME_TEXT} AS time_utc, user_id, value, event_type AS kind, event_id % 2 = 0 AS even,
-       CASE WHEN event_id % 7 <> 0 THEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) END AS k, '10.0.0.1' AS ip
-FROM events WHERE event_type = 'click'"""
+       CASE WHEN event_id % 7 <> 0 THEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) END AS k, '10.0.0.1' AS ip,
+       event_type AS event
+FROM events"""
 
 ORACLES["manifest_rows"] = """
 SELECT event_type AS table_name, 3 AS table_version, count(*) AS n_rows FROM events GROUP BY event_type"""

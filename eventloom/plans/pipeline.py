@@ -5,11 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from eventloom.operators.classify import UNTRACKED, WRITTEN, collate, with_record
 from eventloom.operators.decode import decode_edge_log, expand_globs, explode_events, inflate_globs
 from eventloom.operators.dedupe import DEFAULT_TTL_SECONDS, dedupe_globs
-from eventloom.operators.fanout import fan_out, listed_rows, settings_of, stream_specs, stream_values, write_streams
+from eventloom.operators.fanout import (
+    STREAM_KEY, fan_out, listed_rows, settings_of, stream_requests, stream_specs, stream_values, write_streams,
+)
 from eventloom.operators.lookups import KeyTable, RangeTable
 from eventloom.operators.project import prepare_blocks, prepare_logins
 from eventloom.operators.schemas import TableSchema
@@ -42,12 +45,14 @@ class Lookups:
 
 @dataclass
 class Sinks:
-    """Where a batch goes; every part is optional. Streams are configs, or rows of ``settings``."""
+    """Where a batch goes; every part is optional. Streams are configs, or rows of ``settings``; with
+    ``request_path`` their records are also cut into requests of each stream's size."""
 
     tables: str | None = None
     untracked: str | None = None
     streams: list[StreamConfig] | DataFrame = field(default_factory=list)
     stream_path: str | None = None
+    request_path: str | None = None
     filters: dict[str, RecordFilter] = field(default_factory=dict)
     default_filter: RecordFilter | None = None
     run_tag: str | None = None
@@ -97,28 +102,39 @@ def store_collated(rows: DataFrame, path: str, mode: str = "overwrite") -> DataF
     return rows.sparkSession.read.schema(routed.schema).parquet(path)
 
 
+def _settings(rows: DataFrame, sinks: Sinks) -> DataFrame:
+    return sinks.streams if isinstance(sinks.streams, DataFrame) else settings_of(rows.sparkSession, sinks.streams)
+
+
 def stream_records(rows: DataFrame, sinks: Sinks, created_at: Column | None = None) -> DataFrame:
     """``stream_type, stream, value``: enveloped records of all streams, from one scan of ``rows``."""
-    settings = sinks.streams if isinstance(sinks.streams, DataFrame) else settings_of(rows.sparkSession, sinks.streams)
-    specs = stream_specs(settings, sinks.filters, sinks.default_filter)
+    specs = stream_specs(_settings(rows, sinks), sinks.filters, sinks.default_filter)
     # The events any stream lists are picked before records are built.
     wanted = listed_rows(of_route(written(rows), "tables"), specs)
     packing = specs.where("compress").limit(1).count() > 0
     return stream_values(fan_out(with_record(wanted), specs), packing, created_at=created_at)
 
 
-def write_sinks(stored: DataFrame, sinks: Sinks, mode: str = "append") -> None:
+def write_sinks(stored: DataFrame, sinks: Sinks, mode: str = "overwrite") -> None:
     """Fan-out: every row to all sinks that want it."""
     if sinks.tables:
         write_tables(stored, sinks.tables, run_tag=sinks.run_tag, mode=mode)
     if sinks.untracked:
         write_untracked(stored, sinks.untracked, mode=mode)
     if sinks.stream_path:
-        write_streams(stream_records(stored, sinks), sinks.stream_path, mode)
+        values = stream_records(stored, sinks)
+        write_streams(values, sinks.stream_path, mode)
+        if sinks.request_path:
+            shape = StructType([*values.select("value").schema, *values.select(*STREAM_KEY).schema])
+            written = stored.sparkSession.read.schema(shape).parquet(sinks.stream_path)
+            stream_requests(written, _settings(stored, sinks)).write.mode(mode).partitionBy(*STREAM_KEY).parquet(sinks.request_path)
 
 
-def run_batch(rows: DataFrame, store_path: str, sinks: Sinks, mode: str = "append") -> DataFrame:
-    """Collated rows to the store and from there to all sinks; returns the stored rows."""
+def run_batch(rows: DataFrame, store_path: str, sinks: Sinks, mode: str = "overwrite") -> DataFrame:
+    """Collated rows to the store and from there to all sinks; returns the stored rows.
+
+    A run that is repeated replaces what it wrote; ``append`` adds to what is there.
+    """
     stored = store_collated(rows, store_path)
     write_sinks(stored, sinks, mode)
     return stored

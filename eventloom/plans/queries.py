@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -200,11 +201,17 @@ TABLE_PROPS = (
 )
 
 
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
 @query
 def typed_table(spark, sf_dir):
-    lines = d.event_lines(events(spark, sf_dir), TABLE_PROPS)
-    rows = cast_to_schema(decode.decode_edge_log(lines), schema(TABLE_COLUMNS)["view"], keep=("uuid",))
-    return rows.withColumn("time_utc", F.col("time_utc").cast("string"))
+    """Typed rows of every event's table, with the event they are of."""
+    decoded = decode.decode_edge_log(d.event_lines(events(spark, sf_dir), TABLE_PROPS))
+    typed = [cast_to_schema(decoded, table, keep=("uuid",)).withColumn("event", F.lit(name))
+             for name, table in schema(TABLE_COLUMNS).items()]
+    return _union(typed).withColumn("time_utc", F.col("time_utc").cast("string"))
 
 
 MIXED_COLUMNS = [("time", "time", "f@timestamp@unix-utc"), ("k", "k", "int")]
@@ -343,10 +350,11 @@ def _written_tables(spark, sf_dir) -> str:
 
 @query
 def table_files_roundtrip(spark, sf_dir):
-    """Write gzip TSV tables and load one back with its types."""
-    table = schema(TABLE_COLUMNS)["click"]
-    out = load_tsv(spark, table_folder(_written_tables(spark, sf_dir), table), table)
-    return out.withColumn("time_utc", F.col("time_utc").cast("string"))
+    """Write gzip TSV tables and load every one back with its types."""
+    path = _written_tables(spark, sf_dir)
+    loaded = [load_tsv(spark, table_folder(path, table), table).withColumn("event", F.lit(name))
+              for name, table in schema(TABLE_COLUMNS).items()]
+    return _union(loaded).withColumn("time_utc", F.col("time_utc").cast("string"))
 
 
 @query
@@ -457,8 +465,10 @@ def project_fields(spark, sf_dir):
 
 @query
 def project_rename(spark, sf_dir):
-    event = StreamEvent(fields=("country", "other"), renames={"country": "renamed"})
-    return _projected(spark, sf_dir, StreamConfig("s", events={"purchase": event}))
+    """Renames of every event: one field, both of two exchanged, one onto another field's name."""
+    renames = [{"country": "renamed"}, {"country": "other", "other": "country"}, {"country": "device"}]
+    specs = {e: StreamEvent(fields=("country", "other"), renames=renames[i % 3]) for i, e in enumerate(EVENT_TYPES)}
+    return _projected(spark, sf_dir, StreamConfig("s", events=specs))
 
 
 @query
@@ -469,7 +479,9 @@ def project_exclude_empty(spark, sf_dir):
 
 @query
 def project_all_fields(spark, sf_dir):
-    return _projected(spark, sf_dir, StreamConfig("s", events={"view": StreamEvent(all_fields=True)}))
+    """All fields of every event; the event name goes under a field of its own."""
+    specs = {e: StreamEvent(all_fields=True) for e in EVENT_TYPES}
+    return _projected(spark, sf_dir, StreamConfig("s", event_field="event", events=specs))
 
 
 @query

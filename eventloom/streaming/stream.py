@@ -66,7 +66,8 @@ class CollateStream:
         stored = store_collated(rows, f"{self.store_path}/batch_id={batch_id}")
         own = lambda path: path and f"{path}/batch_id={batch_id}"
         per_batch = replace(
-            sinks, tables=own(sinks.tables), untracked=own(sinks.untracked), stream_path=own(sinks.stream_path), streams=streams)
+            sinks, tables=own(sinks.tables), untracked=own(sinks.untracked), stream_path=own(sinks.stream_path),
+            request_path=own(sinks.request_path), streams=streams)
         write_sinks(stored, per_batch, mode="overwrite")
         for hook in self.on_batch:
             hook(stored, batch_id)

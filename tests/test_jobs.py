@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import fanout
 from eventloom.operators.pack import deflate
 from eventloom.operators.schemas import compile_schemas
 from eventloom.operators.streams import StreamConfig, StreamEvent
@@ -19,6 +20,7 @@ from eventloom.sinks.versioned import VersionConflict, VersionedTable
 from eventloom.sources.edge_logs import edge_log_days, fragment_filter, name_fragments, read_edge_log, read_globs_stream
 from eventloom.streaming.stream import CollateStream, Refreshable
 from tests.conftest import encode, record
+from tests.test_batches import rule
 
 
 def columns(*rows):
@@ -54,7 +56,7 @@ def lookups(spark):
 
 def all_sinks(path):
     return pipeline.Sinks(
-        tables=f"{path}/tables", untracked=f"{path}/untracked", stream_path=f"{path}/streams",
+        tables=f"{path}/tables", untracked=f"{path}/untracked", stream_path=f"{path}/streams", request_path=f"{path}/requests",
         streams=[
             StreamConfig("packed", compress=True, events={
                 "weighed": StreamEvent(fields=("at", "hub_no")), "mislaid": StreamEvent(fields=("value",), renames={"value": "worth"})}),
@@ -95,11 +97,31 @@ def test_batch_job(spark, lookups, tmp_path):
     plain, = (json.loads(v) for v in values_of(spark, tmp_path, "firehose", "plain"))
     assert plain["Data"] == {"kind": "mislaid", "time": "2022-11-06 01:30:00"} and plain["CreatedAt"] == ""
 
+    requests = spark.read.parquet(f"{tmp_path}/requests").where("stream = 'plain'").collect()
+    assert [(r.batch_no, len(r.records)) for r in requests] == [(0, 1)] and json.loads(requests[0].records[0]) == plain
+
     loaded = tables.load_tsv(spark, tables.table_folder(f"{tmp_path}/tables", PARCELS["weighed"]), PARCELS["weighed"]).first()
     assert loaded["at"] == datetime(2022, 11, 6, 9, 30) and loaded.grams == 1250.5 and loaded.sealed is True
     assert loaded.hub == "Öster" and loaded.scale == 12  # six bytes
 
 
+def test_requests_of_streams(spark, tmp_path):
+    """Records of two streams in requests of their own size, whole and in order, over many files."""
+    sizes = {"small": (60, 3), "large": (500, -1)}
+    configs = [StreamConfig(n, events={"e": StreamEvent(("v",))}, batch_size=b, batch_entries=c) for n, (b, c) in sizes.items()]
+    rows = [("stream", "small" if k % 3 else "large", "x" * (k * 7 % 50)) for k in range(400)]
+    spark.createDataFrame(rows, "stream_type string, stream string, value string").repartition(6).write.partitionBy(
+        "stream_type", "stream").parquet(f"{tmp_path}/streams")
+    written = spark.read.parquet(f"{tmp_path}/streams")
+    found = fanout.stream_requests(written, fanout.settings_of(spark, configs)).collect()
+    for name, (size, entries) in sizes.items():
+        own = sorted((r.batch_no, r.records) for r in found if r.stream == name)
+        assert [n for n, _ in own] == list(range(len(own)))
+        lengths = [len(v) for _, records in own for v in records]
+        assert sorted(lengths) == sorted(len(v) for _, s, v in rows if s == name)
+        assert [n for n, records in own for _ in records] == rule(lengths, size, entries)
+
+
 def test_awkward_table_names(spark, lines, tmp_path):
     names = ["a b", "c/d:e", "f+g", "h=100%", "ü?"]
     schemas = compile_schemas([{"EventName": n, "Version": 1, "Columns": columns(("v", "v", "int"))} for n in names])
