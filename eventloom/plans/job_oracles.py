@@ -60,3 +60,26 @@ starts AS (
   SELECT DISTINCT event_type, CAST(1 AS BIGINT) AS i, CAST(0 AS BIGINT) AS batch_no FROM r
   UNION ALL SELECT s.event_type, f.j, s.batch_no + 1 FROM starts s JOIN following f ON s.event_type = f.event_type AND s.i = f.i)
 SELECT r.event_type, r.event_id, r.size, s.batch_no FROM r ASOF JOIN starts s ON r.event_type = s.event_type AND r.i >= s.i"""
+
+ORACLES["stream_age_groups"] = """
+WITH RECURSIVE e AS (
+  SELECT event_type AS stream, epoch_ms(date_trunc('second', ts)) AS t, concat(lpad(CAST(event_id AS VARCHAR), 9, '0'), repeat('x', event_id % 97)) AS entry,
+    CASE event_type WHEN 'view' THEN 21600000 WHEN 'click' THEN 5400000 WHEN 'purchase' THEN 5400000 WHEN 'signup' THEN 86400000 ELSE 3600000 END AS age
+  FROM events),
+r AS (SELECT *, row_number() OVER w AS i, sum(length(entry)) OVER w AS through FROM e WINDOW w AS (PARTITION BY stream ORDER BY t, entry)),
+following AS (
+  SELECT a.stream, a.i, min(b.i) AS j, arg_min(b.t >= a.t + a.age, b.i) AS aged FROM r a JOIN r b
+  ON a.stream = b.stream AND b.i > a.i AND b.i <= a.i + 9
+     AND (b.i = a.i + 9 OR b.through - (a.through - length(a.entry)) > 400 OR b.t >= a.t + a.age)
+  GROUP BY a.stream, a.i),
+starts AS (
+  SELECT DISTINCT stream, CAST(1 AS BIGINT) AS i FROM r
+  UNION ALL SELECT s.stream, f.j FROM starts s JOIN following f ON s.stream = f.stream AND s.i = f.i),
+latest AS (SELECT max(t) AS t FROM e),
+n AS (SELECT stream, max(i) AS n FROM r GROUP BY stream)
+SELECT r.stream, coalesce(f.j, n.n + 1) - r.i AS entries,
+  (SELECT max(x.through) FROM r x WHERE x.stream = r.stream AND x.i = coalesce(f.j, n.n + 1) - 1) - (r.through - length(r.entry)) AS bytes,
+  CASE WHEN f.j IS NULL OR f.aged THEN 'age' ELSE 'size' END AS closed_by, r.entry AS first_entry
+FROM starts s JOIN r ON s.stream = r.stream AND s.i = r.i JOIN n ON n.stream = r.stream
+LEFT JOIN following f ON f.stream = r.stream AND f.i = r.i, latest
+WHERE f.j IS NOT NULL OR r.t + r.age <= latest.t"""

@@ -19,6 +19,7 @@ from eventloom.plans.queries import (
 from eventloom.session import shared_folder
 from eventloom.sinks.versioned import VersionedTable
 from eventloom.sources.configs import read_sink_configs
+from eventloom.streaming.groups import age_millis, grouped_by_age
 from eventloom.streaming.sink_table import SinkTable
 from eventloom.streaming.stream import CollateStream, Refreshable
 
@@ -156,3 +157,32 @@ def replaced_counts(spark, sf_dir):
             replace_window_table(spark, table, odd, *WINDOW, run_tag="again", table="again"),
             replace_window_table(spark, table, None, *EMPTIED, run_tag="none", table="none", on_missing="empty")]
     return spark.createDataFrame([(r.table, r.deleted, r.inserted) for r in done], "run string, deleted long, inserted long")
+
+
+# ---------------------------------------------------------------- groups that close by age
+
+AGES = {"view": "6h", "click": "1h30m", "purchase": "90m", "signup": "24h", "error": "3600s"}
+
+
+@query
+def stream_age_groups(spark, sf_dir):
+    """Entries of each event type in groups of 400 bytes, 9 entries and the type's age, over three batches; by
+    the time of the entries, so that the last groups are those the watermark has passed."""
+    folder = _run_folder(spark, "age-groups")
+    ages = F.element_at(F.create_map(*[F.lit(v) for pair in AGES.items() for v in pair]), F.col("event_type"))
+    rows = events(spark, sf_dir).select(
+        F.col("event_type").alias("stream"), F.date_trunc("second", "ts").cast("timestamp").alias("arrival"),
+        F.concat(F.lpad(F.col("event_id").cast("string"), 9, "0"), F.repeat(F.lit("x"), (F.col("event_id") % 97).cast("int"))).alias("entry"),
+        F.lit(400).alias("max_size"), F.lit(9).alias("max_entries"), age_millis(ages).alias("max_age"))
+    at = F.unix_micros("arrival")
+    cuts = rows.agg(F.percentile_approx(at, [k / PARTS for k in range(1, PARTS)])).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows.where((F.lit(low is None) | (at > F.lit(low))) & (F.lit(high is None) | (at <= F.lit(high))))
+        part.write.mode("append").parquet(f"{folder}/entries")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/entries")
+        closed = grouped_by_age(stream, by_event=True)
+        write = lambda df, i: df.write.mode("overwrite").parquet(f"{folder}/groups/batch={i}")
+        job = closed.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+        job.start().awaitTermination()
+    groups = spark.read.parquet(f"{folder}/groups")
+    return groups.select("stream", F.col("entries").cast("long").alias("entries"), "bytes", "closed_by", F.get("value", F.lit(0)).alias("first_entry"))
