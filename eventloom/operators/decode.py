@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.functions import arrow_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from eventloom.functions.payload import payload_text, with_payload_items
 from eventloom.functions.variants import pinned, prop, string_only
@@ -29,45 +33,133 @@ RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z
 ADDRESS = r"^((25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])([.](?!$)|$)){4}$|^[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*$"
 
 
+def glob_body(glob: bytes | None) -> str | None:
+    """Text behind the version byte and raw DEFLATE; None for anything malformed."""
+    if not glob or glob[0] != GLOB_VERSION:
+        return None
+    stream = zlib.decompressobj(-zlib.MAX_WBITS)
+    try:
+        body = stream.decompress(memoryview(glob)[1:]) + stream.flush()
+    except zlib.error:
+        return None
+    return body.decode("utf-8", "replace") if stream.eof else None
+
+
 @arrow_udf(StringType())
 def inflate_glob(globs: pa.Array) -> pa.Array:
-    """Text behind the version byte and raw DEFLATE; NULL for anything malformed."""
+    """Texts of globs; NULL for anything malformed."""
+    return pa.array([glob_body(g.as_py()) for g in globs], pa.string())
 
-    def one(glob: bytes | None) -> str | None:
-        if not glob or glob[0] != GLOB_VERSION:
-            return None
-        stream = zlib.decompressobj(-zlib.MAX_WBITS)
-        try:
-            body = stream.decompress(glob[1:]) + stream.flush()
-        except zlib.error:
-            return None
-        return body.decode("utf-8", "replace") if stream.eof else None
 
-    return pa.array([one(g.as_py()) for g in globs], pa.string())
+# Fields of a record that hold text, and the one that holds a whole number.
+TEXT_FIELDS = ["receivedAt", "clientIp", "xForwardedFor", "uuid", "data", "userAgent", "edgeType"]
+NUMBER_FIELD = "recordversion"
+_MAYBE_NO_TEXT = r'"(' + "|".join(TEXT_FIELDS) + r')"\s*:\s*[^"n\s]'
+_SPACE = re.compile(r"[ \t\n\r]*")
 
 
-def inflate_globs(globs: DataFrame, value: str = "value") -> DataFrame:
-    """Adds ``records ARRAY<STRUCT<record>>`` and ``glob_key`` (id of the first record).
+def _refused(text: str):
+    raise ValueError(f"{text} is no JSON")
 
-    ``records`` is NULL for a glob that cannot be expanded and empty for an empty one;
-    :func:`expand_globs` drops both, the totals report counts them.
-    """
-    body = globs.withColumn("_body", inflate_glob(F.col(value)))
-    # A one-record text is also accepted by an array schema, so insist on the bracket.
-    records = F.when(
-        F.ltrim("_body").startswith("[") & F.try_parse_json("_body").isNotNull(),
-        F.from_json("_body", f"array<struct<{RECORD_SCHEMA}>>"),
-    )
-    return (
-        body.withColumn("records", pinned(records))
-        .withColumn("glob_key", F.coalesce(F.try_element_at("records", F.lit(1))["uuid"], F.lit("")))
-        .drop("_body")
-    )
+
+_SCAN = json.JSONDecoder(parse_constant=_refused).scan_once
 
 
-def expand_globs(inflated: DataFrame) -> DataFrame:
-    """One row per record (``record STRUCT``) of the globs that could be expanded."""
-    return inflated.where(F.size("records") > 0).select(F.explode("records").alias("record"))
+def _is_record(record) -> bool:
+    """An object whose known fields, where present, have their types."""
+    if not isinstance(record, dict):
+        return False
+    number = record.get(NUMBER_FIELD)
+    whole = number is None or isinstance(number, int) and not isinstance(number, bool)
+    return whole and all(isinstance(record.get(f, ""), (str, type(None))) for f in TEXT_FIELDS)
+
+
+def record_texts(body: str) -> Iterator[tuple[str, dict]]:
+    """Records of a glob's text one after the other, as text and parsed; ValueError where the text is no JSON
+    array of records. Only one record is held parsed at a time, however long the text."""
+    space = lambda at: _SPACE.match(body, at).end()
+    at = space(0)
+    if body[at : at + 1] != "[":
+        raise ValueError("no array")
+    at = space(at + 1)
+    more = body[at : at + 1] != "]"
+    while more:
+        begin = at
+        try:
+            record, at = _SCAN(body, at)
+        except StopIteration:
+            raise ValueError("cut off") from None
+        if not _is_record(record):
+            raise ValueError("no record")
+        yield body[begin:at], record
+        at = space(at)
+        more = body[at : at + 1] == ","
+        if more:
+            at = space(at + 1)
+        elif body[at : at + 1] != "]":
+            raise ValueError("no end")
+    if space(at + 1) != len(body):
+        raise ValueError("text after the end")
+
+
+@arrow_udf(StructType([StructField("n_records", IntegerType()), StructField("glob_key", StringType())]))
+def _glob_facts(globs: pa.Array) -> pa.Array:
+    numbers, keys = [], []
+    for glob in globs:
+        number, key, body = 0, None, glob_body(glob.as_py())
+        try:
+            for _, record in record_texts(body) if body is not None else [_refused("nothing")]:
+                key = record.get("uuid") if number == 0 else key
+                number += 1
+        except (ValueError, RecursionError):
+            number = None
+        numbers.append(number)
+        keys.append((key if number else None) or "")
+    return pa.StructArray.from_arrays([pa.array(numbers, pa.int32()), pa.array(keys, pa.string())], ["n_records", "glob_key"])
+
+
+def inflate_globs(globs: DataFrame, value: str = "value") -> DataFrame:
+    """Adds ``n_records`` and ``glob_key`` (id of the first record).
+
+    ``n_records`` is NULL for a glob that cannot be expanded: not inflated whole, no JSON array, or with
+    anything in it that is no record, also by the type of a field.  The totals report counts them.  A glob may
+    be as large as a task's memory; nothing of it but these two facts leaves the function.
+    """
+    # Called nondeterministic, it is evaluated once and not again in filters on its result.
+    facts = globs.withColumn("_facts", _glob_facts.asNondeterministic()(F.col(value)))
+    return facts.select(*globs.columns, "_facts.n_records", "_facts.glob_key")
+
+
+#: Bytes of record texts in one Arrow batch on the way back from Python.
+BATCH_BYTES = 8 << 20
+
+
+def _records_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    batch_of = lambda texts: pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    for batch in batches:
+        held, size = [], 0
+        for glob in batch.column("value"):
+            body = glob_body(glob.as_py())
+            try:
+                # The whole glob is checked before its first record leaves.
+                for _ in record_texts(body) if body is not None else [_refused("nothing")]:
+                    pass
+            except (ValueError, RecursionError):
+                continue
+            for text, _ in record_texts(body):
+                held.append(text)
+                size += len(text)
+                if size > BATCH_BYTES:
+                    yield batch_of(held)
+                    held, size = [], 0
+        yield batch_of(held)
+
+
+def expand_globs(globs: DataFrame) -> DataFrame:
+    """One row per record (``record STRUCT``) of the globs (``value``) that can be expanded; the others are
+    left out, see :func:`inflate_globs`.  Records leave in batches of bounded size, whatever the size of a glob."""
+    texts = globs.select("value").mapInArrow(_records_of, "text string")
+    return texts.select(pinned(F.from_json("text", RECORD_SCHEMA)).alias("record"))
 
 
 def parse_envelope(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -78,6 +170,10 @@ def parse_envelope(lines: DataFrame, value: str = "value") -> DataFrame:
     ok = F.col("_parsed").isNotNull() & F.col("_parsed._corrupt_record").isNull() & F.ltrim(
         F.col(value)
     ).startswith("{")
+    # Only lines where a text field may hold something else are parsed again, to see whether it does.
+    whole = F.try_parse_json(F.col(value))
+    typed = [F.coalesce(F.schema_of_variant(F.try_variant_get(whole, f"$.{f}", "variant")).isin("STRING", "VOID"), F.lit(True)) for f in TEXT_FIELDS]
+    ok &= ~F.col(value).rlike(_MAYBE_NO_TEXT) | reduce(lambda a, b: a & b, typed)
     return read.select(pinned(F.when(ok, F.struct(*fields))).alias("record"))
 
 

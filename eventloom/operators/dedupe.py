@@ -11,10 +11,9 @@ def _micros(arrival: str) -> Column:
     return F.unix_micros(F.col(arrival).cast("timestamp"))
 
 
-def _survivors(
-    rows: DataFrame, key: str, arrival: str, ttl_seconds: int, tie: Column
-) -> DataFrame:
-    """First row of each (key, slice of one TTL) not within a TTL of an earlier sighting.
+def _settled(rows: DataFrame, key: str, arrival: str, ttl_seconds: int, tie: Column, row: Column) -> DataFrame:
+    """``_key, _row, _seen, _fresh`` of each (key, slice of one TTL) with sightings: how many, and whether the
+    first, whose ``row`` it is, is not within a TTL of an earlier one.
 
     Two sightings inside one slice are less than a TTL apart, so only the first of a slice
     can survive, and only the slice before it can suppress it.  Each row therefore goes
@@ -22,8 +21,6 @@ def _survivors(
     settles both.  It combines before the shuffle, and a hot key is spread over its slices.
     """
     ttl = ttl_seconds * 1_000_000
-    everything = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    empty = F.when(F.lit(False), everything)
     no_time = F.lit(None).cast("bigint")
     at = F.col("_at")
     entry = lambda shift, row, seen, note: F.struct(
@@ -34,17 +31,38 @@ def _survivors(
         .withColumn("_tie", tie)
         .select(
             F.col(key).alias("_key"), "_tie",
-            F.explode(F.array(entry(0, everything, at, no_time), entry(1, empty, no_time, at))).alias("_e"),
+            F.explode(F.array(entry(0, row, at, no_time), entry(1, F.when(F.lit(False), row), no_time, at))).alias("_e"),
         )
         .select("_key", "_tie", "_e.*")
     )
     settled = both.groupBy("_key", "_slice").agg(
         F.min_by("_row", F.when(F.col("_seen").isNotNull(), F.struct("_seen", "_tie"))).alias("_row"),
-        F.min("_seen").alias("_first"),
-        F.max("_note").alias("_before"),
+        F.min("_seen").alias("_first"), F.max("_note").alias("_before"), F.count("_seen").alias("_n"),
     )
     fresh = F.col("_before").isNull() | (F.col("_first") - F.col("_before") > ttl)
-    return settled.where(F.col("_first").isNotNull() & fresh).select("_row.*")
+    return settled.where("_n > 0").select("_key", "_row", F.col("_n").alias("_seen"), fresh.alias("_fresh"))
+
+
+def _survivors(rows: DataFrame, key: str, arrival: str, ttl_seconds: int, tie: Column) -> DataFrame:
+    """First row of each slice that is not within a TTL of an earlier sighting."""
+    everything = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return _settled(rows, key, arrival, ttl_seconds, tie, everything).where("_fresh").select("_row.*")
+
+
+def repeat_counts(
+    rows: DataFrame, counted: Column, key: str = "glob_key", arrival: str = "arrival", ttl_seconds: int = DEFAULT_TTL_SECONDS
+) -> DataFrame:
+    """``seen, fresh, others``: sightings among the ``counted`` rows, those ``dedupe_globs`` would keep, and the
+    rows that don't count, in one pass without any payload."""
+    own, other = F.monotonically_increasing_id(), "\x00other"
+    name = F.when(F.col(arrival).isNull(), F.concat(F.lit("\x00\x00"), own.cast("string"))).otherwise(_own_key(key, own))
+    mark = F.when(counted, name).otherwise(F.concat(F.lit(other), (own % 1024).cast("string")))
+    keyed = rows.select(mark.alias("_dedupe_key"), F.col(arrival).alias("arrival"))
+    settled = _settled(keyed, "_dedupe_key", "arrival", ttl_seconds, F.lit(0).cast("bigint"), F.lit(0))
+    real = ~F.col("_key").startswith(other)
+    return settled.agg(
+        F.coalesce(F.sum(F.when(real, F.col("_seen"))), F.lit(0)).alias("seen"), F.count_if(real & F.col("_fresh")).alias("fresh"),
+        F.coalesce(F.sum(F.when(~real, F.col("_seen"))), F.lit(0)).alias("others"))
 
 
 def _own_key(key: str, row: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.operators.classify import EDGE_TYPES, PANICKED, WRITTEN, outcomes, status_text
+from eventloom.operators.dedupe import DEFAULT_TTL_SECONDS, repeat_counts
 
 
 def status_counts(rows: DataFrame) -> DataFrame:
@@ -89,16 +90,10 @@ def edge_type_mismatch(rows: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
-def glob_totals(inflated: DataFrame, kept: DataFrame) -> DataFrame:
-    """Globs read, failed and suppressed as repeats."""
-    read = inflated.agg(
-        F.count_if(F.size("records") > 0).alias("read"),
-        F.count_if(F.col("records").isNull()).alias("failed"),
-    )
-    out = kept.agg(F.count_if(F.size("records") > 0).alias("kept"))
-    return (
-        read.withColumn("kept", F.lit(None).cast("bigint"))
-        .unionByName(out.select(F.lit(None).cast("bigint").alias("read"), F.lit(None).cast("bigint").alias("failed"), "kept"))
-        .agg(F.max("read").alias("read"), F.max("failed").alias("failed"),
-             (F.max("read") - F.max("kept")).alias("duplicate"))
-    )
+def glob_totals(inflated: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS) -> DataFrame:
+    """Globs read, failed and suppressed as repeats, in one pass over ``n_records, glob_key, arrival``."""
+    facts = inflated.where("n_records is null or n_records > 0")
+    counts = repeat_counts(facts, F.col("n_records").isNotNull(), ttl_seconds=ttl_seconds)
+    return counts.select(
+        F.col("seen").alias("read"), F.col("others").alias("failed"), (F.col("seen") - F.col("fresh")).alias("duplicate"))
+

@@ -66,7 +66,7 @@ def decode_globs(globs: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS) -> Da
     """
     keyed = inflate_globs(globs.select("value", "arrival")).select("value", "arrival", "glob_key")
     kept = dedupe_globs(keyed, ttl_seconds=ttl_seconds)
-    return explode_events(expand_globs(inflate_globs(kept)))
+    return explode_events(expand_globs(kept))
 
 
 def collate_globs(globs: DataFrame, schemas: dict[str, TableSchema], lookups: Lookups = Lookups(), **options) -> DataFrame:

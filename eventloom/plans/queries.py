@@ -552,9 +552,7 @@ def glob_totals(spark, sf_dir):
     globs = events(spark, sf_dir).select("event_id", "ts", record.alias("_record")).withColumn(
         "_glob", deflate_text("_record")
     ).select(glob.alias("value"), F.col("ts").cast("timestamp").alias("arrival"))
-    inflated = decode.inflate_globs(globs)
-    kept = dedupe_globs(inflated, ttl_seconds=6 * 3600)
-    return reports.glob_totals(inflated, kept)
+    return reports.glob_totals(decode.inflate_globs(globs), 6 * 3600)
 
 
 @query

@@ -54,7 +54,7 @@ class CollateStream:
     on_batch: list[Callable[[DataFrame, int], None]] = field(default_factory=list)
 
     def _events(self, batch: DataFrame) -> DataFrame:
-        return decode_edge_log(batch) if self.lines else explode_events(expand_globs(inflate_globs(batch.select("value"))))
+        return decode_edge_log(batch) if self.lines else explode_events(expand_globs(batch))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

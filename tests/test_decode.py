@@ -71,13 +71,48 @@ def test_globs(spark):
     lone_object = deflate(json.dumps(record("")).encode())
     data = [(one,), (bad_version,), (cut,), (deflate(b"[]"),), (lone_object,), (b"",), (None,), (deflate(b"[1"),)]
     inflated = inflate_globs(spark.createDataFrame(data, "value binary"))
-    seen = inflated.select("glob_key", F.size("records").alias("n")).collect()
-    assert sorted((r.glob_key, r.n) for r in seen if r.n is not None and r.n >= 0) == [("", 0), ("x", 2)]
+    seen = inflated.select("glob_key", "n_records").collect()
+    assert sorted((r.glob_key, r.n_records) for r in seen if r.n_records is not None) == [("", 0), ("x", 2)]
     events = explode_events(expand_globs(inflated)).select("uuid", "event").collect()
     assert sorted(map(tuple, events)) == [("x", "login"), ("y", "login")]
 
 
+def test_globs_with_wrong_parts_are_counted_as_failed(spark):
+    """One bad record fails its glob: by a type, by what is no object, by broken JSON anywhere."""
+    good = record(encode(LOGIN), uuid="x")
+    bodies = [json.dumps(list(rows)) for rows in (
+        [good, {**good, "uuid": 5}], [good, {**good, "data": ["a"]}], [{**good, "recordversion": "3"}], [good, 7], [None], [[good]],
+        [{**good, "uuid": None, "other": {"uuid": 5}}], [good] * 3)]
+    bodies += ['[{"uuid":"x"},]', '[{"uuid":"x"}] x', '[{"uuid":"x"', '[{"uuid":NaN}]', '[{"uuid":"x"} {"uuid":"y"}]', " \n[ ] ", "[" * 100_000]
+    inflated = inflate_globs(spark.createDataFrame([(i, deflate(b.encode())) for i, b in enumerate(bodies)], "i int, value binary"))
+    found = {r.i: (r.n_records, r.glob_key) for r in inflated.collect() if r.n_records is not None}
+    assert found == {6: (1, ""), 7: (3, "x"), 13: (0, "")}
+    assert expand_globs(inflated).count() == 4
+
+
+def test_large_globs_are_expanded_whole(spark):
+    """A glob of 200 MB of records, over what a VARIANT may hold, beside a broken one of that size."""
+    big = json.dumps(record(encode(LOGIN), uuid="u", userAgent="a" * 2000))
+    n = 200_000_000 // len(big)
+    body = "[" + ",".join([big] * n) + "]"
+    globs = spark.createDataFrame([(deflate(body.encode()),), (deflate((body[:-1] + ",1]").encode()),)], "value binary")
+    facts = inflate_globs(globs).select("n_records", "glob_key").collect()
+    assert sorted(facts, key=str) == sorted([(n, "u"), (None, "")], key=str)
+    assert expand_globs(globs).where("record.uuid = 'u'").count() == n
+
+
+def test_text_fields_of_lines_hold_text(lines):
+    rows = [record(encode(LOGIN), uuid="a"), record(encode(LOGIN), uuid=5), record(encode(LOGIN), uuid=None), record(7),
+            record(encode(LOGIN), uuid="b", extra={"uuid": 5}), record(encode(LOGIN), userAgent={"a": 1}, uuid="c")]
+    found = decode_edge_log(lines(*rows), "drop").collect()
+    assert sorted(r.uuid for r in found) in (["", "a", "b"], ["a", "b", "error"])
+
+
 def test_inflates_only_once(spark):
-    plan = explode_events(expand_globs(inflate_globs(spark.createDataFrame([(b"",)], "value binary"))))
+    plan = explode_events(expand_globs(spark.createDataFrame([(b"",)], "value binary")))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("ArrowEvalPython") == 1 and text.count("from_json") == 1
+    assert text.count("MapInArrow") == 1 and "ArrowEvalPython" not in text and text.count("from_json") == 1
+    from eventloom.operators.reports import glob_totals
+
+    globs = spark.createDataFrame([(b"", None)], "value binary, arrival timestamp")
+    assert glob_totals(inflate_globs(globs))._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
