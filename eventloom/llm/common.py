@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -92,10 +93,20 @@ def word_codes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndar
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = 2 << 20):
-    """The batch in slices of about ``most`` bytes of text, at least one row each."""
+    """The batch in slices of about ``most`` bytes of text, at least one row each. Workers serve one stage after
+    the other, so what the batch took is given back at its end instead of adding up."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at = 0
     while at < batch.num_rows:
         n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), most, side="right")))
         yield batch.slice(at, n)
         at += n
+    give_back()
+
+
+def give_back() -> None:
+    """Unused memory of this worker back to the system, as far as its allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import documents, written
+from eventloom.llm.common import documents, give_back, written
 from eventloom.llm.token_table import crc, placed, tokenized
 
 WINDOW = 2048
@@ -66,6 +66,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
                 pa.array(n[row]), pa.array(sequence), pa.array(begin - sequence * window),
                 pa.ListArray.from_arrays(pa.array(np.append(cuts, len(ids)), pa.int32()), ids),
             ], list(_PIECE))
+        give_back()
 
 
 def _gather(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
