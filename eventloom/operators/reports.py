@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.operators.classify import EDGE_TYPES, PANICKED, WRITTEN, outcomes, status_text
 from eventloom.operators.dedupe import DEFAULT_TTL_SECONDS, repeat_counts
+from eventloom.operators.ranks import exact_percentiles
 
 
 def status_counts(rows: DataFrame) -> DataFrame:
@@ -24,21 +25,22 @@ def event_success_fail(rows: DataFrame) -> DataFrame:
 
 
 def duration_by_status(rows: DataFrame, started: Column, finished: Column) -> DataFrame:
-    """Processing time per status code, in milliseconds."""
-    millis = F.unix_millis(finished) - F.unix_millis(started)
-    return rows.groupBy("status").agg(
-        F.avg(millis).alias("avg_ms"), F.max(millis).alias("max_ms"),
-        F.percentile_approx(millis, 0.99).alias("p99_ms"),
-    )
+    """Processing time per status code, in milliseconds; percentiles are exact."""
+    timed = rows.select("status", (F.unix_millis(finished) - F.unix_millis(started)).alias("_millis"))
+    ranks = exact_percentiles(timed, ["status"], F.col("_millis"), {"p50_ms": 0.5, "p99_ms": 0.99})
+    ranks = ranks.withColumnRenamed("status", "_status")
+    sums = timed.groupBy("status").agg(F.avg("_millis").alias("avg_ms"), F.max("_millis").alias("max_ms"))
+    return sums.join(ranks, F.col("status").eqNullSafe(F.col("_status")), "left").drop("_status")
 
 
 def event_age(rows: DataFrame, now: Column, received: str = "received_at") -> DataFrame:
-    """Age of events when they are processed, in seconds."""
-    age = F.unix_seconds(now) - F.unix_seconds(F.col(received).cast("timestamp"))
-    return rows.agg(
-        F.count(age).alias("n"), F.min(age).alias("min_age"), F.max(age).alias("max_age"),
-        F.percentile_approx(age, 0.5, 10000).alias("median_age"),
-    )
+    """Age of events when they are processed, in seconds; percentiles are exact."""
+    aged = rows.select((F.unix_seconds(now) - F.unix_seconds(F.col(received).cast("timestamp"))).alias("_age"))
+    ranks = exact_percentiles(aged, [], F.col("_age"), {"median_age": 0.5, "p99_age": 0.99})
+    sums = aged.agg(F.count("_age").alias("n"), F.min("_age").alias("min_age"), F.max("_age").alias("max_age"))
+    # One row each.
+    one = F.lit(1).alias("_one")
+    return sums.select("*", one).join(ranks.select("*", one), "_one", "left").drop("_one")
 
 
 def column_outcomes(rows: DataFrame) -> DataFrame:

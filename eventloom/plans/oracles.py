@@ -159,12 +159,16 @@ SELECT {UUID} AS uuid, concat('{{"event":"', event_type, '","properties":',
 FROM filed WHERE status = 2"""
 
 ORACLES["event_age"] = f"""
-SELECT count(*) AS n, min(a) AS min_age, max(a) AS max_age
-FROM (SELECT epoch_us(TIMESTAMP '2024-02-01 00:00:00') // 1000000 - {SECONDS} AS a FROM events)"""
+WITH a AS (SELECT epoch_us(TIMESTAMP '2024-02-01 00:00:00') // 1000000 - {SECONDS} AS a FROM events),
+r AS (SELECT a, row_number() OVER (ORDER BY a) AS i, count(*) OVER () AS n FROM a)
+SELECT count(*) AS n, min(a) AS min_age, max(a) AS max_age, min(a) FILTER (i >= n * 0.5) AS median_age, min(a) FILTER (i >= n * 0.99) AS p99_age
+FROM r"""
 
 ORACLES["duration_by_status"] = """
-SELECT CAST(event_id % 4 AS INTEGER) AS status, avg(event_id % 977) AS avg_ms, max(event_id % 977) AS max_ms
-FROM events GROUP BY 1"""
+WITH d AS (SELECT CAST(event_id % 4 AS INTEGER) AS status, event_id % 977 AS ms FROM events),
+r AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY status) AS n FROM d WINDOW w AS (PARTITION BY status ORDER BY ms))
+SELECT status, avg(ms) AS avg_ms, max(ms) AS max_ms, min(ms) FILTER (i >= n * 0.5) AS p50_ms, min(ms) FILTER (i >= n * 0.99) AS p99_ms
+FROM r GROUP BY status"""
 
 FIELDS = f"""
 WITH f AS (SELECT event_id, {TIME_TEXT} AS time_utc, CAST(user_id AS VARCHAR) AS user_id,

@@ -293,7 +293,7 @@ def untracked_events(spark, sf_dir):
 def event_age(spark, sf_dir):
     lines = d.event_lines(events(spark, sf_dir), "props")
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    return reports.event_age(decode.decode_edge_log(lines), now).select("n", "min_age", "max_age")
+    return reports.event_age(decode.decode_edge_log(lines), now)
 
 
 @query
@@ -302,7 +302,7 @@ def duration_by_status(spark, sf_dir):
         (F.col("event_id") % 4).cast("int").alias("status"), F.col("ts").cast("timestamp").alias("started"),
         F.expr("CAST(ts AS TIMESTAMP) + make_dt_interval(0, 0, 0, (event_id % 977) / 1000)").alias("finished"),
     )
-    return reports.duration_by_status(rows, F.col("started"), F.col("finished")).select("status", "avg_ms", "max_ms")
+    return reports.duration_by_status(rows, F.col("started"), F.col("finished"))
 
 
 # ---------------------------------------------------------------- records and lines
