@@ -83,3 +83,37 @@ SELECT r.stream, coalesce(f.j, n.n + 1) - r.i AS entries,
 FROM starts s JOIN r ON s.stream = r.stream AND s.i = r.i JOIN n ON n.stream = r.stream
 LEFT JOIN following f ON f.stream = r.stream AND f.i = r.i, latest
 WHERE f.j IS NOT NULL OR r.t + r.age <= latest.t"""
+
+ORACLES["replay_tables"] = """
+WITH e AS (SELECT event_type AS event, event_id AS id, ts, date_trunc('second', ts) - INTERVAL 8 HOUR AS wall FROM events),
+w AS (SELECT *, wall BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-13' AS inside,
+        ts >= TIMESTAMP '2024-01-10 08:00:00' AND ts < TIMESTAMP '2024-01-13 08:00:00' AS logged FROM e)
+SELECT event, id, CASE WHEN inside THEN id + 1000 ELSE id END AS v, strftime(wall, '%Y-%m-%d %H:%M:%S') AS time
+FROM w WHERE NOT inside OR logged"""
+
+ORACLES["config_tables"] = """
+SELECT 'table' AS kind, n_name AS name, concat(n_nationkey % 4, ',', n_name, ',', n_name, '_b') AS value FROM nation
+UNION ALL SELECT 'event', n_name, '' FROM nation
+UNION ALL SELECT 'metadata', n_name, concat(CASE WHEN n_nationkey % 4 = 0 THEN 'comment' ELSE 'edge_type' END, ':v', n_nationkey % 4) FROM nation"""
+
+ORACLES["sink_configs"] = """
+SELECT n_nationkey * 11 AS account, CASE WHEN n_nationkey % 3 = 0 THEN 'firehose' ELSE 'stream' END AS stream_type, n_name AS stream_name,
+       CASE WHEN n_nationkey % 2 = 0 THEN 'reader' ELSE '' END AS stream_role, CAST(n_nationkey % 7 AS INTEGER) AS version
+FROM nation WHERE n_name NOT IN ('NATION_2', 'NATION_3')"""
+
+ORACLES["payload_forms"] = """
+SELECT CAST(event_id AS VARCHAR) AS uuid, event_type AS event, concat('~~~>>>???ÿþ', event_id) AS s FROM events"""
+
+ORACLES["untracked_files"] = """
+SELECT event_type AS event, count(*) AS n, CAST(sum(CAST(regexp_extract(props, '[0-9]+') AS BIGINT)) AS BIGINT) AS k
+FROM events WHERE event_type NOT IN ('view', 'click') GROUP BY 1"""
+
+ORACLES["tagged_tables"] = "SELECT -event_id AS n, event_type AS event FROM events"
+
+ORACLES["own_conversions"] = """
+SELECT CAST(event_id AS VARCHAR) AS uuid, concat('W', upper(event_type)) AS word,
+       CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS VARCHAR) ELSE CAST(n_nationkey + 500 AS VARCHAR) END AS id
+FROM events LEFT JOIN nation ON n_name = concat('NATION_', user_id % 30)"""
+
+ORACLES["warehouse_records"] = """
+SELECT 'w' AS stream, concat('{"other":"a', event_id, '"}') AS data FROM events"""

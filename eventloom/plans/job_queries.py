@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from eventloom.functions.casts import Conversion, varchar_value
 from eventloom.operators.batches import exact_batches
+from eventloom.operators.decode import decode_edge_log
 from eventloom.operators.pack import deflate_text
+from eventloom.operators.schemas import load_schemas, register_conversion, register_mapping
+from eventloom.operators.streams import StreamConfig, StreamEvent
 from eventloom.plans import derived as d
 from eventloom.plans.pipeline import Sinks, stream_records
-from eventloom.plans.replay import replace_window_table
 from eventloom.plans.queries import (
     EVENT_TYPES, RECORD_COLUMNS, RECORD_PROPS, WINDOW, collated, events, query, schema,
 )
+from eventloom.plans.replay import replace_window_table, replay
 from eventloom.session import shared_folder
+from eventloom.sinks.tables import load_tsv, table_folder, write_tables, write_untracked
 from eventloom.sinks.versioned import VersionedTable
-from eventloom.sources.configs import read_sink_configs
+from eventloom.sources.configs import read_event_metadata, read_sink_configs, read_table_schemas, schema_events
+from eventloom.sources.files import folder_names, set_modified
 from eventloom.streaming.groups import age_millis, grouped_by_age
 from eventloom.streaming.sink_table import SinkTable
 from eventloom.streaming.stream import CollateStream, Refreshable
@@ -186,3 +193,151 @@ def stream_age_groups(spark, sf_dir):
         job.start().awaitTermination()
     groups = spark.read.parquet(f"{folder}/groups")
     return groups.select("stream", F.col("entries").cast("long").alias("entries"), "bytes", "closed_by", F.get("value", F.lit(0)).alias("first_entry"))
+
+
+# ---------------------------------------------------------------- replay
+
+#: In the wall clock of replay windows; its ends are ends of log files.
+REPLAY_WINDOW = (datetime(2024, 1, 10), datetime(2024, 1, 13))
+FILE_HOURS = 8
+REPLAY_COLUMNS = [("time", "time", "f@timestamp@unix"), ("id", "id", "bigint"), ("v", "v", "bigint")]
+
+
+def _write_logs(rows: DataFrame, path: str) -> None:
+    """Gzip log files of eight hours each in folders by day, last written when their hours ended."""
+    spark, hour = rows.sparkSession, F.hour("ts")
+    lines = rows.select(
+        F.date_format("ts", "yyyyMMdd").alias("day"), F.floor(hour / FILE_HOURS).cast("int").alias("part"),
+        d.edge_line(d.payload(F.expr("concat('{\"id\":', CAST(event_id AS STRING), ',\"v\":', CAST(event_id + 1000 AS STRING), '}')"))).alias("value"))
+    lines.repartition("day", "part").write.option("compression", "gzip").partitionBy("day", "part").text(path)
+    for day in folder_names(spark, path):
+        if not day.startswith("day="):
+            continue
+        for part in folder_names(spark, f"{path}/{day}"):
+            ended = datetime.strptime(day, "day=%Y%m%d").replace(tzinfo=timezone.utc) + timedelta(
+                hours=FILE_HOURS * (int(part.removeprefix("part=")) + 1), seconds=-1)
+            set_modified(spark, f"{path}/{day}/{part}", ended)
+
+
+@query
+def replay_tables(spark, sf_dir):
+    """Three days of raw logs transformed again and put in the place of those days, in the tables of all events."""
+    folder, rows = _run_folder(spark, "replay"), events(spark, sf_dir)
+    schemas = schema(REPLAY_COLUMNS)
+    _write_logs(rows, f"{folder}/log")
+    old = rows.select(
+        F.convert_timezone(F.lit("UTC"), F.lit("America/Los_Angeles"), F.date_trunc("second", "ts").cast("timestamp_ntz")).alias("time"),
+        F.col("event_id").alias("id"), F.col("event_id").alias("v"), "event_type")
+    for name in schemas:
+        VersionedTable(f"{folder}/tables/{name}").append(old.where(F.col("event_type") == name).drop("event_type"))
+    done = replay(spark, *REPLAY_WINDOW, None, schemas=schemas, log_path=f"{folder}/log", output_path=f"{folder}/out",
+                  target_path=f"{folder}/tables", run_tag="run")
+    failed = [r.error for r in done if r.error]
+    if failed:
+        raise RuntimeError(failed[0])
+    tables = [VersionedTable(f"{folder}/tables/{n}").read(spark).withColumn("event", F.lit(n)) for n in schemas]
+    return reduce(DataFrame.unionByName, tables).select("event", "id", "v", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"))
+
+
+# ---------------------------------------------------------------- configuration, payload forms, side outputs
+
+
+def _config_file(rows: DataFrame, entry: Column, path: str) -> str:
+    """A JSON array with an entry per row of a configuration."""
+    rows.select(F.to_json(F.collect_list(entry)).alias("value")).coalesce(1).write.text(path)
+    return path
+
+
+@query
+def config_tables(spark, sf_dir):
+    """Table schemas, their events and event metadata from files: a table for every nation."""
+    folder, nation = _run_folder(spark, "config"), d.table(spark, sf_dir, "nation")
+    column = lambda i, o, t: F.struct(
+        i.alias("InboundName"), o.alias("OutboundName"), F.lit(t).alias("Transformer"), F.lit("").alias("ColumnCreationOptions"),
+        F.lit("").alias("SupportingColumns"))
+    name, number = F.col("n_name"), (F.col("n_nationkey") % 4).cast("int")
+    columns = F.array(column(F.lit("a"), name, "int"), column(F.lit("b"), F.concat(name, F.lit("_b")), "varchar"))
+    entry = F.struct(name.alias("EventName"), number.alias("Version"), columns.alias("Columns"))
+    read = read_table_schemas(spark, _config_file(nation, entry, f"{folder}/schemas"))
+    compiled = load_schemas(read)
+    tables = read.select(F.lit("table").alias("kind"), F.col("EventName").alias("name"), F.concat_ws(
+        ",", F.col("Version").cast("string"), F.transform("Columns", lambda c: c["OutboundName"])).alias("value"))
+    listed = schema_events(read).where(F.col("event").isin(list(compiled))).select(F.lit("event").alias("kind"), F.col("event").alias("name"), F.lit("").alias("value"))
+    kind = F.when(number == 0, "comment").otherwise("edge_type")
+    types = F.map_from_arrays(F.array(kind), F.array(F.struct(F.concat(F.lit("v"), number.cast("string")).alias("MetadataValue"), number.alias("Version"))))
+    metadata = nation.select(F.to_json(F.map_from_entries(F.collect_list(F.struct(name, types)))).alias("value"))
+    metadata.coalesce(1).write.text(f"{folder}/metadata")
+    told = read_event_metadata(spark, f"{folder}/metadata").select(
+        F.lit("metadata").alias("kind"), F.col("event").alias("name"), F.concat_ws(":", "metadata_type", "metadata_value").alias("value"))
+    return tables.unionByName(listed).unionByName(told)
+
+
+@query
+def sink_configs(spark, sf_dir):
+    """Sinks from a file, a stream for every nation, less those that are fixed."""
+    nation, key = d.table(spark, sf_dir, "nation"), F.col("n_nationkey")
+    settings = F.struct(
+        F.col("n_name").alias("StreamName"), F.when(key % 2 == 0, "reader").otherwise("").alias("StreamRole"),
+        F.when(key % 3 == 0, "firehose").otherwise("stream").alias("StreamType"))
+    entry = F.struct((key * 11).alias("AWSAccount"), (key % 7).cast("int").alias("Version"), settings.alias("Whatever"))
+    path = _config_file(nation, entry, f"{_run_folder(spark, 'sinks')}/sinks")
+    fixed = [StreamConfig("NATION_2", role="reader"), StreamConfig("NATION_4", role="other"), StreamConfig("NATION_3", "firehose")]
+    return read_sink_configs(spark, path, fixed).drop("settings")
+
+
+@query
+def payload_forms(spark, sf_dir):
+    """Payloads in plain and URL-safe base64, with blanks for plus signs, and escaped."""
+    text = F.concat(F.lit("~~~>>>???ÿþ"), F.col("event_id").cast("string"))
+    body = F.to_json(F.struct(F.col("event_type").alias("event"), F.struct(text.alias("s")).alias("properties")))
+    plain = F.base64(body.cast("binary"))
+    form = F.col("event_id") % 4
+    data = F.when(form == 0, plain).when(form == 1, F.translate(plain, "+/", "-_")).when(form == 2, F.replace(plain, F.lit("+"), F.lit(" "))).otherwise(
+        F.url_encode(plain))
+    line = F.to_json(F.struct(
+        F.lit("2024-01-01T00:00:00Z").alias("receivedAt"), F.col("event_id").cast("string").alias("uuid"), data.alias("data")))
+    found = decode_edge_log(events(spark, sf_dir).select(line.alias("value")))
+    return found.select("uuid", "event", F.try_variant_get("properties", "$.s", "string").alias("s"))
+
+
+@query
+def untracked_files(spark, sf_dir):
+    """Untracked events written to files and read back."""
+    rows = collated(spark, sf_dir, "props", [("k", "k", "int")], tracked=["view", "click"])
+    path = write_untracked(rows, f"{_run_folder(spark, 'untracked')}/files", rows_per_file=1000)
+    dumped = spark.read.text(path)
+    return dumped.groupBy(F.get_json_object("value", "$.event").alias("event")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("value", "$.properties.k").cast("long")).alias("k"))
+
+
+@query
+def tagged_tables(spark, sf_dir):
+    """Two runs under tags of their own; loading one leaves the other out."""
+    folder, tables = f"{_run_folder(spark, 'tagged')}/tables", schema([("n", "n", "bigint")])
+    for tag, factor in (("first", 1), ("second", -1)):
+        props = f"concat('{{\"n\":', CAST(event_id * {factor} AS STRING), '}}')"
+        write_tables(collated(spark, sf_dir, props, [("n", "n", "bigint")]), folder, run_tag=tag)
+    loaded = [load_tsv(spark, table_folder(f"{folder}/run_tag=second", t), t).withColumn("event", F.lit(n)) for n, t in tables.items()]
+    return reduce(DataFrame.unionByName, loaded)
+
+
+@query
+def own_conversions(spark, sf_dir):
+    """A registered conversion and a registered mapping with its own dimension."""
+    register_conversion("shouted", Conversion("string", lambda raw, kind: F.upper(varchar_value(raw, kind))))
+    register_mapping("nationMapping", "nations")
+    nations = d.table(spark, sf_dir, "nation").select(F.col("n_name").alias("login"), (F.col("n_nationkey") + 500).alias("user_id"))
+    props = ("concat('{\"word\":\"w', event_type, '\",\"id\":', CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS STRING) ELSE '\"\"' END, "
+             "',\"nation\":\"NATION_', CAST(user_id % 30 AS STRING), '\"}')")
+    rows = collated(spark, sf_dir, props, [("word", "word", "shouted"), ("id", "id", "nationMapping", "nation")],
+                    lookups={"dimensions": {"nations": nations}})
+    return rows.select("uuid", F.get("cells", F.lit(0)).alias("word"), F.get("cells", F.lit(1)).alias("id"))
+
+
+@query
+def warehouse_records(spark, sf_dir):
+    """Flat records of a warehouse stream: NUL characters are taken out of the values."""
+    props = "concat('{\"other\":\"a', chr(92), 'u0000', CAST(event_id AS STRING), chr(92), 'u0000\"}')"
+    rows = collated(spark, sf_dir, props, [("other", "other", "varchar")])
+    stream = StreamConfig("w", "firehose", warehouse=True, events={e: StreamEvent(("other",)) for e in EVENT_TYPES})
+    return stream_records(rows, Sinks(streams=[stream])).select("stream", F.regexp_replace("value", r"\n$", "").alias("data"))

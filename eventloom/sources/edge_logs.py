@@ -113,7 +113,7 @@ def _reader(spark: SparkSession, path: str, start: datetime, end: datetime, day_
         return reader.text(path)
     days = [f"{day_column}={d}" for d in edge_log_days(start, end)]
     folders = [f"{path}/{d}" for d in days if d in names]
-    return reader.text(folders) if folders else None
+    return reader.option("basePath", path).text(folders) if folders else None
 
 
 def read_edge_log(

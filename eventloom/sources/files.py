@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -63,3 +64,10 @@ def write_new_file(spark: SparkSession, path: str, text: str) -> bool:
             return False
         raise
     return True
+
+
+def set_modified(spark: SparkSession, path: str, when: datetime) -> None:
+    """Modification time of the files of a folder, as a copy of other files would keep it."""
+    folder, system = _system(spark, path)
+    for status in system.listStatus(folder):
+        system.setTimes(status.getPath(), int(when.timestamp() * 1000), -1)
