@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventloom.functions import text
 from eventloom.functions.casts import bigint_value
 from eventloom.functions.variants import is_object, let, pinned, prop, string_only, to_variant, type_of
+from eventloom.operators.addresses import AddressTable, address_lookup, prepare_addresses
 from eventloom.operators.lookups import (
     KeyTable, RangeTable, left_lookup, prepare_keys, prepare_ranges, range_lookup,
 )
@@ -101,8 +102,11 @@ def prepare_logins(logins: DataFrame, **limits) -> KeyTable:
     return prepare_keys(unique, "login", ["user_id"], **limits)
 
 
-def prepare_blocks(blocks: DataFrame, table: str, **limits) -> RangeTable:
-    """Address blocks for ``geo`` or ``asn`` lookups."""
+def prepare_blocks(blocks: DataFrame, table: str, **limits) -> RangeTable | AddressTable:
+    """Address blocks for ``geo`` or ``asn`` lookups: disjoint IPv4 ranges of numbers, or blocks of either
+    family with the keys of ``address_blocks``, which may be nested."""
+    if "lo" in blocks.columns:
+        return prepare_addresses(blocks, ADDRESS_VALUES[table], **limits)
     return prepare_ranges(blocks, ADDRESS_VALUES[table], **limits)
 
 
@@ -110,8 +114,8 @@ def attach_lookups(
     rows: DataFrame,
     schemas: dict[str, TableSchema],
     *,
-    geo: DataFrame | RangeTable | None = None,
-    asn: DataFrame | RangeTable | None = None,
+    geo: DataFrame | RangeTable | AddressTable | None = None,
+    asn: DataFrame | RangeTable | AddressTable | None = None,
     logins: DataFrame | KeyTable | None = None,
     dimensions: dict[str, DataFrame | KeyTable] | None = None,
     **limits,
@@ -131,7 +135,8 @@ def attach_lookups(
         if keys and blocks is not None:
             if isinstance(blocks, DataFrame):
                 blocks = prepare_blocks(blocks, table, **limits)
-            rows = range_lookup(rows, blocks, keys, spread)
+            find = address_lookup if isinstance(blocks, AddressTable) else range_lookup
+            rows = find(rows, blocks, keys, spread)
         else:
             fields = ", ".join(f"{f} string" for f in ADDRESS_VALUES[table])
             for name in keys:

@@ -117,3 +117,16 @@ FROM events LEFT JOIN nation ON n_name = concat('NATION_', user_id % 30)"""
 
 ORACLES["warehouse_records"] = """
 SELECT 'w' AS stream, concat('{"other":"a', event_id, '"}') AS data FROM events"""
+
+ORACLES["geo_both_families"] = """
+WITH a AS (SELECT event_id, user_id % 30 AS k, event_id % 256 AS b, event_id % 3 = 0 AS four FROM events),
+f AS (SELECT a.*, n_name FROM a LEFT JOIN nation ON k = n_nationkey)
+SELECT CAST(event_id AS VARCHAR) AS uuid,
+  CASE WHEN four AND n_name IS NULL THEN ''
+       WHEN four AND k % 2 = 0 AND b BETWEEN 64 AND 200 THEN concat(n_name, '_in')
+       WHEN four THEN n_name
+       WHEN n_name IS NULL THEN 'ALL'
+       WHEN b >= 128 THEN concat(n_name, '_deep')
+       ELSE concat(n_name, '_six') END AS city,
+  (SELECT count(*) FROM nation WHERE n_nationkey % 2 = 1) AS unreadable
+FROM f"""

@@ -10,6 +10,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions.casts import Conversion, varchar_value
+from eventloom.operators.addresses import address_blocks
 from eventloom.operators.batches import exact_batches
 from eventloom.operators.decode import decode_edge_log
 from eventloom.operators.pack import deflate_text
@@ -341,3 +342,31 @@ def warehouse_records(spark, sf_dir):
     rows = collated(spark, sf_dir, props, [("other", "other", "varchar")])
     stream = StreamConfig("w", "firehose", warehouse=True, events={e: StreamEvent(("other",)) for e in EVENT_TYPES})
     return stream_records(rows, Sinks(streams=[stream])).select("stream", F.regexp_replace("value", r"\n$", "").alias("data"))
+
+
+# ---------------------------------------------------------------- addresses of both families
+
+
+@query
+def geo_both_families(spark, sf_dir):
+    """Client addresses of both families in nested blocks, the most specific wins; unreadable blocks are counted."""
+    key, name = F.col("n_nationkey"), F.col("n_name")
+    dec, six = key.cast("string"), F.lower(F.hex(key))
+    block = lambda first, last, city: F.struct(first.alias("start_ip"), last.alias("end_ip"), city.alias("city"))
+    none = F.lit(None).cast("string")
+    blocks = F.array(
+        block(F.concat(F.lit("10."), dec, F.lit(".0.0/16")), none, name),
+        block(F.concat(F.lit("10."), dec, F.lit(".64.0")), F.when(key % 2 == 0, F.concat(F.lit("10."), dec, F.lit(".200.255"))).otherwise("10.x"),
+              F.concat(name, F.lit("_in"))),
+        block(F.concat(F.lit("2001:db8:"), six, F.lit("::/48")), none, F.concat(name, F.lit("_six"))),
+        block(F.concat(F.lit("2001:db8:"), six, F.lit(":80::/57")), none, F.concat(name, F.lit("_deep"))))
+    raw = d.table(spark, sf_dir, "nation").select(F.explode(blocks).alias("b")).select("b.*")
+    whole = spark.createDataFrame([("2001:db8::/32", None, "ALL")], raw.schema)
+    readable, unreadable = address_blocks(raw.unionByName(whole))
+    geo = readable.select("lo", "hi", "city", F.lit("").alias("region"), F.lit("").alias("country"))
+    place, part = F.col("user_id") % 30, F.col("event_id") % 256
+    four = F.concat_ws(".", F.lit("10"), place.cast("string"), part.cast("string"), F.lit("7"))
+    address = F.when(F.col("event_id") % 3 == 0, four).otherwise(
+        F.concat(F.lit("2001:DB8:"), F.hex(place), F.lit(":"), F.hex(part), F.lit("::9")))
+    rows = collated(spark, sf_dir, "'{}'", [("ip", "city", "ipCity")], lookups={"geo": geo}, client_ip=address)
+    return rows.select("uuid", F.get("cells", F.lit(0)).alias("city"), F.lit(unreadable.count()).cast("long").alias("unreadable"))
