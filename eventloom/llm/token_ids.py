@@ -18,7 +18,7 @@ from eventloom.llm.common import word_codes
 
 END_ID = 1
 #: Words kept per Python worker, about 80 MB; a full memory keeps the half that was met most often.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 200_000
 
 #: Runs that the pre-tokenizer cuts as they are: letters in NFC and lower case, and punctuation
 #: without the apostrophe, which may start a contraction.
