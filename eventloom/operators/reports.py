@@ -38,9 +38,9 @@ def event_age(rows: DataFrame, now: Column, received: str = "received_at") -> Da
     aged = rows.select((F.unix_seconds(now) - F.unix_seconds(F.col(received).cast("timestamp"))).alias("_age"))
     ranks = exact_percentiles(aged, [], F.col("_age"), {"median_age": 0.5, "p99_age": 0.99})
     sums = aged.agg(F.count("_age").alias("n"), F.min("_age").alias("min_age"), F.max("_age").alias("max_age"))
-    # One row each.
-    one = F.lit(1).alias("_one")
-    return sums.select("*", one).join(ranks.select("*", one), "_one", "left").drop("_one")
+    # One row each, put side by side.
+    both = sums.unionByName(ranks, allowMissingColumns=True)
+    return both.agg(*(F.max(c).alias(c) for c in both.columns))
 
 
 def column_outcomes(rows: DataFrame) -> DataFrame:
