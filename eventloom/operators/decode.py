@@ -14,7 +14,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from eventloom.functions.payload import payload_text, with_payload_items
-from eventloom.functions.variants import pinned, prop, string_only
+from eventloom.functions.variants import let, pinned, prop, string_only
 
 GLOB_VERSION = 1
 UNKNOWN_EVENT = "Unknown"
@@ -170,10 +170,11 @@ def parse_envelope(lines: DataFrame, value: str = "value") -> DataFrame:
     ok = F.col("_parsed").isNotNull() & F.col("_parsed._corrupt_record").isNull() & F.ltrim(
         F.col(value)
     ).startswith("{")
-    # Only lines where a text field may hold something else are parsed again, to see whether it does.
-    whole = F.try_parse_json(F.col(value))
-    typed = [F.coalesce(F.schema_of_variant(F.try_variant_get(whole, f"$.{f}", "variant")).isin("STRING", "VOID"), F.lit(True)) for f in TEXT_FIELDS]
-    ok &= ~F.col(value).rlike(_MAYBE_NO_TEXT) | reduce(lambda a, b: a & b, typed)
+    # Only lines where a text field may hold something else are parsed again (once), to see whether it does.
+    kind = lambda whole, f: F.schema_of_variant(whole[f])
+    typed = lambda whole: reduce(lambda a, b: a & b, [F.coalesce(kind(whole, f).isin("STRING", "VOID"), F.lit(True)) for f in TEXT_FIELDS])
+    kinds = F.from_json(F.col(value), ", ".join(f"{f} variant" for f in TEXT_FIELDS))
+    ok &= ~F.col(value).rlike(_MAYBE_NO_TEXT) | let(kinds, typed)
     return read.select(pinned(F.when(ok, F.struct(*fields))).alias("record"))
 
 
