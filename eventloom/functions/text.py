@@ -126,9 +126,14 @@ def unquote_field(field: Column) -> Column:
     return F.when(body.contains("\\"), F.array_join(parts, "\\")).otherwise(body)
 
 
+def sorted_map(record: Column) -> Column:
+    """The map with its entries in the order of their keys, which are different."""
+    return F.map_from_entries(F.sort_array(F.map_entries(record)))
+
+
 def sorted_json(record: Column) -> Column:
     """Flat map as JSON text with sorted keys."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(record))))
+    return F.to_json(sorted_map(record))
 
 
 def trim_blanks(value: Column) -> Column:

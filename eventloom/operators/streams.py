@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventloom.functions.text import sorted_json
+from eventloom.functions.text import sorted_json, sorted_map
 from eventloom.functions.variants import pinned
 from eventloom.operators.classify import WRITTEN
 
@@ -159,8 +159,7 @@ def project_stream(
 
 def compressed_entry(event: Column, fields: Column) -> Column:
     """``{"Name":…,"Fields":{…}}`` with sorted keys, the unit that is packed."""
-    ordered = F.map_from_entries(F.array_sort(F.map_entries(fields)))
-    return F.to_json(F.struct(event.alias("Name"), ordered.alias("Fields")))
+    return F.to_json(F.struct(event.alias("Name"), sorted_map(fields).alias("Fields")))
 
 
 def plain_entry(fields: Column) -> Column:
@@ -188,7 +187,7 @@ def creation_stamp(created_at: Column | None = None) -> Column:
 
 def wrap_records(
     rows: DataFrame,
-    kind: str,
+    kind: str | Sequence[str],
     data: str,
     *,
     record_id: Column | None = None,
@@ -197,26 +196,33 @@ def wrap_records(
     """Record envelopes: ``partition_key, value``.
 
     ``kind`` is ``stream`` (with creation time), ``delivery`` (creation time left empty,
-    newline at the end) or ``warehouse`` (the flat map itself, NULs removed).  ``data`` is
-    either a BINARY glob or a MAP of fields.
+    newline at the end) or ``warehouse`` (the flat map itself, NULs removed).  Of several kinds every
+    row gives an envelope each, with an id of its own unless ``record_id`` is given, from one pass over
+    the rows.  ``data`` is either a BINARY glob or a MAP of fields.
     """
+    kinds = [kind] if isinstance(kind, str) else list(kind)
+    unknown = set(kinds) - {"stream", "delivery", "warehouse"}
+    if unknown or not kinds:
+        raise ValueError(f"unknown envelope kind {sorted(unknown)}")
     is_glob = dict(rows.dtypes)[data] == "binary"
-    record_id = record_id if record_id is not None else F.uuid()
-    rows = rows.withColumn("_id", record_id)
+    if is_glob and "warehouse" in kinds:
+        raise ValueError("warehouse records hold fields, not globs")
+    ids = {f"_id{i}": record_id if record_id is not None else F.uuid() for i in range(len(kinds))}
+    content = F.base64(data) if is_glob else sorted_map(F.col(data))
+    rows = rows.select(*[c.alias(name) for name, c in ids.items()], content.alias("_content"))
+    made = [F.struct(F.col(name).alias("partition_key"), _record_text(k, F.col(name), created_at).alias("value"))
+            for name, k in zip(ids, kinds)]
+    if len(made) == 1:
+        return rows.select(made[0].alias("r")).select("r.*")
+    return rows.select(F.explode(F.array(*made)).alias("r")).select("r.*")
+
+
+def _record_text(kind: str, record_id: Column, created_at: Column | None) -> Column:
+    """One record of ``_content``: the base64 text of a glob, or fields in order."""
+    content = F.col("_content")
     if kind == "warehouse":
-        if is_glob:
-            raise ValueError("warehouse records hold fields, not globs")
-        value = F.concat(sorted_json(strip_nuls(F.col(data))), F.lit("\n"))
-    elif kind in ("stream", "delivery"):
-        stamp = F.lit("") if kind == "delivery" else creation_stamp(created_at)
-        payload = F.base64(data) if is_glob else F.map_from_entries(F.array_sort(F.map_entries(data)))
-        envelope = F.to_json(
-            F.struct(
-                F.col("_id").alias("UUID"), F.lit(RECORD_VERSION).alias("Version"),
-                payload.alias("Data"), stamp.alias("CreatedAt"),
-            )
-        )
-        value = F.concat(envelope, F.lit("\n")) if kind == "delivery" else envelope
-    else:
-        raise ValueError(f"unknown envelope kind {kind}")
-    return rows.select(F.col("_id").alias("partition_key"), value.alias("value"))
+        return F.concat(F.to_json(strip_nuls(content)), F.lit("\n"))
+    stamp = F.lit("") if kind == "delivery" else creation_stamp(created_at)
+    envelope = F.to_json(F.struct(
+        record_id.alias("UUID"), F.lit(RECORD_VERSION).alias("Version"), content.alias("Data"), stamp.alias("CreatedAt")))
+    return F.concat(envelope, F.lit("\n")) if kind == "delivery" else envelope
