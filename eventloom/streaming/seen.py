@@ -4,8 +4,9 @@ A stream is deduped in three steps. Each task first joins the sightings of a key
 other within the time to live into one run (its first row, the arrivals of its first and last
 sighting): only the first can survive, and any sighting within reach of the run is within reach of one
 of its members. So a hot key sends one row per run and task, not one per sighting. Then the state of a
-key, the arrival of its last sighting, settles the runs in order of arrival. A timer at the end of the time
-to live drops it once the watermark has passed. State lives in RocksDB (see ``session``), backed by the checkpoint, by key, with
+key, the arrival of its last sighting, settles the runs in order of arrival. It is dropped at the end of the time
+to live, once the watermark has passed. Keys are dealt over ``LANES`` lanes, whose state and timer are handled at
+once; a call per key took most of the time. State lives in RocksDB (see ``session``), backed by the checkpoint, by lane, with
 a version per batch: a batch that runs again, or a stream that is started again, finds what the batch
 before had left.
 """
@@ -26,46 +27,68 @@ from eventloom.operators.dedupe import DEFAULT_TTL_SECONDS
 
 #: Start of the key of a row that has none: it meets no other row and leaves no state.
 OWN = "\x00"
+#: Groups of keys whose state is read and written at once: a task is called per lane, whatever the number of keys.
+LANES = 4096
 _RUN = "glob_key string, first bigint, last bigint, tie bigint, arrived boolean, value binary"
 _KEPT = "glob_key string, first bigint, arrived boolean, value binary"
 
 
 class LastSighting(StatefulProcessor):
-    """Keeps the runs of a key that start over a time to live after its last sighting."""
+    """Keeps the runs of a key that start over a time to live after its last sighting.
+
+    The state of a lane is a list of its keys that are still within reach, so a key costs no call of its own.
+    """
 
     def __init__(self, ttl_micros: int):
         self.ttl = ttl_micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "last bigint")
+        self.seen = handle.getListState("seen", "glob_key string, last bigint")
+        self.due = handle.getValueState("due", "due bigint")
 
     def _expiry(self, last: int) -> int:
         return (last + self.ttl) // 1000 + 1
 
+    def _set(self, seen: dict[str, int]) -> None:
+        """Stores the lane's keys, with a timer at the end of the first of them."""
+        was = self.due.get()[0] if self.due.exists() else None
+        due = self._expiry(min(seen.values())) if seen else None
+        if due is None:
+            self.seen.clear()
+            self.due.clear()
+        else:
+            self.seen.put(list(seen.items()))
+            self.due.update((due,))
+        if due != was:
+            if was is not None:
+                self.handle.deleteTimer(was)
+            if due is not None:
+                self.handle.registerTimer(due)
+
     def handleInputRows(self, key, rows, timerValues):
-        # Few rows: a run per time to live and task of one micro-batch.
+        # The runs of the lane's keys in one micro-batch, in order of arrival.
         runs = pd.concat(rows).sort_values(["first", "tie"], kind="stable")
-        if key[0].startswith(OWN):
-            yield runs[["glob_key", "first", "arrived", "value"]]
-            return
-        before = self.last.get()[0] if self.last.exists() else None
-        reach, kept = None, []  # the latest sighting of the runs so far, which all start before this one
-        for first, end in zip(runs["first"].tolist(), runs["last"].tolist()):
-            again = before is not None and abs(first - before) <= self.ttl
-            again |= reach is not None and first - reach <= self.ttl
+        before = {k: last for k, last in self.seen.get()} if self.seen.exists() else {}
+        reach: dict[str, int] = {}  # the latest sighting of the key's runs so far, which all start before this one
+        kept = []
+        for name, first, end in zip(runs["glob_key"].tolist(), runs["first"].tolist(), runs["last"].tolist()):
+            if name.startswith(OWN):
+                kept.append(True)
+                continue
+            again = name in before and abs(first - before[name]) <= self.ttl
+            again |= name in reach and first - reach[name] <= self.ttl
             kept.append(not again)
-            reach = end if reach is None else max(reach, end)
-        last = reach if before is None else max(reach, before)
-        if last != before:
-            if before is not None:
-                self.handle.deleteTimer(self._expiry(before))
-            self.last.update((last,))
-            self.handle.registerTimer(self._expiry(last))
+            reach[name] = max(reach.get(name, end), end)
+        if reach:
+            self._set(before | {k: max(last, before.get(k, last)) for k, last in reach.items()})
         yield runs.loc[np.array(kept), ["glob_key", "first", "arrived", "value"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.last.clear()
+        # All keys the watermark has passed, not only the first.
+        end = max(expiredTimerInfo.getExpiryTimeInMs() + 1, timerValues.getCurrentWatermarkInMs())
+        self.due.clear()  # its timer is the one that has ended
+        self._set({k: last for k, last in self.seen.get() if self._expiry(last) >= end})
         return iter(())
 
     def close(self) -> None:
@@ -114,7 +137,8 @@ def dedupe_stream(globs: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS, dela
         F.coalesce("glob_key", F.lit("")).alias("glob_key"), F.coalesce(F.unix_micros("arrival"), F.lit(0)).alias("first"),
         F.xxhash64("value", "arrival", "glob_key").alias("tie"), F.col("arrival").isNotNull().alias("arrived"), "value")
     runs = runs_of(plain, ttl_seconds * 1_000_000)
-    kept = runs.groupBy("glob_key").transformWithStateInPandas(
+    laned = runs.withColumn("lane", F.pmod(F.xxhash64("glob_key"), F.lit(LANES)).cast("int"))
+    kept = laned.groupBy("lane").transformWithStateInPandas(
         LastSighting(ttl_seconds * 1_000_000), _KEPT, outputMode="append", timeMode="EventTime")
     own = F.col("glob_key").startswith(OWN)
     return kept.select(
