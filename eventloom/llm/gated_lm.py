@@ -11,14 +11,23 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 HIDDEN, CLASS_WORDS, SUFFIX_BUCKETS, SUFFIX_LETTERS = 16, 64, 256, 3
 WINDOW, STREAMS, RATE = 16, 64, 0.3
 LOG10 = np.log(10.0)
+#: Tokens, and sequences, that are scored at once: their numbers stay in a core's cache.
+CHUNK, TOGETHER = 4096, 512
+#: Rows of one class that are multiplied together.
+BLOCK = 16
 
 
-def suffix_bucket(word: str) -> int:
-    return zlib.crc32(word.encode()[-SUFFIX_LETTERS:]) % SUFFIX_BUCKETS
+def suffix_buckets(words: pa.Array) -> np.ndarray:
+    """Bucket of each word's last ``SUFFIX_LETTERS`` bytes."""
+    ends = pc.binary_slice(words.cast(pa.large_binary()), -SUFFIX_LETTERS).dictionary_encode()
+    buckets = np.array([zlib.crc32(end) % SUFFIX_BUCKETS for end in ends.dictionary.to_pylist()], np.int64)
+    return buckets[ends.indices.to_numpy()] if len(words) else buckets
 
 
 def fresh(counts: np.ndarray, rare: float) -> dict[str, np.ndarray]:
@@ -38,31 +47,74 @@ def fresh(counts: np.ndarray, rare: float) -> dict[str, np.ndarray]:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _advance(state: np.ndarray, a: np.ndarray, h: np.ndarray, out: tuple = (None, None, None)) -> tuple:
+    """Next state, both gates, new part and the state's part of it; all with one column per sequence, as whole gates
+    then lie together in memory. ``a`` are the input's parts of the gates, ``state`` the transposed weights of the state."""
+    g = np.matmul(state, h, out=out[0])
+    zr = np.add(a[: 2 * HIDDEN], g[: 2 * HIDDEN], out=out[1])
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
+    z, r = zr[:HIDDEN], zr[HIDDEN:]
+    n = np.multiply(r, g[2 * HIDDEN :], out=out[2])
+    n += a[2 * HIDDEN :]
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return after, z, r, n, g[2 * HIDDEN :]
 
 
 def _step(p: dict, x: np.ndarray, h: np.ndarray) -> tuple:
-    """Gates and next state for input rows ``x`` of ``input``."""
-    g = h @ p["state"]
-    a = p["input"][x]
-    zr = _sigmoid(a[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(a[:, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
-    return n + z * (h - n), z, r, n, g[:, 2 * HIDDEN :]
+    """Next state and gates for input rows ``x`` of ``input``, one row per sequence."""
+    with np.errstate(over="ignore"):  # exp of a closed gate
+        return tuple(v.T for v in _advance(p["state"].T, p["input"][x].T, h.T))
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+def _exp(logits: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray]:
+    """exp of ``logits``, in place, less their largest where they aren't ``bounded``, and what was taken off."""
+    top = np.zeros((len(logits), 1), logits.dtype) if bounded else logits.max(axis=1, keepdims=True)
+    if not bounded:
+        logits -= top
+    return np.exp(logits, out=logits), top[:, 0]
 
 
-def _by_class(kinds: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(class, positions) of the positions whose target is a vocabulary word."""
-    order = np.argsort(kinds, kind="stable")
-    found, begins = np.unique(kinds[order], return_index=True)
-    return [(int(k), own) for k, own in zip(found, np.split(order, begins[1:])) if k > 0]
+def _sums(values: np.ndarray) -> np.ndarray:
+    return values @ np.ones(values.shape[1], values.dtype)
+
+
+def _bounded(p: dict) -> tuple[bool, bool]:
+    """Whether no state, whose members lie between -1 and 1, gives a class or word logit that ``exp`` can't take."""
+    most = lambda w, b: float((np.abs(w).sum(axis=-2) + np.abs(b)).max(initial=0))
+    return most(p["class"], p["class_bias"]) < 60, most(p["word"], p["word_bias"]) < 60
+
+
+def _with_one(h: np.ndarray) -> np.ndarray:
+    """States with a last column of ones, the input of the biases."""
+    return np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
+
+
+def _outputs(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Class and word weights, each with its bias as the last row."""
+    return np.vstack([p["class"], p["class_bias"]]), np.concatenate([p["word"], p["word_bias"][:, None]], axis=1)
+
+
+def _blocks(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions whose target is a vocabulary word, class by class; their places in blocks of ``BLOCK`` rows of one
+    class (from 0); the class of each block."""
+    order = np.argsort(kinds.astype(np.int16) if kinds.max(initial=0) < 1 << 15 else kinds, kind="stable")
+    n = np.bincount(kinds, minlength=1)
+    own, n = order[n[0] :], n[1:]
+    blocks = -(-n // BLOCK)
+    shift = (np.cumsum(blocks) - blocks) * BLOCK - (np.cumsum(n) - n)
+    return own, np.arange(len(own)) + np.repeat(shift, n), np.repeat(np.arange(len(n)), blocks)
+
+
+def _in_blocks(rows: np.ndarray, slots: np.ndarray, n_blocks: int) -> np.ndarray:
+    out = np.zeros((n_blocks * BLOCK, rows.shape[1]), rows.dtype)
+    out[slots] = rows
+    return out.reshape(n_blocks, BLOCK, rows.shape[1])
 
 
 def _targets(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,45 +122,65 @@ def _targets(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(y < 0, 0, y // CLASS_WORDS + 1), y % CLASS_WORDS
 
 
-def log_probability(p: dict, h: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each target after each state."""
-    kind, place = _targets(y)
-    out = np.take_along_axis(_log_softmax(h @ p["class"] + p["class_bias"]), kind[:, None], 1)[:, 0].astype(np.float64)
-    for k, own in _by_class(kind):
-        logits = h[own] @ p["word"][k - 1] + p["word_bias"][k - 1]
-        out[own] += np.take_along_axis(_log_softmax(logits), place[own, None], 1)[:, 0]
+def log_probability(p: dict, h: np.ndarray, y: np.ndarray, outputs: tuple | None = None) -> np.ndarray:
+    """log10 of the probability of each target after each state. ``outputs`` are those of ``p`` with what ``_bounded``
+    says, for many calls."""
+    classes, words, bounded = outputs or (*_outputs(p), _bounded(p))
+    out = np.empty(len(y))
+    for a in range(0, len(y), CHUNK):
+        kind, place = _targets(y[a : a + CHUNK])
+        states = _with_one(h[a : a + CHUNK])
+        logits = states @ classes
+        found = logits[np.arange(len(kind)), kind].astype(np.float64)
+        logits, top = _exp(logits, bounded[0])
+        found -= np.log(_sums(logits)) + top
+        own, slots, of = _blocks(kind)
+        logits = np.matmul(_in_blocks(states[own], slots, len(of)), words[of]).reshape(-1, CLASS_WORDS)[slots]
+        inside = logits[np.arange(len(own)), place[own]].astype(np.float64)
+        logits, top = _exp(logits, bounded[1])
+        found[own] += inside - (np.log(_sums(logits)) + top)
+        out[a : a + CHUNK] = found
     return out / LOG10
 
 
 def score(p: dict, inputs: np.ndarray, targets: np.ndarray, offsets: np.ndarray, window: int = 32) -> np.ndarray:
     """log10 probability of each sequence i, the tokens ``offsets[i]:offsets[i + 1]``.
 
-    All sequences advance together, longest first; those that end leave. Memory is one state per
-    sequence and one window of states.
+    ``TOGETHER`` sequences of like length advance together, longest first; those that end leave.
+    Memory is one state per sequence and one window of states.
     """
     lengths = np.diff(offsets)
     order = np.argsort(-lengths, kind="stable")
-    begin, left = offsets[:-1][order], lengths[order]
     total = np.zeros(len(order))
-    h = np.zeros((len(order), HIDDEN), np.float32)
+    outputs = (*_outputs(p), _bounded(p))
+    for a in range(0, len(order), TOGETHER):
+        own = order[a : a + TOGETHER]
+        total[own] = _score_together(p, outputs, inputs, targets, offsets[:-1][own], lengths[own], window)
+    return total
+
+
+def _score_together(p: dict, outputs: tuple, inputs: np.ndarray, targets: np.ndarray, begin: np.ndarray,
+                    left: np.ndarray, window: int) -> np.ndarray:
+    """Scores of the sequences of lengths ``left``, longest first."""
+    total = np.zeros(len(left))
+    h, state = np.zeros((HIDDEN, len(left)), np.float32), np.ascontiguousarray(p["state"].T)
     rising = left[::-1]
-    active = lambda t: len(left) - int(np.searchsorted(rising, t, side="right"))
     for start in range(0, int(left.max(initial=0)), window):
+        active = (len(left) - np.searchsorted(rising, np.arange(start, start + window), side="right")).tolist()
         states, wanted, owner = [], [], []
-        for t in range(start, start + window):
-            n = active(t)
+        for t, n in enumerate(active, start):
             if not n:
                 break
             at = begin[:n] + t
-            states.append(h[:n].copy())
+            h = np.ascontiguousarray(h[:, :n])
+            states.append(h.T)
             wanted.append(targets[at])
-            owner.append(n)
-            h[:n] = _step(p, inputs[at], h[:n])[0]
-        found = log_probability(p, np.concatenate(states), np.concatenate(wanted))
-        total += np.bincount(np.concatenate([np.arange(n) for n in owner]), found, len(total))
-    out = np.empty(len(order))
-    out[order] = total
-    return out
+            owner.append(np.arange(n))
+            with np.errstate(over="ignore"):
+                h = _advance(state, np.ascontiguousarray(p["input"].take(inputs[at], axis=0).T), h)[0]
+        found = log_probability(p, np.concatenate(states), np.concatenate(wanted), outputs)
+        total += np.bincount(np.concatenate(owner), found, len(total))
+    return total
 
 
 def train(p: dict, inputs: np.ndarray, targets: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
@@ -131,9 +203,16 @@ def train(p: dict, inputs: np.ndarray, targets: np.ndarray, offsets: np.ndarray)
     h = np.zeros((streams, HIDDEN), np.float32)
     for a in range(0, steps, WINDOW):
         h, grads = _gradients(p, x[a : a + WINDOW], y[a : a + WINDOW], fresh_at[a : a + WINDOW], h, real[a : a + WINDOW])
+        rows = np.flatnonzero(np.bincount(x[a : a + WINDOW].ravel()))  # the other inputs have no gradient
         for k, g in grads.items():
-            squares[k] += g * g
-            p[k] -= RATE * g / np.sqrt(squares[k])
+            if k == "input":
+                g = g[rows]
+                square = squares[k][rows] + g * g
+                squares[k][rows] = square
+                p[k][rows] -= RATE * g / np.sqrt(square)
+            else:
+                squares[k] += g * g
+                p[k] -= RATE * g / np.sqrt(squares[k])
     return p
 
 
@@ -141,42 +220,63 @@ def _gradients(p: dict, x: np.ndarray, y: np.ndarray, first: np.ndarray, h: np.n
                real: np.ndarray | None = None) -> tuple[np.ndarray, dict]:
     """State after a window and mean gradients of -log probability over its ``real`` tokens (else all);
     the others are rare words at the ends of streams."""
-    kept = []
-    for t in range(len(x)):
-        h = np.where(first[t][:, None], np.float32(0), h)
-        after, *gates = _step(p, x[t], h)
-        kept.append((h, *gates))
-        h = after
-    flat, m = np.concatenate([k[0] for k in kept]), x.size
+    steps, m = len(x), x.size
+    keep = (~first).astype(h.dtype)
+    a = np.ascontiguousarray(p["input"].take(x.ravel(), axis=0).reshape(steps, -1, 3 * HIDDEN).transpose(0, 2, 1))
+    state, h = np.ascontiguousarray(p["state"].T), np.ascontiguousarray(h.T)
+    before, n, zr, g = (np.empty((steps, k * HIDDEN, h.shape[1]), h.dtype) for k in (1, 1, 2, 3))
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            np.multiply(h, keep[t], out=before[t])
+            h = _advance(state, a[t], before[t], (g[t], zr[t], n[t]))[0]
+    z, r, gn = zr[:, :HIDDEN], zr[:, HIDDEN:], g[:, 2 * HIDDEN :]
+    flat = _with_one(before.transpose(0, 2, 1).reshape(m, HIDDEN))
     n_real = m if real is None else int(real.sum())
     kind, place = _targets(y.ravel())
-    grads = {k: np.zeros_like(v) for k, v in p.items()}
-    d = np.exp(_log_softmax(flat @ p["class"] + p["class_bias"]))
+    classes, words = _outputs(p)
+    bounded = _bounded(p)
+    grads = {k: np.zeros_like(p[k]) for k in ("word", "word_bias")}
+    d, _ = _exp(flat @ classes, bounded[0])
+    d /= _sums(d)[:, None]
     d[np.arange(m), kind] -= 1
     if n_real < m:
         d[~real.ravel()] = 0
     d /= n_real
-    grads["class"], grads["class_bias"] = flat.T @ d, d.sum(axis=0)
+    found = flat.T @ d
+    grads["class"], grads["class_bias"] = found[:-1], found[-1]
     dh = d @ p["class"].T
-    for k, own in _by_class(kind):
-        d = np.exp(_log_softmax(flat[own] @ p["word"][k - 1] + p["word_bias"][k - 1]))
-        d[np.arange(len(own)), place[own]] -= 1
-        d /= n_real
-        grads["word"][k - 1], grads["word_bias"][k - 1] = flat[own].T @ d, d.sum(axis=0)
-        dh[own] += d @ p["word"][k - 1].T
-    dh, later = dh.reshape(len(x), -1, HIDDEN), np.zeros_like(h)
-    da_all = np.empty((len(x), x.shape[1], 3 * HIDDEN), np.float32)
-    for t in range(len(x) - 1, -1, -1):
-        before, z, r, n, gn = kept[t]
-        dn = later * (1 - z) * (1 - n * n)
-        dz = later * (before - n) * z * (1 - z)
-        dr = dn * gn * r * (1 - r)
-        dg = np.concatenate([dz, dr, dn * r], axis=1)
-        da_all[t, :, : 2 * HIDDEN], da_all[t, :, 2 * HIDDEN :] = dg[:, : 2 * HIDDEN], dn
-        grads["state"] += before.T @ dg
-        later = later * z + dg @ p["state"].T + dh[t]
-        later[first[t]] = 0
-    order = np.argsort(x.ravel(), kind="stable")
-    rows, begins = np.unique(x.ravel()[order], return_index=True)
-    grads["input"][rows] = np.add.reduceat(da_all.reshape(m, -1)[order], begins, axis=0)
-    return h, {k: np.clip(g, -1, 1) for k, g in grads.items()}
+    own, slots, of = _blocks(kind)
+    states, weights = _in_blocks(flat[own], slots, len(of)), words[of]
+    d, _ = _exp(np.matmul(states, weights).reshape(-1, CLASS_WORDS)[slots], bounded[1])
+    d /= _sums(d)[:, None]
+    d[np.arange(len(own)), place[own]] -= 1
+    d /= n_real
+    if len(own):
+        d = _in_blocks(d, slots, len(of))
+        dh[own] += np.matmul(d, weights[:, :-1].transpose(0, 2, 1)).reshape(-1, HIDDEN)[slots]
+        found, new = np.matmul(states.transpose(0, 2, 1), d), np.append(True, of[1:] != of[:-1])
+        sums = found[new]
+        at = np.cumsum(new) - 1
+        for block in np.flatnonzero(~new).tolist():  # a class of more than one block
+            sums[at[block]] += found[block]
+        grads["word"][of[new]], grads["word_bias"][of[new]] = sums[:, :-1], sums[:, -1]
+    dh = np.ascontiguousarray(dh.reshape(steps, -1, HIDDEN).transpose(0, 2, 1))
+    by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), gn * r * (1 - r)
+    later, dg, dns = np.zeros_like(h), np.empty(a.shape, h.dtype), np.empty(n.shape, h.dtype)
+    for t in range(steps - 1, -1, -1):
+        dn = np.multiply(later, by_n[t], out=dns[t])
+        np.multiply(later, by_z[t], out=dg[t, :HIDDEN])
+        np.multiply(dn, by_r[t], out=dg[t, HIDDEN : 2 * HIDDEN])
+        np.multiply(dn, r[t], out=dg[t, 2 * HIDDEN :])
+        later *= z[t]
+        later += p["state"] @ dg[t]
+        later += dh[t]
+        later *= keep[t]
+    as_rows = lambda v: v.transpose(0, 2, 1).reshape(m, -1)
+    grads["state"] = flat[:, :-1].T @ as_rows(dg)
+    dg[:, 2 * HIDDEN :] = dns
+    places = x[:, None, :] * (3 * HIDDEN) + np.arange(3 * HIDDEN)[:, None]
+    sums = np.bincount(places.ravel(), dg.ravel(), p["input"].size).astype(h.dtype)
+    grads["input"] = np.clip(sums, -1, 1, out=sums).reshape(p["input"].shape)
+    h = np.ascontiguousarray(h.T)
+    return h, {k: g if k == "input" else np.clip(g, -1, 1) for k, g in grads.items()}

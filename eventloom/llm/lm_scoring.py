@@ -20,6 +20,7 @@ tables give no rows. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -78,10 +79,9 @@ class Words:
         """(offsets, place of each token in the head or -1, model inputs, codes, words): ends included."""
         offsets, codes, distinct = word_codes(texts)
         words = distinct.to_pylist()
-        place = np.array([self.place.get(w, -1) for w in words], np.int64)
+        place = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         known = (place >= 0) & (place < self.n_outputs)
-        into = np.where(known, place, self.n_outputs + np.array([
-            0 if k else gated_lm.suffix_bucket(w) for w, k in zip(words, known.tolist())], np.int64))
+        into = np.where(known, place, self.n_outputs + gated_lm.suffix_buckets(distinct))
         end = self.place.get(END, -1)
         spot = offsets[1:]
         places = np.insert(place[codes], spot, end)

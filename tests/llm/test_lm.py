@@ -143,3 +143,43 @@ def test_inputs_are_the_tokens_before():
         wanted.append(gated_lm.log_probability(p, h, np.array([y]))[0])
         h = gated_lm._step(p, np.array([x]), h)[0]
     assert abs(gated_lm.score(p, inputs[:4], targets[:4], np.array([0, 4]))[0] - sum(wanted)) < 1e-4
+
+
+def test_steps_do_not_grow_with_classes(monkeypatch):
+    """The words of all classes go through one softmax, in training and in scoring."""
+    class Counted:
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(np, name)
+
+    rng, seen = np.random.default_rng(5), []
+    for n_words in (2 * gated_lm.CLASS_WORDS, 32 * gated_lm.CLASS_WORDS):
+        p, x, y = small(n_words), rng.integers(0, 130, (16, 64)), rng.integers(-1, n_words, (16, 64))
+        calls = []
+        with monkeypatch.context() as patch:
+            patch.setattr(gated_lm, "np", Counted())
+            gated_lm._gradients(p, x, y, np.zeros(x.shape, bool), np.zeros((64, gated_lm.HIDDEN)))
+            gated_lm.log_probability(p, rng.standard_normal((1024, gated_lm.HIDDEN)), y.ravel())
+        seen.append(calls.count("exp"))
+    assert seen[0] == seen[1]
+
+
+def test_suffix_buckets():
+    import pyarrow as pa
+
+    words = ["", "a", "ab", "abc", "walking", "日本語", "é"]
+    wanted = [zlib.crc32(w.encode()[-gated_lm.SUFFIX_LETTERS :]) % gated_lm.SUFFIX_BUCKETS for w in words]
+    assert gated_lm.suffix_buckets(pa.array(words, pa.large_string())).tolist() == wanted
+    assert gated_lm.suffix_buckets(pa.array([], pa.large_string())).tolist() == []
+
+
+def test_large_weights_stay_finite():
+    """Logits beyond what exp can take are lowered first."""
+    p = small()
+    p["class_bias"] = p["class_bias"] + 2000.0
+    p["word"] = p["word"] * 400
+    y = np.arange(-1, 130)
+    h = np.random.default_rng(6).standard_normal((len(y), gated_lm.HIDDEN))
+    assert np.isfinite(gated_lm.log_probability(p, h, y)).all()
+    _, grads = gated_lm._gradients(p, y[1:][None], y[1:][None], np.zeros((1, 130), bool), h[1:])
+    assert all(np.isfinite(g).all() for g in grads.values())
