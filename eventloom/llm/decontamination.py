@@ -11,7 +11,8 @@ by block-max WAND, vectorised over the passages of a batch, without loss:
   share an essential term. Only essential postings are walked.
 * Items stand in blocks. A passage's bound for a block is the sum of the block maxima of its
   essential terms plus the most that non-essential terms give there; lower blocks are skipped.
-* Items of the remaining blocks are scored in full.
+* Items of the remaining blocks are bounded alike, by their own essential terms and what their other terms
+  weigh; those that can reach their limit are scored in full.
 
 Retrieved pairs are then verified: shares of the question's and of the answer's five-word shingles
 found in the passage (the answer is the item's last sentence). A leak has ``OVERLAP`` of the
@@ -36,6 +37,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,8 @@ from eventloom.llm.common import BLANKS, documents, text_slices, word_codes
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE, LONG_QUESTION = 0.6, 0.8, 5, 13
 BLOCK_ITEMS = 8
+#: Pairs of a passage and a block whose bounds are held at once.
+CELLS = 1 << 20
 SHARD_BYTES = 8 << 20
 #: A term in more than this share of the items, and more than 8, is non-essential at first.
 FREQUENT = 0.02
@@ -64,6 +68,12 @@ def shingles(words: list[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def _expanded(at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``keys``, member) of all members ``at[key]:at[key + 1]`` of each key."""
+    n = at[keys + 1] - at[keys]
+    return np.repeat(np.arange(len(keys)), n), np.repeat(at[keys] - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
 class Blocks(NamedTuple):
     """Impacts and limits of items, and what is known of blocks of them."""
 
@@ -75,6 +85,10 @@ class Blocks(NamedTuple):
     at: np.ndarray
     block: np.ndarray
     most: np.ndarray
+    item_at: np.ndarray
+    item: np.ndarray
+    weight: np.ndarray
+    others: np.ndarray
 
 
 class ItemIndex:
@@ -145,18 +159,22 @@ class ItemIndex:
                 essential[t], left = True, left - own[t]
         essential = np.append(essential, False)  # the last stands for words of no item
         n_blocks = -(-len(self.ids) // BLOCK_ITEMS)
-        rest, most = np.zeros(n_blocks), defaultdict(float)
+        others = np.array([sum(v for t, v in own.items() if not essential[t]) for own in impacts])
+        holders = defaultdict(list)
         for i, own in enumerate(impacts):
-            b = i // BLOCK_ITEMS
-            rest[b] = max(rest[b], sum(v for t, v in own.items() if not essential[t]))
             for t, v in own.items():
                 if essential[t]:
-                    most[t, b] = max(most[t, b], v)
-        keys = sorted(most)
+                    holders[t, i // BLOCK_ITEMS].append((i, v))
+        keys = sorted(holders)
         at = np.searchsorted([t for t, _ in keys], np.arange(len(self.term_ids) + 1)) if keys else np.zeros(len(self.term_ids) + 1, int)
         limits = np.array(limits)
-        least = np.minimum.reduceat(limits, np.arange(0, len(limits), BLOCK_ITEMS)) if n_blocks else limits
-        return Blocks(impacts, limits, least, essential, rest, at, np.array([b for _, b in keys], np.int64), np.array([most[k] for k in keys]))
+        begins = np.arange(0, len(limits), BLOCK_ITEMS)
+        least, rest = (np.minimum.reduceat(limits, begins), np.maximum.reduceat(others, begins)) if n_blocks else (limits, others)
+        of = [holder for k in keys for holder in holders[k]]
+        return Blocks(
+            impacts, limits, least, essential, rest, at, np.array([b for _, b in keys], np.int64),
+            np.array([max(v for _, v in holders[k]) for k in keys]), np.cumsum([0, *(len(holders[k]) for k in keys)]),
+            np.array([i for i, _ in of], np.int64), np.array([v for _, v in of]), others)
 
     def search(self, offsets: np.ndarray, terms: np.ndarray, by: Blocks | None = None) -> list[tuple[int, int, int, float]]:
         """(document, first word, item, score) of all passages that reach the item's limit in ``by``, else the threshold."""
@@ -172,37 +190,69 @@ class ItemIndex:
         keep = stride >= 0
         doc, stride, term = doc[keep], stride[keep], terms[at[keep]]
         begin = offsets[doc] + stride * step
-        keys = np.unique(begin * (none + 1) + term)  # each term once per passage
+        keys = np.sort(begin * (none + 1) + term)
+        keys = keys[np.append(True, keys[1:] != keys[:-1])]  # each term once per passage
         begin, term = keys // (none + 1), keys % (none + 1)
-        n = by.at[term + 1] - by.at[term]
-        posting = np.repeat(by.at[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        pair = np.repeat(begin, n) * n_blocks + by.block[posting]
-        pairs, inverse = np.unique(pair, return_inverse=True)
-        bound = np.bincount(inverse, by.most[posting], len(pairs)) + by.rest[pairs % n_blocks]
-        found, last = [], None
-        for p in pairs[bound >= by.least[pairs % n_blocks] - 1e-9].tolist():
-            a, b = divmod(p, n_blocks)
-            if a != last:  # pairs are in order of passages
-                d, last = int(np.searchsorted(offsets, a, side="right") - 1), a
-                own = set(terms[a : min(a + 2 * step, offsets[d + 1])].tolist())
-            for i in range(b * BLOCK_ITEMS, min((b + 1) * BLOCK_ITEMS, len(self.ids))):
+        new = np.append(True, begin[1:] != begin[:-1])
+        passage, begins = np.cumsum(new) - 1, begin[new]
+        found, many = [], max(1, CELLS // n_blocks)
+        for k in range(0, len(begins), many):
+            part = slice(*np.searchsorted(passage, [k, k + many]))
+            rows, items = self._reaching(passage[part] - k, term[part], by)
+            last = None
+            for row, i in zip(rows.tolist(), items.tolist()):
+                if row != last:  # in order of passages
+                    a, last = int(begins[k + row]), row
+                    d = int(np.searchsorted(offsets, a, side="right") - 1)
+                    own = set(terms[a : min(a + 2 * step, offsets[d + 1])].tolist())
                 score = math.fsum(v for t, v in by.impacts[i].items() if t in own)
                 if score >= by.limits[i] - 1e-9:
                     found.append((d, a - int(offsets[d]), i, score))
         return found
 
+    @staticmethod
+    def _reaching(passage: np.ndarray, term: np.ndarray, by: Blocks) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, item) of the pairs whose bound reaches the item's limit, of distinct (passage, term) in order."""
+        n_blocks = len(by.rest)
+        row, posting = _expanded(by.at, term)
+        cell = passage[row] * n_blocks + by.block[posting]
+        bound = np.bincount(cell, by.most[posting], (int(passage[-1]) + 1) * n_blocks).reshape(-1, n_blocks)
+        left = ((bound > 0) & (bound + by.rest >= by.least - 2e-9)).ravel()
+        pairs, number = np.flatnonzero(left), np.cumsum(left) - 1
+        kept = left[cell]
+        row, holder = _expanded(by.item_at, posting[kept])
+        cell = number[cell[kept][row]] * BLOCK_ITEMS + by.item[holder] % BLOCK_ITEMS
+        bound = np.bincount(cell, by.weight[holder], len(pairs) * BLOCK_ITEMS)
+        at = np.flatnonzero(bound)
+        pair = pairs[at // BLOCK_ITEMS]
+        item = pair % n_blocks * BLOCK_ITEMS + at % BLOCK_ITEMS
+        reaches = bound[at] + by.others[item] >= by.limits[item] - 2e-9
+        return (pair // n_blocks)[reaches], item[reaches]
+
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each word is a term once its punctuation is off, and its number, the last for terms of no item."""
+        none = len(self.term_ids)
+        terms = pc.ascii_lower(pc.utf8_trim(words, _PUNCTUATION))
+        kept = pc.not_equal(terms, "").to_numpy(zero_copy_only=False)
+        names = pa.array(list(self.term_ids), terms.type)
+        ids = pc.fill_null(pc.index_in(terms, value_set=names), none).to_numpy(zero_copy_only=False).astype(np.int64)
+        # Other alphabets have lower-case letters that only Python's ``lower`` knows.
+        other = np.flatnonzero(pc.invert(pc.string_is_ascii(words)).to_numpy(zero_copy_only=False))
+        for k, w in zip(other.tolist(), words.take(pa.array(other)).to_pylist()):
+            ids[k] = self.term_ids.get(w.lower().strip(_PUNCTUATION), none)
+        return kept, ids
+
     def leaks(self, texts: pa.Array) -> list[tuple[int, int, int, float, float, float]]:
         """(row, first word, item_id, score, question share, answer share) of verified pairs."""
         offsets, codes, distinct = word_codes(texts, lower=False)
-        names = [w.lower().strip(_PUNCTUATION) for w in distinct.to_pylist()]
-        kept = np.array([bool(w) for w in names], bool)
-        ids = np.array([self.term_ids.get(w, len(self.term_ids)) for w in names], np.int64)
+        kept, ids = self._ids(distinct)
         before = np.concatenate([[0], np.cumsum(kept[codes])]) if len(codes) else np.zeros(1, np.int64)
         offsets, codes = before[offsets], codes[kept[codes]] if len(codes) else codes
         out = []
         for d, first, i, _ in self.search(offsets, ids[codes] if len(codes) else codes, self.questions):
             a = offsets[d] + first
-            words = [names[c] for c in codes[a : min(a + 2 * self.longest, offsets[d + 1])]]
+            words = distinct.take(pa.array(codes[a : min(a + 2 * self.longest, offsets[d + 1])])).to_pylist()
+            words = [w.lower().strip(_PUNCTUATION) for w in words]
             question, answer, n_question, n_answer = self.parts[i]
             q = len(question & shingles(words, min(SHINGLE, n_question))) / len(question)
             r = len(answer & shingles(words, min(SHINGLE, n_answer))) / len(answer) if answer else 1.0

@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ import pytest
 
 from eventloom.llm import decontamination as leak
 from eventloom.llm import toxicity
+from eventloom.llm.common import word_codes
 from tests.llm.conftest import ODD
 
 SF = "/root/testdata/sf0.01"
@@ -178,3 +180,26 @@ def test_vectors_have_length_one(table):
     model = model_of(3, [])
     (empty, _), (terms, weights) = model.vectors(pa.array([None, "t0 T1, t1 zz"]))
     assert not len(empty) and terms.tolist() == [0, 1] and abs((weights**2).sum() - 1) < 1e-12
+
+
+def test_only_items_within_reach_are_scored(monkeypatch):
+    """A block that holds one item of a passage doesn't have its other items scored in full."""
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(12)) + " shared") for i in range(8)]
+    frequency = {w: 1 for _, t in items for w in t.split()} | {"shared": 8}
+    index = leak.ItemIndex(items, 8, 13.0, frequency, 0.6)
+    offsets, codes, distinct = word_codes(pa.array([items[3][1], "w5x0 shared w6x1", None]), lower=False)
+    ids = np.array([index.term_ids.get(w, len(index.term_ids)) for w in distinct.to_pylist()])
+    scored = []
+    monkeypatch.setattr(leak, "math", SimpleNamespace(fsum=lambda v: scored.append(1) or math.fsum(v)))
+    found = index.search(offsets, ids[codes])
+    assert [(d, first, i) for d, first, i, _ in found] == [(0, 0, 3)] and len(scored) == 1
+
+
+def test_terms_of_many_alphabets_are_those_of_python():
+    words = ["İstanbul,", "(ΣΑΣ)", "STRASSE.", "...", "ẞ'", "a-b!", "日本", "K"]
+    index = leak.ItemIndex([(1, " ".join(words))], 1, 8.0, {}, 0.6)
+    kept, ids = index._ids(pa.array([*words, "absent", "'Stanbul"], pa.large_string()))
+    assert kept.tolist() == [True, True, True, False, True, True, True, True, True, True]
+    terms = {v: k for k, v in index.term_ids.items()}
+    wanted = [w.lower().strip(leak._PUNCTUATION) for w in words]
+    assert [terms.get(i, "") for i in ids.tolist()[:8]] == [w if w else "" for w in wanted] and set(ids.tolist()[8:]) == {len(terms)}
