@@ -9,6 +9,7 @@ many runs in one call; every other word goes through the vocabulary's own normal
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -82,8 +83,11 @@ class WordEncoder:
         words = distinct.to_pylist()
         if len(self.slots) > MEMORY_WORDS:
             self._shrink()
-        self._learn([w for w in words if w not in self.slots])
-        slots = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+        slots = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+        fresh, n = np.flatnonzero(slots < 0), len(self.slots)
+        if len(fresh):
+            self._learn([words[k] for k in fresh.tolist()])
+            slots[fresh] = np.arange(n, n + len(fresh))
         self.met[slots] += 1
         slots = slots[codes]
         lengths = self.lengths[slots]
@@ -99,7 +103,7 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, new: list[str]) -> None:
-        """Keep the ids of new words."""
+        """Keep the ids of new words, in slots after those taken."""
         parts, rest = [], []
         for word in new:
             low = word.lower()

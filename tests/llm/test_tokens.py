@@ -102,3 +102,28 @@ def test_token_files_of_nothing(spark, table, tmp_path):
     path = str(tmp_path / "none")
     token_files.write_token_files(table([]), path)
     assert token_files.checksums(token_files.read_token_files(spark, path)).count() == 0
+
+
+def test_words_are_looked_up_once():
+    import pyarrow as pa
+
+    class Counted(dict):
+        n = 0
+
+        def get(self, *key):
+            Counted.n += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Counted.n += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            Counted.n += 1
+            return super().__contains__(key)
+
+    words = token_ids.WordEncoder(token_ids.default_vocabulary())
+    texts = pa.array(["one two one", None, "two three"])
+    first = [v.tolist() for v in words.encode(texts)]
+    words.slots = Counted(words.slots)
+    assert [v.tolist() for v in words.encode(texts)] == first and Counted.n == 4  # and the empty word
