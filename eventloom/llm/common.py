@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Word separators of every operator here: space and the ASCII controls 9 to 13. ``bytes.split()``
-#: splits at the same six bytes, and ``bytes.lower()`` changes A-Z only.
-BLANKS = r"[\x20\x09-\x0D]+"
+#: splits at the same six bytes, and ``bytes.lower()`` changes A-Z only. Java looks characters that are
+#: named one by one up in a table, but tests range after range.
+BLANKS = r"[\x20\x09\x0A\x0B\x0C\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

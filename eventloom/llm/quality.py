@@ -29,8 +29,10 @@ THRESHOLD = -0.3
 #: Trusted ids are broadcast up to so many (8 bytes each), else joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
-_SYMBOL, _NO_BLANK = r"[#*$%&|<>]", r"[^\x20\x09-\x0D]"
-_TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[!-/:-@\[-`{-~]+"
+_SYMBOL, _NO_BLANK = r"[#*$%&|<>]", r"[^\x20\x09\x0A\x0B\x0C\x0D]"
+#: Named one by one, as in ``BLANKS``: ASCII punctuation, and with it the ASCII controls and the blank.
+_PUNCTUATION = "".join(rf"\x{k:02X}" for k in range(33, 127) if not chr(k).isalnum())
+_TOKEN = "[^" + "".join(rf"\x{k:02X}" for k in [*range(33), 127]) + _PUNCTUATION + "]+|[" + _PUNCTUATION + "]+"
 
 
 def _with_repeated_words(rows: DataFrame) -> DataFrame:

@@ -171,3 +171,15 @@ def test_extract_text(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
     assert sorted((r.page_id or 0, r.text) for r in html_text.extract_text(pages).collect()) == [(0, ""), (1, "a"), (1, "a")]
     assert html_text.extract_text(pages.where("false")).count() == 0
+
+
+def test_patterns_name_characters_one_by_one(table):
+    """Java tests the ranges of a class one after the other, for each character."""
+    import re
+
+    for pattern in (quality._TOKEN, quality._NO_BLANK, quality.BLANKS):
+        assert "-" not in pattern
+    text = "".join(f"{chr(k)}x{chr(k)}{chr(k)}" for k in [*range(1, 0x250), 0x3042, 0x1F600])
+    plain = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[!-/:-@\[-`{-~]+"
+    found = table([text]).select(quality._tokens(quality.F.col("text"))).first()[0]
+    assert found == re.findall(plain, text)
