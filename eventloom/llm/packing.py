@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import documents, give_back, written
+from eventloom.llm.token_ids import forget
 from eventloom.llm.token_table import crc, placed, tokenized
 
 WINDOW = 2048
@@ -90,6 +91,12 @@ def _gather(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(held, np.array([0]))
 
 
+def _put_together(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Windows of placed documents. Workers that have encoded the texts give that memory back first."""
+    forget()
+    return _gather(_cut(batches, window))
+
+
 def sequences(docs: DataFrame, window: int = WINDOW, vocabulary: str | None = None) -> DataFrame:
     """(sequence_id, n_tokens, doc_ids, starts, lengths, token_ids), one row per window.
 
@@ -98,7 +105,7 @@ def sequences(docs: DataFrame, window: int = WINDOW, vocabulary: str | None = No
     """
     fields = ", ".join(f"{c}:{_PIECE[c]}" for c in _IN_SEQUENCE)
     parts = _placed(docs, vocabulary).mapInArrow(
-        lambda batches: _gather(_cut(batches, window)), f"sequence_id long, pieces array<struct<{fields}>>")
+        lambda batches: _put_together(batches, window), f"sequence_id long, pieces array<struct<{fields}>>")
     full = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["length"])
     parts = parts.withColumn("n_tokens", full)
     whole = parts.where(F.col("n_tokens") == window).select("sequence_id", "pieces")

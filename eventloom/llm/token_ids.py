@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from eventloom.llm.common import word_codes
+from eventloom.llm.common import give_back, word_codes
 
 END_ID = 1
 #: Words kept per Python worker, about 80 MB; a full memory keeps the half that was met most often.
@@ -46,8 +46,8 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.runs = Tokenizer.from_file(path)  # for text that is already normal and cut at blanks
-        self.runs.normalizer = None
+        # For text that is already normal, cut at blanks and without special tokens; the vocabulary is held once.
+        self.runs = Tokenizer(self.tokenizer.model)
         self.runs.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
@@ -154,3 +154,10 @@ def encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """The memory of this worker's encoders back to the system, for steps that hold much themselves."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        give_back()

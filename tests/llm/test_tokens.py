@@ -127,3 +127,15 @@ def test_words_are_looked_up_once():
     first = [v.tolist() for v in words.encode(texts)]
     words.slots = Counted(words.slots)
     assert [v.tolist() for v in words.encode(texts)] == first and Counted.n == 4  # and the empty word
+
+
+def test_windows_are_put_together_without_the_encoder():
+    path = token_ids.default_vocabulary()
+    own = token_ids.encoder(path)
+    assert own.runs.normalizer is None and not own.runs.get_added_tokens_decoder()  # of the vocabulary held once
+    ids = pa.array([[5, 6, 1], [1]], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7, 8]), pa.array([0, 3]), pa.array([3, 1]), ids], ["doc_id", "start", "n_tokens", "token_ids"])
+    found = [r for b in packing._put_together(iter([batch]), 2) for r in b.to_pylist()]
+    assert not token_ids._ENCODERS
+    assert [[p["token_ids"] for p in r["pieces"]] for r in found] == [[[5, 6]], [[1], [1]]]
