@@ -20,10 +20,10 @@ tables give no rows. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,22 +71,29 @@ class Words:
         if END in words and words.index(END) not in kept:  # the end is always an output
             kept[-1] = words.index(END)
         self.place = {words[k]: r for r, k in enumerate(kept + sorted(set(order) - set(kept)))}
+        self.head = pa.array(list(self.place), pa.large_string())
         self.n_outputs = len(kept)
         self.counts = np.array([counts[k] for k in kept + sorted(set(order) - set(kept))], float)
         self.logs = np.append(np.log10(self.counts + SMOOTHING), np.log10(SMOOTHING))
 
     def tokens(self, texts: pa.Array) -> tuple:
-        """(offsets, place of each token in the head or -1, model inputs, codes, words): ends included."""
+        """(offsets, place of each token in the head or -1, model inputs, codes, distinct words): ends included."""
         offsets, codes, distinct = word_codes(texts)
-        words = distinct.to_pylist()
-        place = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        place = pc.index_in(distinct, self.head)
+        place = pc.fill_null(place, -1).to_numpy().astype(np.int64)
         known = (place >= 0) & (place < self.n_outputs)
         into = np.where(known, place, self.n_outputs + gated_lm.suffix_buckets(distinct))
         end = self.place.get(END, -1)
-        spot = offsets[1:]
-        places = np.insert(place[codes], spot, end)
-        inputs = np.insert(into[codes], spot, end if end >= 0 else self.n_outputs)
-        return offsets + np.arange(len(offsets)), places, inputs, np.insert(codes, spot, -1), words
+        place, into = np.append(place, end), np.append(into, end if end >= 0 else self.n_outputs)
+        # Every text's words and then its end, which has the code after those of the words.
+        with_end = np.full(len(codes) + len(offsets) - 1, len(distinct), np.int64)
+        ends = offsets[1:] + np.arange(len(offsets) - 1)
+        of_word = np.ones(len(with_end), bool)
+        of_word[ends] = False
+        with_end[of_word] = codes
+        places, inputs = place.take(with_end), into.take(with_end)
+        with_end[ends] = -1
+        return offsets + np.arange(len(offsets)), places, inputs, with_end, distinct
 
     def sequences(self, texts: pa.Array) -> tuple:
         """(offsets, inputs, targets, places, codes, words): token t is the target of the state before
@@ -152,7 +159,7 @@ def scored_parts(rows: DataFrame, words: Words, p: dict[str, np.ndarray]) -> Dat
                 keys, counts = np.unique(owner[outside] * len(names) + codes[outside], return_counts=True)
                 begins = np.searchsorted(keys, np.arange(n + 1) * len(names)) if len(names) else np.zeros(n + 1, int)
                 tail = pa.StructArray.from_arrays([
-                    pa.array(names, pa.string()).take(pa.array(keys % max(len(names), 1))), pa.array(counts)], ["word", "n"])
+                    names.take(pa.array(keys % max(len(names), 1))).cast(pa.string()), pa.array(counts)], ["word", "n"])
                 model = gated_lm.score(own, inputs, targets, offsets) if head.n_outputs else np.zeros(n)
                 integer = lambda v: pa.array(v.astype(np.int64))
                 yield pa.RecordBatch.from_arrays([

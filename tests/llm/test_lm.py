@@ -183,3 +183,40 @@ def test_large_weights_stay_finite():
     assert np.isfinite(gated_lm.log_probability(p, h, y)).all()
     _, grads = gated_lm._gradients(p, y[1:][None], y[1:][None], np.zeros((1, 130), bool), h[1:])
     assert all(np.isfinite(g).all() for g in grads.values())
+
+
+def test_training_touches_only_what_a_window_holds(monkeypatch):
+    """Like steps on all parameters, but inputs that a window lacks are left alone and bounds are not taken each time."""
+    rng, windows = np.random.default_rng(8), 6
+    n = gated_lm.STREAMS * gated_lm.WINDOW * windows
+    p, x, y = gated_lm.fresh(np.arange(200.0, 0, -1), 5.0), rng.integers(0, 40, n), rng.integers(-1, 200, n)
+    offsets = np.array([0, 700, 701, n])
+    rows, bounds, window, most = [], [], gated_lm._window, gated_lm._most
+    with monkeypatch.context() as patch:
+        patch.setattr(gated_lm, "_window", lambda *args: rows.append(window(*args)) or rows[-1])
+        patch.setattr(gated_lm, "_most", lambda weights: bounds.append(1) or most(weights))
+        found = gated_lm.train(p, x, y, offsets)
+    assert len(rows) == windows and len(bounds) < 2 * windows
+    assert all(len(g["input"][0]) <= 40 and len(g["input"][1]) == len(g["input"][0]) for _, g in rows)
+    laid = lambda v: v.reshape(gated_lm.STREAMS, -1).T
+    first = np.zeros(n, bool)
+    first[offsets[:-1]] = True
+    q, squares = {k: v.copy() for k, v in p.items()}, {k: np.full_like(v, 1e-3) for k, v in p.items()}
+    h = np.zeros((gated_lm.STREAMS, gated_lm.HIDDEN), np.float32)
+    for a in range(0, n // gated_lm.STREAMS, gated_lm.WINDOW):
+        h, grads = gated_lm._gradients(q, *(laid(v)[a : a + gated_lm.WINDOW] for v in (x, y, first)), h)
+        for k, g in grads.items():
+            squares[k] += g * g
+            q[k] -= gated_lm.RATE * g / np.sqrt(squares[k])
+    assert all(np.allclose(found[k], q[k], atol=1e-4) for k in p)
+
+
+def test_places_of_words_in_the_head():
+    import pyarrow as pa
+
+    words = lm_scoring.Words(["b", "", "a", "é"], np.array([5, 4, 3, 1]))
+    offsets, places, inputs, codes, distinct = words.tokens(pa.array([" B zz a", None, "é b "]))
+    assert isinstance(distinct, pa.Array)  # words don't become Python objects
+    assert offsets.tolist() == [0, 4, 5, 8] and places.tolist() == [0, -1, 2, 1, 1, 3, 0, 1]
+    assert [distinct[c].as_py() if c >= 0 else None for c in codes.tolist()] == ["b", "zz", "a", None, None, "é", "b", None]
+    assert inputs[1] == 4 + gated_lm.suffix_buckets(pa.array(["zz"], pa.large_string()))[0]
